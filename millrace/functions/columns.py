@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +55,15 @@ def chunks(items: Sequence[Any], size: int) -> Iterator[Sequence[Any]]:
         yield items[start : start + size]
 
 
+def in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], Any]], at_once: int) -> list[Any]:
+    """Run independent Spark jobs from a few driver threads; results in order."""
+    if at_once <= 1 or len(jobs) <= 1:
+        return [job() for job in jobs]
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
+
+
 def class_counts(df: DataFrame, label: str) -> list[tuple[Any, int]]:
     """(class, rows) sorted by class; nulls left out.
 

@@ -15,7 +15,7 @@ from millrace.functions.ordered import ROWS_PER_BUCKET, running_total
 from millrace.functions.values import BROADCAST_ROWS, long_form, look_up, row_salt, value_table
 from millrace.sources.scratch import write_table
 
-EXPRESSION_PAIRS = 60
+EXPRESSION_PAIRS = 3
 Pair = tuple[str, str]
 
 
@@ -41,7 +41,7 @@ def pearson(df: DataFrame, columns: dict[str, Column], pairs: list[Pair]) -> dic
 
 
 def _pearson_expressions(df, columns, pairs):
-    """All pairs in one JVM aggregation."""
+    """A few pairs in one JVM aggregation."""
     exprs = []
     for i, (a, b) in enumerate(pairs):
         x = F.when(columns[b].isNotNull(), columns[a])
@@ -57,9 +57,11 @@ def _clip(r: float | None) -> float | None:
 
 
 def _pearson_products(df, columns, pairs):
-    """Wide frames: each task sums k x k products of its Arrow batches; tasks are then added.
+    """More pairs: each task sums k x k products of its Arrow batches; tasks are then added.
 
-    Columns are shifted by their mean first, which keeps the sums of squares accurate.
+    One matrix product per batch replaces three aggregates per pair, whose generated code
+    would outgrow what the JVM compiles. Columns are shifted by their mean first, which
+    keeps the sums of squares accurate.
     """
     names = list(columns)
     k = len(names)

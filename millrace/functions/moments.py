@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import math
 
 
-def sample_skewness(x: Column) -> Column:
+def sample_skewness(n: int, variance: float | None, g1: float | None) -> float | None:
     """Adjusted Fisher-Pearson skewness; null below 3 values, 0 for a constant."""
-    n = F.count(x).cast("double")
-    g1 = F.when(F.var_pop(x) > 0, F.skewness(x)).otherwise(F.lit(0.0))
-    return F.when(n >= 3, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+    if n < 3:
+        return None
+    return g1 * math.sqrt(n * (n - 1)) / (n - 2) if variance else 0.0
 
 
-def sample_kurtosis(x: Column) -> Column:
+def sample_kurtosis(n: int, variance: float | None, g2: float | None) -> float | None:
     """Unbiased excess kurtosis; null below 4 values, 0 for a constant."""
-    n = F.count(x).cast("double")
-    corrected = ((n + 1) * F.kurtosis(x) + 6) * (n - 1) / ((n - 2) * (n - 3))
-    return F.when(n >= 4, F.when(F.var_pop(x) > 0, corrected).otherwise(F.lit(0.0)))
+    if n < 4:
+        return None
+    return ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3)) if variance else 0.0

@@ -10,17 +10,21 @@ counted, not gathered. Longer columns narrow the bracket in further passes.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import as_double, chunks
+from millrace.functions.columns import as_double, chunks, in_parallel
 
 ACCURACY = 10_000
 GATHER_ROWS = 20_000
 GRID = 1_000
-COLUMNS_PER_JOB = 24
+COLUMNS_PER_JOB = 4
+JOBS_AT_ONCE = 4
 
 
 @dataclass
@@ -52,9 +56,15 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of every column; all-null columns give nulls."""
     gather_rows = max(gather_rows, 100)
+
+    def run(part):
+        return _quantiles(df, list(part), probs, approx, accuracy, gather_rows)
+
+    # few columns per job: the scan is columnar, and short generated code stays compiled
+    jobs = [lambda part=part: run(part) for part in chunks(columns, COLUMNS_PER_JOB)]
     out: dict[str, list[float | None]] = {}
-    for part in chunks(columns, COLUMNS_PER_JOB):
-        out.update(_quantiles(df, list(part), probs, approx, accuracy, gather_rows))
+    for found in in_parallel(df.sparkSession, jobs, JOBS_AT_ONCE):
+        out.update(found)
     return out
 
 
@@ -105,17 +115,52 @@ def _quantiles(df, columns, probs, approx, accuracy, gather_rows):
     return out
 
 
-def _counts(brackets: list[_Bracket]):
-    exprs = []
-    for i, b in enumerate(brackets):
-        x = as_double(b.column)
-        exprs += [
-            F.count_if(x < b.low).alias(f"below{i}"),
-            F.count_if(x == b.low).alias(f"low{i}"),
-            F.count_if((x > b.low) & (x < b.high)).alias(f"in{i}"),
-            F.count_if((x == b.high) & (x != b.low)).alias(f"high{i}"),
-        ]
-    return exprs
+def _locate(df: DataFrame, brackets: list[_Bracket], *, gather: bool) -> list[tuple]:
+    """(rows below, at the low end, inside, at the high end, values inside) per bracket.
+
+    Each task compares its Arrow batches with all brackets at once; the values strictly
+    inside are kept only where their number is bounded (``gather``).
+    """
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    ends = [(columns.index(b.column), b.low, b.high) for b in brackets]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((len(ends), 4), dtype=np.int64)
+        kept: list[list[np.ndarray]] = [[] for _ in ends]
+        for batch in batches:
+            arrays = [c.drop_null().to_numpy(zero_copy_only=False) for c in batch.columns]
+            for i, (c, low, high) in enumerate(ends):
+                x = arrays[c]
+                inside = (x > low) & (x < high)
+                totals[i] += (
+                    np.count_nonzero(x < low),
+                    np.count_nonzero(x == low),
+                    np.count_nonzero(inside),
+                    np.count_nonzero(x == high) if high != low else 0,
+                )
+                if gather:
+                    kept[i].append(x[inside])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(range(len(ends)), pa.int32()),
+                *[pa.array(totals[:, j]) for j in range(4)],
+                pa.array([np.concatenate(k) if k else [] for k in kept], pa.list_(pa.float64())),
+            ],
+            names=["i", "below", "low", "inside", "high", "found"],
+        )
+
+    found = (
+        df.select(*[as_double(c).alias(f"x{j}") for j, c in enumerate(columns)])
+        .mapInArrow(count, "i int, below long, low long, inside long, high long, found array<double>")
+        .groupBy("i")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("below", "low", "inside", "high")],
+            F.flatten(F.collect_list("found")).alias("found"),
+        )
+        .collect()  # one bounded row per bracket
+    )
+    by_index = {r["i"]: (r["below"], r["low"], r["inside"], r["high"], r["found"]) for r in found}
+    return [by_index[i] for i in range(len(brackets))]
 
 
 def _widen_if_missed(b: _Bracket, below: int, upto: int) -> bool:
@@ -137,11 +182,12 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
         x = as_double(b.column)
         inside = F.when((x > b.low) & (x < b.high), x)
         sketches.append(F.approx_percentile(inside, grid, accuracy).alias(f"grid{i}"))
-    row = df.agg(*_counts(brackets), *sketches).first()
+    row = df.agg(*sketches).first()
+    located = _locate(df, brackets, gather=False)
     slack = 2.0 / accuracy
     for i, b in enumerate(brackets):
-        below, at_low, inside = row[f"below{i}"], row[f"low{i}"], row[f"in{i}"]
-        if _widen_if_missed(b, below, below + at_low + inside + row[f"high{i}"]):
+        below, at_low, inside, at_high, _ = located[i]
+        if _widen_if_missed(b, below, below + at_low + inside + at_high):
             continue
         b.inside = inside
         if not inside:
@@ -165,14 +211,8 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
 def _resolve(df: DataFrame, brackets: list[_Bracket]) -> None:
     if not brackets:
         return
-    lists = []
-    for i, b in enumerate(brackets):
-        x = as_double(b.column)
-        lists.append(F.collect_list(F.when((x > b.low) & (x < b.high), x)).alias(f"values{i}"))
-    row = df.agg(*_counts(brackets), *lists).first()
-    for i, b in enumerate(brackets):
-        below, at_low = row[f"below{i}"], row[f"low{i}"]
-        inside, at_high = sorted(row[f"values{i}"]), row[f"high{i}"]
+    for b, (below, at_low, _, at_high, found) in zip(brackets, _locate(df, brackets, gather=True)):
+        inside = sorted(found)
         if _widen_if_missed(b, below, below + at_low + len(inside) + at_high):
             continue
 

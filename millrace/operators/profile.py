@@ -1,8 +1,7 @@
 """Data-quality reports: missing values, cardinality, distribution, types, redundancy.
 
-Every fixed-size statistic of every column comes from one shared aggregation; distinct
-values and exact quantiles, which cannot be bounded in one buffer, have passes of their
-own. Reports are tables with one row per profiled column (or column pair, or class).
+All fixed-size statistics of a column come from one shared pass over it; distinct values
+and exact quantiles, which cannot be bounded in one buffer, have passes of their own. Reports are tables with one row per profiled column (or column pair, or class).
 """
 
 from __future__ import annotations
@@ -13,14 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import MAX_CLASSES, as_double, chunks, col, numeric_columns
+from millrace.functions.columns import MAX_CLASSES, as_double, col, in_parallel, numeric_columns
 from millrace.functions.correlation import correlations
 from millrace.functions.moments import sample_kurtosis, sample_skewness
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.values import long_form
 from millrace.operators.derive import parsed_date
 
-COLUMNS_PER_JOB = 60
+AGGREGATES_PER_JOB = 32
+JOBS_AT_ONCE = 4
 
 # What the type audit looks for and how it names its findings.
 BOOLEAN_WORDS = ["true", "false", "yes", "no", "0", "1", "t", "f"]
@@ -58,18 +58,29 @@ def _is_missing(df: DataFrame, column: str) -> Column:
 
 
 def _statistics(df: DataFrame, columns: dict[str, list[dict[str, Column]]]) -> dict[str, dict[str, Any]]:
-    """Evaluate named aggregates of many columns, all in one pass per 60 columns."""
+    """Evaluate named aggregates of many columns.
+
+    A column's statistics share one pass. Columns are spread over jobs of bounded code size
+    (beyond it the JVM stops compiling the generated code); each reads only its columns.
+    """
+    jobs, part = [], []
+
+    def run(wanted: list[tuple[str, str, Column]]) -> list[tuple[str, str, Any]]:
+        row = df.agg(*[x.alias(f"s{i}") for i, (_, _, x) in enumerate(wanted)]).first()
+        return [(c, name, row[f"s{i}"]) for i, (c, name, _) in enumerate(wanted)]
+
+    for c, groups in columns.items():
+        wanted = [(c, name, x) for group in groups for name, x in group.items()]
+        if part and len(part) + len(wanted) > AGGREGATES_PER_JOB:
+            jobs.append(lambda part=part: run(part))
+            part = []
+        part = part + wanted
+    if part:
+        jobs.append(lambda part=part: run(part))
     out: dict[str, dict[str, Any]] = {}
-    for part in chunks(list(columns), COLUMNS_PER_JOB):
-        exprs, places = [], []
-        for c in part:
-            for group in columns[c]:
-                for name, x in group.items():
-                    exprs.append(x.alias(f"s{len(places)}"))
-                    places.append((c, name))
-        row = df.agg(*exprs).first()
-        for i, (c, name) in enumerate(places):
-            out.setdefault(c, {})[name] = row[f"s{i}"]
+    for found in in_parallel(df.sparkSession, jobs, JOBS_AT_ONCE):
+        for c, name, value in found:
+            out.setdefault(c, {})[name] = value
     return out
 
 
@@ -90,8 +101,8 @@ def _moment_aggregates(df: DataFrame, c: str) -> dict[str, Column]:
         "std": F.stddev_samp(x),
         "min": F.min(x),
         "max": F.max(x),
-        "skew": sample_skewness(x),
-        "kurtosis": sample_kurtosis(x),
+        "g1": F.skewness(x),
+        "g2": F.kurtosis(x),
     }
 
 
@@ -149,15 +160,17 @@ def _dtype_rows(df: DataFrame, stats: dict) -> list[tuple]:
     return rows
 
 
-def _distribution_rows(df: DataFrame, stats: dict) -> list[tuple]:
-    numeric = numeric_columns(df)
-    quartiles = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
+def _quartiles(df: DataFrame) -> dict[str, list[float | None]]:
+    return exact_quantiles(df, numeric_columns(df), [0.25, 0.5, 0.75])
+
+
+def _distribution_rows(stats: dict, quartiles: dict) -> list[tuple]:
     rows = []
-    for c in numeric:
+    for c in quartiles:
         s = stats[c]
-        rows.append(
-            (c, s["count"], s["mean"], s["std"], s["min"], *quartiles[c], s["max"], s["skew"], s["kurtosis"])
-        )
+        skew = sample_skewness(s["count"], s["std"], s["g1"])
+        kurtosis = sample_kurtosis(s["count"], s["std"], s["g2"])
+        rows.append((c, s["count"], s["mean"], s["std"], s["min"], *quartiles[c], s["max"], skew, kurtosis))
     return sorted(rows, key=lambda r: (_descending(r[9]), r[0]))
 
 
@@ -177,7 +190,7 @@ def dtype_audit(df: DataFrame) -> DataFrame:
 def distribution_summary(df: DataFrame) -> DataFrame:
     """Moments and exact quartiles of the numeric columns, most skewed first."""
     stats = _statistics(df, {c: [_moment_aggregates(df, c)] for c in numeric_columns(df)})
-    return _table(df.sparkSession, _distribution_rows(df, stats), DISTRIBUTION_SCHEMA)
+    return _table(df.sparkSession, _distribution_rows(stats, _quartiles(df)), DISTRIBUTION_SCHEMA)
 
 
 def cardinality_report(df: DataFrame, max_cats: int = MAX_CATEGORIES, *, approx: bool = False) -> DataFrame:
@@ -288,20 +301,34 @@ def profile(
 ) -> dict[str, DataFrame]:
     """All reports; the fixed-size statistics of all of them share one pass."""
     features = df.drop(*[c for c in (id_col, label_col) if c])
-    stats = _statistics(
-        features,
-        {
-            c: [_missing_aggregates(features, c), _moment_aggregates(features, c), _type_aggregates(features, c)]
-            for c in features.columns
-        },
-    )
     spark = df.sparkSession
+
+    def fixed_size() -> dict[str, dict[str, Any]]:
+        return _statistics(
+            features,
+            {
+                c: [_missing_aggregates(features, c), _moment_aggregates(features, c), _type_aggregates(features, c)]
+                for c in features.columns
+            },
+        )
+
+    # independent passes over different columns: they overlap
+    stats, quartiles, cardinality, redundancy = in_parallel(
+        spark,
+        [
+            fixed_size,
+            lambda: _quartiles(features),
+            lambda: cardinality_report(features, max_cats),
+            lambda: redundancy_report(features, redundancy_threshold),
+        ],
+        JOBS_AT_ONCE,
+    )
     reports = {
         "missing": _table(spark, _missing_rows(features, stats), MISSING_SCHEMA),
-        "cardinality": cardinality_report(features, max_cats),
-        "distribution": _table(spark, _distribution_rows(features, stats), DISTRIBUTION_SCHEMA),
+        "cardinality": cardinality,
+        "distribution": _table(spark, _distribution_rows(stats, quartiles), DISTRIBUTION_SCHEMA),
         "dtype_audit": _table(spark, _dtype_rows(features, stats), DTYPE_SCHEMA),
-        "redundancy": redundancy_report(features, redundancy_threshold),
+        "redundancy": redundancy,
     }
     if label_col is not None and label_col in df.columns:
         reports["label_distribution"] = label_distribution(df, label_col)

@@ -138,12 +138,16 @@ def _short_value_lists(df: DataFrame, columns: list[str], bins: int) -> set[str]
 
 
 def _bin(x: Column, cuts: list[float | None]) -> Column:
-    """Number of distinct cut points below the value."""
+    """Number of distinct cut points below the value, found by halving."""
     points = sorted({c for c in cuts if c is not None})
-    index = F.lit(0.0)
-    for p in points:
-        index = index + F.when(x > F.lit(p), F.lit(1.0)).otherwise(F.lit(0.0))
-    return F.when(x.isNotNull(), index)
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(float(low))
+        middle = (low + high) // 2
+        return F.when(x > F.lit(points[middle]), search(middle + 1, high)).otherwise(search(low, middle))
+
+    return F.when(x.isNotNull(), search(0, len(points)))
 
 
 class MutualInformation(Configured, Estimator, Persisted):

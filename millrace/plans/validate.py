@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import statistics
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col
+from millrace.functions.columns import col, in_parallel
 from millrace.operators.metrics import COSTS, LABELS, pair_counts, scores
 from millrace.operators.split import with_folds
 from millrace.sources.scratch import write_table
@@ -36,15 +33,6 @@ def holdout_eval(
     return {k: float(found[k]) for k in SCORES}
 
 
-def in_parallel(jobs: Iterable, parallelism: int) -> list:
-    """Run independent Spark jobs from a few driver threads, results in order."""
-    jobs = list(jobs)
-    if parallelism <= 1:
-        return [job() for job in jobs]
-    with ThreadPoolExecutor(parallelism) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
-
-
 def fold_scores(
     pipeline: Pipeline,
     folded: DataFrame,
@@ -64,7 +52,8 @@ def fold_scores(
         fitted = pipeline.copy().fit(train)
         return scores(pair_counts(fitted.transform(held), label_col), labels, costs)
 
-    return in_parallel([lambda fold=fold: run(fold) for fold in range(n_splits)], parallelism)
+    jobs = [lambda fold=fold: run(fold) for fold in range(n_splits)]
+    return in_parallel(folded.sparkSession, jobs, parallelism)
 
 
 def cross_val_eval(

@@ -390,7 +390,7 @@ def _mi_sql(source: str, label: str, columns: dict[str, bool], bins: int = 20) -
             binned = f"SELECT {x} AS bin, {label} AS y FROM s"
         else:
             binned = (
-                f"SELECT len(list_filter(q, z -> z < {x})) AS bin, {label} AS y FROM s, "
+                f"SELECT len(list_filter(q, lambda z: z < {x})) AS bin, {label} AS y FROM s, "
                 f"(SELECT list_distinct(quantile_cont({x}, [{probs}])) AS q FROM s)"
             )
         parts.append(
