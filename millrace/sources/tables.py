@@ -53,7 +53,8 @@ def _typed(texts: DataFrame) -> DataFrame:
         for i, c in enumerate(part):
             exprs += [
                 F.count(col(c)).alias(f"n{i}"),
-                F.bool_and(col(c).rlike(WHOLE_PATTERN) & F.trim(col(c)).try_cast("bigint").isNotNull()).alias(f"whole{i}"),
+                F.bool_and(col(c).rlike(WHOLE_PATTERN)).alias(f"whole{i}"),
+                F.count(F.trim(col(c)).try_cast("bigint")).alias(f"fits{i}"),
                 F.bool_and(col(c).rlike(DECIMAL_PATTERN)).alias(f"decimal{i}"),
                 F.bool_and(F.coalesce(col(c), F.lit("")).rlike(BOOLEAN_PATTERN)).alias(f"boolean{i}"),
             ]
@@ -61,7 +62,7 @@ def _typed(texts: DataFrame) -> DataFrame:
         for i, c in enumerate(part):
             if not row[f"n{i}"]:
                 kinds[c] = "double"  # no value at all: a column of missing numbers
-            elif row[f"whole{i}"]:
+            elif row[f"whole{i}"] and row[f"fits{i}"] == row[f"n{i}"]:
                 kinds[c] = "bigint"
             elif row[f"decimal{i}"]:
                 kinds[c] = "double"
