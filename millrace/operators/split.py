@@ -17,6 +17,7 @@ from millrace.functions.columns import class_counts, col
 
 DIGITS = 3
 LISTED_ROWS = 2_000
+HASH_LENGTH = 32
 
 
 def row_hash(id_col: str, seed: int) -> Column:
@@ -71,7 +72,9 @@ def hash_thresholds(
         open_ranks = []
         listed: dict[tuple[Any, str], list[tuple[int, int]]] = {}
         for h in hits:
-            if h["n"] <= listed_rows:
+            if len(h["next"]) == HASH_LENGTH:
+                found[h["label"], h["wanted"]] = h["next"]
+            elif h["n"] <= listed_rows:
                 listed.setdefault((h["label"], h["next"]), []).append((h["rank"], h["wanted"]))
             else:
                 open_ranks.append((h["label"], h["next"], h["rank"], h["wanted"]))

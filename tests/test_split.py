@@ -52,7 +52,7 @@ def test_thresholds_found_over_several_passes(frame):
     data = rows(3000)
     df = frame(data, "id long, y string", 4)
     ranks = [("a", 1), ("a", 500), ("b", 77), ("b", 78), ("rare", 40)]
-    got = hash_thresholds(df, "y", row_hash("id", 7), ranks, listed_rows=0)
+    got = hash_thresholds(df, "y", row_hash("id", 7), ranks, listed_rows=5)
     for c, r in ranks:
         ordered = sorted(hashlib.md5(f"{i}:7".encode()).hexdigest() for i, y in data if y == c)
         assert got[c, r] == ordered[r - 1]
@@ -75,3 +75,10 @@ def test_numeric_labels(frame):
     train, test = stratified_split(df, "id", "y", test_size=0.2)
     summary = {r["label"]: (r["n_train"], r["n_test"], r["pct_test"]) for r in split_summary(train, test, "y").collect()}
     assert summary == {c: (8, 2, pytest.approx(1 / 3)) for c in range(3)}
+
+
+def test_thresholds_end_when_many_rows_share_an_id(frame):
+    df = frame([(1, "a")] * 50 + [(2, "a")] * 50, "id long, y string")
+    got = hash_thresholds(df, "y", row_hash("id", 1), [("a", 10), ("a", 90)], listed_rows=5)
+    hashes = sorted(hashlib.md5(f"{i}:1".encode()).hexdigest() for i in (1, 2))
+    assert got == {("a", 10): hashes[0], ("a", 90): hashes[1]}
