@@ -135,8 +135,8 @@ class ClassifierModel(Fitted, MLWritable, MLReadable):
             scored = scored.drop(*[f"__p{i}" for i in range(len(parts))])
         else:
             inner = self.inner.copy()
-            inner.setFeaturesCol(FEATURES).setPredictionCol("").setRawPredictionCol("").setProbabilityCol("__p")
-            scored = inner.transform(ready).withColumn("probability", vector_to_array("__p")).drop("__p")
+            inner.setFeaturesCol(FEATURES).setPredictionCol("").setRawPredictionCol("__raw").setProbabilityCol("__p")
+            scored = inner.transform(ready).withColumn("probability", vector_to_array("__p")).drop("__raw", "__p")
         best = F.array_position(F.col("probability"), F.array_max("probability")).cast("int")
         names = F.array(*[F.lit(c) for c in self.classes])
         return scored.drop(FEATURES).withColumn("prediction", F.element_at(names, best))
