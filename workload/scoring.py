@@ -16,7 +16,7 @@ from millrace.plans import store
 from millrace.plans.spec import build_pipeline, model_step
 from millrace.plans.tune import Range, tune
 from millrace.plans.validate import cross_val_eval, holdout_eval, scores_table
-from millrace.sources.scratch import scratch_root
+from millrace.sources.scratch import scratch_root, write_table
 from millrace.sources.sinks import write_predictions
 from millrace.sources.tables import read_table
 from workload.preparation import orders_with_customer, rounded, table
@@ -190,7 +190,9 @@ KEYS = {"id_col": "o_orderkey", "label_col": "o_orderstatus"}
 
 
 def _raw_orders(spark, sf):
-    return orders_with_customer(spark, sf).withColumn("start", F.lit(1992.0))
+    """Joined once and written: every stage of a fit reads it again."""
+    raw = orders_with_customer(spark, sf).withColumn("start", F.lit(1992.0))
+    return write_table(raw)[0]
 
 
 def whole_pipeline(spark, sf):
@@ -200,9 +202,6 @@ def whole_pipeline(spark, sf):
     return scores_table(train, holdout_eval(fitted, test, "o_orderstatus", labels=CLASSES))
 
 
-holdout = whole_pipeline
-
-
 def cross_validation(spark, sf):
     spec = {**SPEC, "model": {"type": "logistic_regression", "max_iter": 20}}
     df = _raw_orders(spark, sf)
