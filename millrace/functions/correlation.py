@@ -34,10 +34,13 @@ def correlations(df: DataFrame, columns: list[str], method: str = "pearson", id_
     raise ValueError(f"method must be 'pearson' or 'spearman', not {method!r}")
 
 
-def pearson(df: DataFrame, columns: dict[str, Column], pairs: list[Pair]) -> dict[Pair, float | None]:
+def pearson(
+    df: DataFrame, columns: dict[str, Column], pairs: list[Pair], shift: float | None = None
+) -> dict[Pair, float | None]:
+    """``shift``: a value near all column means, if one is known; else the means are taken first."""
     if len(pairs) <= EXPRESSION_PAIRS:
         return _pearson_expressions(df, columns, pairs)
-    return _pearson_products(df, columns, pairs)
+    return _pearson_products(df, columns, pairs, shift)
 
 
 def _pearson_expressions(df, columns, pairs):
@@ -56,7 +59,7 @@ def _clip(r: float | None) -> float | None:
     return None if r is None or np.isnan(r) else float(min(1.0, max(-1.0, r)))
 
 
-def _pearson_products(df, columns, pairs):
+def _pearson_products(df, columns, pairs, known_shift=None):
     """More pairs: each task sums k x k products of its Arrow batches; tasks are then added.
 
     One matrix product per batch replaces three aggregates per pair, whose generated code
@@ -65,8 +68,11 @@ def _pearson_products(df, columns, pairs):
     """
     names = list(columns)
     k = len(names)
-    stats = df.agg(*[F.avg(columns[c]).alias(f"m{i}") for i, c in enumerate(names)]).first()
-    shift = np.array([stats[f"m{i}"] or 0.0 for i in range(k)])
+    if known_shift is None:
+        stats = df.agg(*[F.avg(columns[c]).alias(f"m{i}") for i, c in enumerate(names)]).first()
+        shift = np.array([stats[f"m{i}"] or 0.0 for i in range(k)])
+    else:
+        shift = np.full(k, known_shift)
     plain = df.select(*[columns[c].cast("double").alias(f"x{i}") for i, c in enumerate(names)])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +125,10 @@ def spearman(df: DataFrame, columns: list[str], id_col: str | None = None) -> di
     column's ranks, so one ranking serves all such pairs; only partners with nulls add a
     ranking of the column restricted to their rows.
     """
-    gaps = df.agg(*[F.count_if(as_double(c).isNull()).alias(f"g{i}") for i, c in enumerate(columns)]).first()
+    gaps = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(as_double(c).isNull()).alias(f"g{i}") for i, c in enumerate(columns)],
+    ).first()
     has_gaps = {c: gaps[f"g{i}"] > 0 for i, c in enumerate(columns)}
 
     def ranking(a: str, b: str) -> str:
@@ -134,7 +143,8 @@ def spearman(df: DataFrame, columns: list[str], id_col: str | None = None) -> di
     names = {r: f"rank{i}" for i, r in enumerate(ranked)}
     with_ranks = average_ranks(df, {names[r]: x for r, x in ranked.items()}, id_col)
     wanted = {(names[ranking(a, b)], names[ranking(b, a)]): (a, b) for a, b in pairs}
-    found = pearson(with_ranks, {n: col(n) for n in names.values()}, list(wanted))
+    middle = (gaps["rows"] + 1) / 2  # the mean rank of a column without gaps
+    found = pearson(with_ranks, {n: col(n) for n in names.values()}, list(wanted), middle)
     return {wanted[p]: r for p, r in found.items()}
 
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import as_double, chunks, col
+from millrace.functions.columns import as_double, chunks, class_counts, class_index, col
 from millrace.functions.correlation import Pair, correlations
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.values import long_form
@@ -93,61 +96,79 @@ def mutual_information(
 
     A column of at most ``bins`` values has one bin per value, any other is cut at its
     quantiles. Missing values are a bin of their own; unlabelled rows are left out. One
-    map-side-folded count of (column, bin, label) gives all scores.
+    pass counts (column, bin, label) for all columns, folded within each task.
     """
     labelled = df.filter(col(label).isNotNull())
-    cuts = exact_quantiles(labelled, columns, [i / bins for i in range(1, bins)])
-    few = _short_value_lists(labelled, columns, bins)
-    binned = {c: as_double(c) if c in few else _bin(as_double(c), cuts[c]) for c in columns}
-    joint = (
-        long_form(labelled, binned, {"label": col(label)})
-        .groupBy("column", F.col("value").alias("bin"), "label")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    classes = [c for c, _ in class_counts(labelled, label)]
+    edges = _short_value_lists(labelled, columns, bins)
+    long = [c for c in columns if c not in edges]
+    cuts = exact_quantiles(labelled, long, [i / bins for i in range(1, bins)])
+    edges |= {c: sorted({x for x in cuts[c] if x is not None}) for c in long}
     # the joint table has at most columns x (bins + 1) x classes rows
     scored = (
-        joint.withColumn("n_bin", F.sum("n").over(Window.partitionBy("column", "bin")))
+        _joint_counts(labelled, columns, class_index(col(label), classes), len(classes), edges)
+        .withColumn("n_bin", F.sum("n").over(Window.partitionBy("column", "bin")))
         .withColumn("n_label", F.sum("n").over(Window.partitionBy("column", "label")))
         .withColumn("total", F.sum("n").over(Window.partitionBy("column")))
         .groupBy("column")
         .agg(F.sum(F.expr("n / total * ln(n * total / (n_bin * n_label))")).alias("score"))
     )
-    scores = {r["column"]: max(0.0, r["score"]) for r in scored.collect()}
+    scores = {columns[r["column"]]: max(0.0, r["score"]) for r in scored.collect()}
     return {c: scores.get(c, 0.0) for c in columns}
 
 
-def _short_value_lists(df: DataFrame, columns: list[str], bins: int) -> set[str]:
-    """Columns with at most ``bins`` distinct values.
+def _joint_counts(
+    df: DataFrame, columns: list[str], label: Column, n_classes: int, edges: dict[str, list[float]]
+) -> DataFrame:
+    """Rows per (column, bin, label); a bin is the number of edges below the value."""
+    places = [np.array(edges[c], dtype=float) for c in columns]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros((len(e) + 2) * n_classes, dtype=np.int64) for e in places]
+        for batch in batches:
+            y = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, e in enumerate(places):
+                x = batch.column(i + 1).to_numpy(zero_copy_only=False).astype(float)
+                binned = np.where(np.isnan(x), len(e) + 1, np.searchsorted(e, x, side="left"))
+                totals[i] += np.bincount(binned * n_classes + y, minlength=len(totals[i]))
+        for i, t in enumerate(totals):
+            (found,) = np.nonzero(t)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(found), i), pa.int32()),
+                    pa.array(found // n_classes, pa.int32()),
+                    pa.array(found % n_classes, pa.int32()),
+                    pa.array(t[found], pa.int64()),
+                ],
+                names=["column", "bin", "label", "n"],
+            )
+
+    return (
+        df.select(label.alias("y"), *[as_double(c).alias(f"x{i}") for i, c in enumerate(columns)])
+        .mapInArrow(count, "column int, bin int, label int, n long")
+        .groupBy("column", "bin", "label")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
+def _short_value_lists(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
+    """The values of the columns that have ``bins`` at most.
 
-    An estimate rules out the long columns, so only short ones are counted exactly.
+    An estimate rules out the long columns, so only short lists are gathered.
     """
     row = df.agg(*[F.approx_count_distinct(as_double(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
     maybe = [c for i, c in enumerate(columns) if row[f"d{i}"] <= 2 * bins]
     if not maybe:
-        return set()
-    counts = (
+        return {}
+    listed = (
         long_form(df, {c: as_double(c) for c in maybe})
         .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.lit(1).alias("one"))
+        .distinct()
         .groupBy("column")
-        .agg(F.sum("one").alias("distinct"))
+        .agg(F.sort_array(F.collect_list("value")).alias("values"))
     )
-    exact = {r["column"]: r["distinct"] for r in counts.collect()}
-    return {c for c in maybe if exact.get(c, 0) <= bins}
-
-
-def _bin(x: Column, cuts: list[float | None]) -> Column:
-    """Number of distinct cut points below the value, found by halving."""
-    points = sorted({c for c in cuts if c is not None})
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(float(low))
-        middle = (low + high) // 2
-        return F.when(x > F.lit(points[middle]), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return F.when(x.isNotNull(), search(0, len(points)))
+    found = {r["column"]: r["values"] for r in listed.collect()}
+    return {c: found.get(c, []) for c in maybe if len(found.get(c, [])) <= bins}
 
 
 class MutualInformation(Configured, Estimator, Persisted):

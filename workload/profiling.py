@@ -16,6 +16,7 @@ from millrace.operators.select import (
     variances,
 )
 from millrace.plans.jobs import profile_diff
+from millrace.sources.scratch import write_table
 from workload.preparation import SENTINELS, _HOLED, orders_with_customer, rounded, sentinel_null, table
 
 # --- profiles --------------------------------------------------------------------------
@@ -67,12 +68,14 @@ def _audited(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _redundant(spark, sf):
-    return table(spark, sf, "documents").select(
+    """Numbers derived from whole texts, computed once and written."""
+    numbers = table(spark, sf, "documents").select(
         "n_chars",
         F.length("text").cast("bigint").alias("text_length"),
         F.size(F.split("text", " ")).cast("bigint").alias("words"),
         (F.length("text") - F.length(F.regexp_replace("text", "e", ""))).cast("bigint").alias("letters_e"),
     )
+    return write_table(numbers)[0]
 
 
 def profile_redundancy(spark, sf):
@@ -87,7 +90,8 @@ def label_distribution(spark, sf):
 
 def profile_whole(spark, sf):
     """All reports of one table in one call, one row per report with its number of rows."""
-    reports = p.profile(orders_with_customer(spark, sf), "o_orderstatus", id_col="o_orderkey")
+    data, _ = write_table(orders_with_customer(spark, sf))
+    reports = p.profile(data, "o_orderstatus", id_col="o_orderkey")
     rows = None
     for name, report in reports.items():
         one = report.agg(F.count(F.lit(1)).alias("rows")).withColumn("report", F.lit(name))
@@ -222,7 +226,8 @@ INFORMATIVE = ["o_totalprice", "c_acctbal", "c_nationkey"]
 
 
 def mi_scores(spark, sf):
-    found = mutual_information(orders_with_customer(spark, sf), INFORMATIVE, "o_orderstatus")
+    numbers, _ = write_table(orders_with_customer(spark, sf).select("o_orderstatus", *INFORMATIVE))
+    found = mutual_information(numbers, INFORMATIVE, "o_orderstatus")
     return rounded(spark.createDataFrame(list(found.items()), "column string, score double"), 6, "score")
 
 

@@ -106,8 +106,7 @@ def model_comparison(spark, sf):
 
 
 def _prepared_orders(spark, sf):
-    df = orders_with_customer(spark, sf)
-    return df.select(
+    prepared = orders_with_customer(spark, sf).select(
         "o_orderkey",
         "o_orderstatus",
         "o_totalprice",
@@ -115,6 +114,7 @@ def _prepared_orders(spark, sf):
         F.year("o_orderdate").alias("order_year"),
         F.col("c_nationkey").cast("double").alias("nation"),
     )
+    return write_table(prepared)[0]
 
 
 def _vectors(spark, sf):
