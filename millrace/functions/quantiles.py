@@ -5,6 +5,9 @@ Here a quantile sketch brackets each wanted rank, and only the values strictly
 between the bracket ends are gathered once the sketch's rank error proves that they
 are few; a value that fills a third of the rows can only be a bracket end, which is
 counted, not gathered. Longer columns narrow the bracket in further passes.
+
+Sketches are merged per group of tasks, so that no single task has to take in the sketches
+of a whole cluster; each group hands the driver a grid of quantiles of fixed length.
 """
 
 from __future__ import annotations
@@ -15,14 +18,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_double, chunks, in_parallel
 
-ACCURACY = 10_000
-GATHER_ROWS = 20_000
+ACCURACY = 2_000
+GATHER_ROWS = 100_000
 GRID = 1_000
+SKETCH_GROUPS = 128
 COLUMNS_PER_JOB = 4
 JOBS_AT_ONCE = 4
 
@@ -68,39 +72,85 @@ def exact_quantiles(
     return out
 
 
+@dataclass
+class _Sketch:
+    """Quantiles of one expression, put together from the grids of all task groups."""
+
+    rows: int
+    smallest: float | None
+    largest: float | None
+    values: np.ndarray
+    ranks: np.ndarray
+
+    def at(self, share: float) -> float:
+        """A value whose rank is off by at most ``_error`` of the rows."""
+        if share <= 0:
+            return self.smallest
+        if share >= 1:
+            return self.largest
+        return float(self.values[min(np.searchsorted(self.ranks, share), len(self.values) - 1)])
+
+
+def _error(accuracy: int) -> float:
+    return 1.0 / GRID + 1.0 / accuracy
+
+
+def _sketch(df: DataFrame, exprs: list[Column], accuracy: int) -> list[_Sketch]:
+    grid = [(g + 0.5) / GRID for g in range(GRID)]
+    groups = min(SKETCH_GROUPS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = (
+        df.select(*[x.alias(f"x{i}") for i, x in enumerate(exprs)], F.spark_partition_id().alias("task"))
+        .groupBy(F.pmod("task", F.lit(groups)).alias("group"))
+        .agg(
+            *[
+                F.struct(
+                    F.count(f"x{i}").alias("n"),
+                    F.min(f"x{i}").alias("low"),
+                    F.max(f"x{i}").alias("high"),
+                    F.approx_percentile(f"x{i}", grid, accuracy).alias("grid"),
+                ).alias(f"s{i}")
+                for i in range(len(exprs))
+            ]
+        )
+        .collect()  # one row of fixed size per group
+    )
+    out = []
+    for i in range(len(exprs)):
+        found = [r[f"s{i}"] for r in parts if r[f"s{i}"]["n"]]
+        if not found:
+            out.append(_Sketch(0, None, None, np.array([]), np.array([])))
+            continue
+        values = np.concatenate([f["grid"] for f in found])
+        weights = np.concatenate([np.full(GRID, f["n"] / GRID) for f in found])
+        order = np.argsort(values, kind="stable")
+        rows = sum(f["n"] for f in found)
+        ranks = np.cumsum(weights[order]) / rows
+        out.append(_Sketch(rows, min(f["low"] for f in found), max(f["high"] for f in found), values[order], ranks))
+    return out
+
+
 def _quantiles(df, columns, probs, approx, accuracy, gather_rows):
-    margin = 0.0 if approx else 2.0 / accuracy
-    wanted = [min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)]
-    first = df.agg(
-        *[F.count(as_double(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.min(as_double(c)).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(as_double(c)).alias(f"hi{i}") for i, c in enumerate(columns)],
-        *[
-            F.approx_percentile(as_double(c), [float(w) for w in wanted], accuracy).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ],
-    ).first()
+    margin = 2.0 * _error(accuracy)
+    sketches = _sketch(df, [as_double(c) for c in columns], accuracy)
 
     brackets: dict[tuple[str, int], _Bracket] = {}
     out: dict[str, list[float | None]] = {}
-    for i, c in enumerate(columns):
-        n, q = first[f"n{i}"], first[f"q{i}"]
+    for c, sketch in zip(columns, sketches):
         out[c] = [None] * len(probs)
-        if not n:
+        if not sketch.rows:
             continue
         if approx:
-            out[c] = [q[2 * j] for j in range(len(probs))]
+            out[c] = [sketch.at(p) for p in probs]
             continue
-        smallest, largest = first[f"lo{i}"], first[f"hi{i}"]
         for j, p in enumerate(probs):
             brackets[c, j] = _Bracket(
                 column=c,
-                position=p * (n - 1),
-                smallest=smallest,
-                largest=largest,
-                low=smallest if p - margin <= 0 else q[2 * j],
-                high=largest if p + margin >= 1 else q[2 * j + 1],
-                inside=min(n, 6.0 * n / accuracy + 2),
+                position=p * (sketch.rows - 1),
+                smallest=sketch.smallest,
+                largest=sketch.largest,
+                low=sketch.at(p - margin),
+                high=sketch.at(p + margin),
+                inside=min(sketch.rows, 4.0 * margin * sketch.rows + 2),
             )
 
     open_brackets = list(brackets.values())
@@ -173,20 +223,17 @@ def _widen_if_missed(b: _Bracket, below: int, upto: int) -> bool:
 
 
 def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    """Split the open interval by a grid of sketched quantiles and keep one cell range."""
+    """Sketch the open interval and keep the part around the wanted ranks."""
     if not brackets:
         return
-    grid = [g / GRID for g in range(GRID + 1)]
-    sketches = []
-    for i, b in enumerate(brackets):
+    margin = 2.0 * _error(accuracy)
+    insides = []
+    for b in brackets:
         x = as_double(b.column)
-        inside = F.when((x > b.low) & (x < b.high), x)
-        sketches.append(F.approx_percentile(inside, grid, accuracy).alias(f"grid{i}"))
-    row = df.agg(*sketches).first()
-    located = _locate(df, brackets, gather=False)
-    slack = 2.0 / accuracy
-    for i, b in enumerate(brackets):
-        below, at_low, inside, at_high, _ = located[i]
+        insides.append(F.when((x > b.low) & (x < b.high), x))
+    sketches = [s for part in chunks(insides, 4 * COLUMNS_PER_JOB) for s in _sketch(df, list(part), accuracy)]
+    for b, sketch, located in zip(brackets, sketches, _locate(df, brackets, gather=False)):
+        below, at_low, inside, at_high, _ = located
         if _widen_if_missed(b, below, below + at_low + inside + at_high):
             continue
         b.inside = inside
@@ -194,18 +241,14 @@ def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
             continue
         first, last = b.ranks
         before = below + at_low
-        if first < before or last >= before + inside:
-            # a bracket end itself is wanted: keep that end and its neighbouring cells
-            cut_low = b.low if first < before else row[f"grid{i}"][GRID - 2]
-            cut_high = b.high if last >= before + inside else row[f"grid{i}"][2]
-        else:
-            lo_share = (first - before) / inside - slack
-            hi_share = (last - before + 1) / inside + slack
-            lo_cell, hi_cell = math.floor(lo_share * GRID), math.ceil(hi_share * GRID)
-            cut_low = b.low if lo_cell <= 0 else row[f"grid{i}"][lo_cell]
-            cut_high = b.high if hi_cell >= GRID else row[f"grid{i}"][hi_cell]
-        b.low, b.high = cut_low, cut_high
-        b.inside = inside * (4.0 / GRID + 4.0 * slack) + 2
+        # a wanted bracket end is kept as it is; otherwise the interval shrinks on that side
+        if first >= before:
+            low_share = min((first - before) / inside, 1.0) - margin
+            b.low = sketch.at(low_share) if low_share > 0 else b.low
+        if last < before + inside:
+            high_share = max((last - before + 1) / inside, 0.0) + margin
+            b.high = sketch.at(high_share) if high_share < 1 else b.high
+        b.inside = min(inside, inside * 4.0 * margin + 2)
 
 
 def _resolve(df: DataFrame, brackets: list[_Bracket]) -> None:

@@ -18,6 +18,7 @@ from millrace.functions.values import LITERAL_ROWS, ValueTable, look_up, row_sal
 from millrace.operators.base import Configured, Persisted, TableFitted, names, number, one_of, param, text
 from millrace.sources.scratch import write_table
 
+LONGEST_LITERAL = 200  # a literal map is searched entry by entry
 
 def _as_text(columns: list[str]) -> dict[str, Column]:
     return {c: col(c).cast("string") for c in columns}
@@ -33,8 +34,9 @@ class EncoderModel(TableFitted):
             for r in codes.select("column", "value", "code").collect():
                 if r["value"] is not None:
                     maps[r["column"]].append([r["value"], r["code"]])
-            self._set(state={**self.learned, "maps": maps})
-            return self
+            if max(map(len, maps.values())) <= LONGEST_LITERAL:
+                self._set(state={**self.learned, "maps": maps})
+                return self
         written, _ = write_table(codes.select("column", "value", "n", "code"))
         self.values = values.with_table(written)
         return self

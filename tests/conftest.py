@@ -7,7 +7,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("millrace-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
