@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from millrace.functions.columns import as_double, class_counts, class_index, col
 from millrace.functions.quantiles import exact_quantiles
 from millrace.operators.base import Configured, Fitted, Persisted, number, one_of, optional, param, text
+from millrace.sources.scratch import write_table
 
 FEATURES, TARGET, WEIGHT = "__features", "__target", "__weight"
 MISSING_SUFFIX = "_missing"
@@ -59,6 +60,8 @@ class Classifier(Configured, Estimator, Persisted):
             raise ValueError(f"encode or drop these columns before the model: {unusable}")
         if not columns:
             raise ValueError("no feature column left for the model")
+        # read by several passes of the learner: prepared once, with the used columns only
+        df, _ = write_table(df.filter(col(label).isNotNull()).select(*[col(c) for c in [*columns, label]]))
         counts = class_counts(df, label)
         if len(counts) < 2:
             raise ValueError(f"'{label}' needs at least two classes, found {[c for c, _ in counts]}")
@@ -70,7 +73,7 @@ class Classifier(Configured, Estimator, Persisted):
             state={"columns": columns, "fills": self._fills(df, columns), "classes": classes},
         )
         target = class_index(col(label), classes)
-        prepared = model.assembled(df.filter(col(label).isNotNull())).withColumn(TARGET, target)
+        prepared = model.assembled(df).withColumn(TARGET, target)
         used = [FEATURES, TARGET]
         if self._balanced():
             weights = {float(i): rows / (len(classes) * n) for i, (_, n) in enumerate(counts)}

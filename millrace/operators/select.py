@@ -17,6 +17,7 @@ from millrace.functions.correlation import Pair, correlations
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.values import long_form
 from millrace.operators.base import Configured, Fitted, Persisted, number, one_of, param
+from millrace.sources.scratch import write_table
 
 VARIANCES_PER_JOB = 200
 
@@ -82,7 +83,9 @@ class CorrelationThreshold(Configured, Estimator, Persisted):
 
     def _fit(self, df: DataFrame) -> DropModel:
         columns = self.numeric(df)
-        found = correlations(df, columns, self.get("method"), self.get("idCol"))
+        key = [c for c in [self.get("idCol")] if c in df.columns]
+        numbers, _ = write_table(df.select(*[col(c) for c in [*columns, *key]]))  # read several times
+        found = correlations(numbers, columns, self.get("method"), key[0] if key else None)
         return self.model(DropModel, drop=correlated_columns(columns, found, self.get("threshold")))
 
 
@@ -181,7 +184,10 @@ class MutualInformation(Configured, Estimator, Persisted):
 
     def _fit(self, df: DataFrame) -> KeepModel:
         columns = self.numeric(df)
-        scores = mutual_information(df, columns, self.label(df), self.get("bins")) if columns else {}
+        label, scores = self.label(df), {}
+        if columns:
+            numbers, _ = write_table(df.select(*[col(c) for c in [*columns, label]]))  # read several times
+            scores = mutual_information(numbers, columns, label, self.get("bins"))
         best = sorted(columns, key=lambda c: (-scores[c], c))[: self.get("k")]
         others = [c for c in df.columns if c not in columns and c not in self.reserved]
         return self.model(KeepModel, keep=best, others=others, scores=scores)
