@@ -57,6 +57,7 @@ def value_table(
     size = F.octet_length(F.col("value").cast("string")) + F.lit(48)
     table, seen = write_table(
         counted,
+        rows=F.count(F.lit(1)),
         n_bytes=F.coalesce(F.sum(size), F.lit(0)),
         total=F.coalesce(F.sum(F.when(F.col("column") == one, F.col("n"))), F.lit(0)),
     )

@@ -9,8 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,10 +28,11 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def write_table(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
-    """Write ``df`` once; return it read back, with the metrics seen while writing."""
+    """Write ``df`` once; return it read back, with the wanted aggregates of the written rows."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/table-{uuid.uuid4().hex}"
-    seen = Observation()
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()])
-    watched.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), dict(seen.get)
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    if not metrics:
+        return written, {}
+    return written, written.agg(*[m.alias(k) for k, m in metrics.items()]).first().asDict()
