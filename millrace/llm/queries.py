@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, packing
-from millrace.llm.common import table
+from millrace.llm import decontaminate, lines, packing, quality
+from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -15,14 +16,44 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, remainder(labels["doc_id"], 4) != 2)
+    return quality.score(docs, model).select(
+        "doc_id",
+        (remainder(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.report(found)
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(lines.remove_spread_lines(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
+    "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_lines": op7_lines,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_lines": """
+        WITH d AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines, row_number() OVER () AS r
+                   FROM documents),
+        l AS (SELECT r, doc_id, source, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+        t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS key FROM l),
+        s AS (SELECT key, min((coalesce(doc_id, -9223372036854775808), i)) AS own
+              FROM t WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 10),
+        k AS (SELECT t.*, s.key IS NOT NULL AND s.own <> (coalesce(doc_id, -9223372036854775808), t.i) AS gone
+              FROM t LEFT JOIN s USING (key))
+        SELECT doc_id, count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM k GROUP BY r, doc_id""",
+}
