@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, packing, quality
+from millrace.llm import decontaminate, lines, packing, quality, secrets
 from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,11 +36,17 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(lines.remove_spread_lines(table(spark, sf_dir, "documents")))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(secrets.find_secrets(docs, secrets.train(docs)))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_lines": op7_lines,
+    "op8_secrets": op8_secrets,
 }
 
 ORACLES = {
