@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, lines, packing, quality, secrets
+from millrace.llm import decontaminate, fingerprint, lines, packing, quality, secrets
 from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False))
 
@@ -42,6 +46,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
