@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +18,41 @@ from millrace.sources.scratch import write_table
 
 #: Pieces of one length that are numbered in one group.
 GROUP_ROWS = 20_000
-#: Distinct pre-tokens a task remembers with their ids.
-REMEMBERED = 200_000
+#: Strings whose ids a task remembers, twice: of the two generations, the older one is forgotten.
+REMEMBERED = 150_000
 
+#: A space in front of white space or the end, where cutting at spaces could part a pre-token.
+_UNSAFE = re.compile(r" (?:\s|\Z)")
 
-class _Ids(dict):
-    """Ids of pre-tokens as little-endian 32-bit numbers; the tokenizer is asked once for each."""
+
+#: The characters that byte-level BPE writes for bytes: printing ones stand for themselves, the others follow from 256 on.
+_PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTING)}
+
+
+class _Remembered(dict):
+    """Results of ``find`` by string; those not asked for since the last change of generation go first."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        super().__init__()
+        self.find, self.old = find, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        found = self.old.get(key)
+        self[key] = found = self.find(key) if found is None else found
+        return found
+
+
+class _Ids:
+    """Ids of texts as little-endian 32-bit numbers.
+
+    Byte-level BPE works inside pre-tokens, so a text's ids are those of its pre-tokens, and a
+    pre-token begins at every space that something other than white space follows. The ids of words
+    with what adjoins them are therefore remembered, and of the pre-tokens of words not seen lately.
+    """
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -29,25 +60,35 @@ class _Ids(dict):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.model = self.tokenizer.model.tokenize
+        self.piece = _Remembered(self.merged)
+        self.word = _Remembered(self.by_pieces)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = ids = self.whole(piece)
-        return ids
+    def merged(self, piece: str) -> bytes:
+        """The ids of one pre-token, from the tokenizer's model."""
+        tokens = self.model(piece.encode().decode("latin-1").translate(_BYTE_CHARACTERS))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def by_pieces(self, text: str) -> bytes:
+        letters = text[text[:1] == " " :]
+        if letters.isalpha() and letters:
+            return self.piece[text]
+        if letters[:-1].isalpha() and letters[-1] in ".,;:!?":
+            return self.piece[text[:-1]] + self.piece[text[-1]]
+        return b"".join(map(self.piece.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> bytes:
-        """Byte-level BPE never joins pre-tokens, so a text's ids are those of its pre-tokens."""
         if any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, self.split(text)))
+        if _UNSAFE.search(text):
+            return self.by_pieces(text)
+        return b"".join(map(self.word.__getitem__, text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.split(text)))
 
 
 _loaded: dict[str, _Ids] = {}
