@@ -155,3 +155,16 @@ def within(starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(counts)), counts)
     offset = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
     return starts[:-1][owner] + offset, owner
+
+
+def most_frequent(counts: DataFrame, limit: int) -> pa.Table:
+    """Rows of ``counts`` (with column n) with the largest n: as many whole bands of n as hold ``limit`` rows at most."""
+    band = F.floor(F.log2("n") * 16).cast("int")
+    sizes = counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("rows")).collect()  # about 1,000 bands at most
+    rows, least = 0, None
+    for r in sorted(sizes, key=lambda r: -r["band"]):
+        rows += r["rows"]
+        if rows > limit:
+            break
+        least = r["band"]
+    return counts.where(band >= (1 << 30 if least is None else least)).toArrow()

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LOWER, id_and_text, map_arrow, slices, texts_of
+from millrace.llm.common import LOWER, most_frequent, slices, texts_of
 from millrace.sources.scratch import write_table
 
 #: Hidden states, words with a symbol of their own, symbols for endings, rounds of Baum-Welch.
@@ -59,22 +59,6 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _most_frequent(counts: DataFrame, limit: int) -> list[tuple[str, int]]:
-    """Words and counts, most frequent first, as many whole bands of counts as hold ``limit`` words at most."""
-    band = F.floor(F.log2("n") * 16).cast("int")
-    sizes = counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("words")).collect()  # under 1,024 bands
-    words, least = 0, None
-    for r in sorted(sizes, key=lambda r: -r["band"]):
-        words += r["words"]
-        if words > limit:
-            break
-        least = r["band"]
-    if least is None:
-        return []
-    got = counts.where(band >= least).select("word", "n").toArrow()
-    return sorted(zip(got["word"].to_pylist(), got["n"].to_pylist(), strict=True), key=lambda w: (-w[1], w[0]))
-
-
 class Symbols:
     """The words that tasks hold, their counts, and every word's symbol."""
 
@@ -240,7 +224,8 @@ def score_texts(
     counts, sums = write_table(count_words(found.where("trained")), n=F.sum("n"), v=F.count(F.lit(1)))
     total, distinct = sums["n"] or 0, sums["v"]
     end = counts.where("word = ''").agg(F.max("n")).first()[0] or 0
-    words = _most_frequent(counts.where("word <> ''"), held_words)
+    got = most_frequent(counts.where("word <> ''"), held_words)
+    words = sorted(zip(got["word"].to_pylist(), got["n"].to_pylist(), strict=True), key=lambda w: (-w[1], w[0]))
     symbols = Symbols(words, end, min(top_words, len(words)), endings)
     table = spark.sparkContext.broadcast(symbols)
     mass = _masses(counts, table, endings)

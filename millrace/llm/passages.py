@@ -41,10 +41,10 @@ def seeds(texts: list[bytes], length: int, seed: int) -> tuple[np.ndarray, ...]:
 
 
 def _anchors(length: int, seed: int):
-    def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         _, h, owner, _, place = seeds(texts, length, seed)
         new = np.concatenate(([True], place[1:] != place[:-1]))[: len(place)]
-        return h[new], owner[new]
+        return h[new], owner[new], np.zeros(int(new.sum()), np.int32)  # a repeated anchor counts once
 
     return of
 
@@ -69,7 +69,7 @@ def remove_passages(
     shared = sharing(rows, _anchors(length, seed), inside=False)
     # the texts move once: both joins below read the same exchange
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
-    asked = shared.join(copies, ["key", "th"], "left").where("whole IS NULL").select("key", "th", "anchors")
+    asked = shared.join(copies, ["key", "th"], "left").where("whole IS NULL").select("key", "th", F.col("anchors.h").alias("anchors"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0

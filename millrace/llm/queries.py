@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, fingerprint, hmm, lines, packing, passages, quality, secrets
+from millrace.llm import decontaminate, fingerprint, hmm, lines, near, packing, passages, quality, secrets
 from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,6 +50,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(docs, secrets.train(docs)))
 
 
+def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.report(passages.remove_passages(table(spark, sf_dir, "documents")))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_lines": op7_lines,
     "op8_secrets": op8_secrets,
+    "op9_near": op9_near,
     "op10_passages": op10_passages,
 }
 
