@@ -19,7 +19,7 @@ from millrace.sources.scratch import write_table
 #: Pieces of one length that are numbered in one group.
 GROUP_ROWS = 20_000
 #: Strings whose ids a task remembers, twice: of the two generations, the older one is forgotten.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 #: A space in front of white space or the end, where cutting at spaces could part a pre-token.
 _UNSAFE = re.compile(r" (?:\s|\Z)")
@@ -51,7 +51,7 @@ class _Ids:
 
     Byte-level BPE works inside pre-tokens, so a text's ids are those of its pre-tokens, and a
     pre-token begins at every space that something other than white space follows. The ids of words
-    with what adjoins them are therefore remembered, and of the pre-tokens of words not seen lately.
+    with what adjoins them are therefore remembered, and of the pre-tokens in them.
     """
 
     def __init__(self, path: str):
@@ -64,8 +64,7 @@ class _Ids:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.model = self.tokenizer.model.tokenize
-        self.piece = _Remembered(self.merged)
-        self.word = _Remembered(self.by_pieces)
+        self.of = _Remembered(self.by_pieces)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -77,18 +76,19 @@ class _Ids:
 
     def by_pieces(self, text: str) -> bytes:
         letters = text[text[:1] == " " :]
-        if letters.isalpha() and letters:
-            return self.piece[text]
+        if letters.isalpha():
+            return self.merged(text)
         if letters[:-1].isalpha() and letters[-1] in ".,;:!?":
-            return self.piece[text[:-1]] + self.piece[text[-1]]
-        return b"".join(map(self.piece.__getitem__, self.split(text)))
+            return self.of[text[:-1]] + self.of[text[-1]]
+        pieces = self.split(text)
+        return self.merged(text) if len(pieces) == 1 else b"".join(map(self.of.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
-        if _UNSAFE.search(text):
-            return self.by_pieces(text)
-        return b"".join(map(self.word.__getitem__, text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.split(text)))
+        if _UNSAFE.search(text) or "\0" in text:
+            return b"".join(map(self.of.__getitem__, self.split(text)))
+        return b"".join(map(self.of.__getitem__, text.replace(" ", "\0 ").split("\0")))
 
 
 _loaded: dict[str, _Ids] = {}
