@@ -48,14 +48,16 @@ def later_copies(rows: DataFrame) -> DataFrame:
 def sharing(
     rows: DataFrame, anchors: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]], inside: bool
 ) -> DataFrame:
-    """For each text (key, th) its anchors (place, h) that another text, or with ``inside`` the same one again, has too.
+    """For each text hash (th) the anchors (place, h) that another text, or with ``inside`` the same one again, has too.
+
+    Rows with one text count as several, so a text's own copies make all its anchors shared.
 
     ``anchors`` gives the anchors' hashes, the text of each, and its place. What meets inside a task's chunk is
     settled there and sends one row per anchor on, so an anchor that a third of all texts share is a
     row per chunk and not per text.
     """
 
-    def settle(h: np.ndarray, owner: np.ndarray, place: np.ndarray, key: np.ndarray, th: np.ndarray) -> pa.RecordBatch:
+    def settle(h: np.ndarray, owner: np.ndarray, place: np.ndarray, th: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((owner, h))
         h, owner, place = h[order], owner[order], place[order]
         first = _begins(h)
@@ -70,19 +72,18 @@ def sharing(
             [
                 pa.array(at.view(np.int64)),
                 pa.array(h.view(np.int64)),
-                pa.array(key[owner]),
                 pa.array(th[owner]),
                 pa.array(place.astype(np.int32)),
                 pa.array(np.where(sure, np.where(first, 1, 2), 0).astype(np.int8)),
             ],
-            names=["at", "h", "key", "th", "place", "sure"],
+            names=["at", "h", "th", "place", "sure"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, texts = [], 0, 0
         for part in slices(batches):
             h, owner, place = anchors(texts_of(part))
-            held.append((h, owner + texts, place, part.column("key").to_numpy(), part.column("th").to_numpy()))
+            held.append((h, owner + texts, place, part.column("th").to_numpy()))
             size += len(h)
             texts += part.num_rows
             if size >= CHUNK:
@@ -91,10 +92,16 @@ def sharing(
         if held:
             yield settle(*[np.concatenate(x) for x in zip(*held, strict=True)])
 
-    sent = rows.select("key", "th", "text").mapInArrow(run, "at bigint, h bigint, key bigint, th bigint, place int, sure tinyint")
+    sent = rows.select("th", "text").mapInArrow(run, "at bigint, h bigint, th bigint, place int, sure tinyint")
     same = Window.partitionBy("at", F.col("sure") == 2)
     shared = sent.withColumn("n", F.count(F.lit(1)).over(same)).where("sure > 0 OR n > 1")
-    return shared.groupBy("key", "th").agg(F.collect_set(F.struct("place", "h")).alias("anchors"))
+    return shared.groupBy("th").agg(F.collect_set(F.struct("place", "h")).alias("anchors"))
+
+
+def asked_of(rows: DataFrame, shared: DataFrame, copies: DataFrame) -> DataFrame:
+    """key, th and shared anchors of the texts that aren't later copies (which need no search)."""
+    texts = rows.select("key", "th").distinct().join(copies.select("key", "th"), ["key", "th"], "left_anti")
+    return texts.join(shared, "th").select("key", "th", F.col("anchors.h").alias("anchors"))
 
 
 def firsts(rows: DataFrame) -> DataFrame:

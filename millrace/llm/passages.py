@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.anchors import CHUNK, firsts, keyed, later_copies, settle_windows, sharing
+from millrace.llm.anchors import CHUNK, asked_of, firsts, keyed, later_copies, settle_windows, sharing
 from millrace.llm.common import hashed_grams, hashed_words, slices, texts_of, within
 
 #: Words of the shortest passage that counts, and of the gram that seeds it.
@@ -69,7 +69,7 @@ def remove_passages(
     shared = sharing(rows, _anchors(length, seed), inside=False)
     # the texts move once: both joins below read the same exchange
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
-    asked = shared.join(copies, ["key", "th"], "left").where("whole IS NULL").select("key", "th", F.col("anchors.h").alias("anchors"))
+    asked = asked_of(rows, shared, copies)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, fingerprint, hmm, lines, near, packing, passages, quality, secrets
+from millrace.llm import decontaminate, fingerprint, hmm, lines, near, packing, passages, quality, repeats, secrets
 from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return hmm.score_texts(docs, remainder(docs["doc_id"], 10) != 0)[0]
@@ -61,6 +65,7 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
+    "op3_repeats": op3_repeats,
     "op4_hmm": op4_hmm,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
