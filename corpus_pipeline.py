@@ -35,16 +35,12 @@ def without_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of similar documents (five-word shingles, a similarity of 0.8 or more)."""
-    groups = near.near_groups(docs, shingle=5, percent=80)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return near.keep_first(docs, shingle=5, percent=80)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where("size(hit_spans) > 0").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,6 +138,35 @@ def _blocks(items: Iterator, limit: int) -> Iterator[list[tuple[str, bytes]]]:
         yield block
 
 
+def _sent(benchmark: DataFrame, window: int, item_col: str, item_text_col: str, block_words: int) -> list:
+    """The benchmark's tables, one broadcast per block."""
+    wanted = benchmark.select(
+        benchmark[item_col].cast("string").alias("item"), benchmark[item_text_col].alias("text")
+    ).where(F.col("item").isNotNull() & F.col("text").isNotNull())
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(Benchmark(block, window)) for block in _blocks(wanted.toLocalIterator(), block_words)]
+
+
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has no window of an item; as in ``find_items``."""
+    sent = _sent(benchmark, window, item_col, item_text_col, block_words)
+
+    def clean(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = [words_of(x) for x in texts_of(part, text_col)]
+        hit = {k for b in sent for k, _ in b.value.search(words)[2]}
+        yield part.filter(pa.array([k not in hit for k in range(len(words))], pa.bool_()))
+
+    return map_arrow(docs, clean, docs.schema, text_col)
+
+
 def find_items(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -159,14 +188,7 @@ def find_items(
     The benchmark is the stated query set: it is read to the driver block by block and sent to the
     tasks in tables of at most ``block_words`` words each, which are searched in turn.
     """
-    spark = docs.sparkSession
-    wanted = benchmark.select(
-        benchmark[item_col].cast("string").alias("item"), benchmark[item_text_col].alias("text")
-    ).where(F.col("item").isNotNull() & F.col("text").isNotNull())
-    sent = [
-        spark.sparkContext.broadcast(Benchmark(block, window))
-        for block in _blocks(wanted.toLocalIterator(), block_words)
-    ]
+    sent = _sent(benchmark, window, item_col, item_text_col, block_words)
 
     def rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = [words_of(x) for x in texts_of(part)]

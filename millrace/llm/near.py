@@ -234,7 +234,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_groups(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles and component_id, the smallest doc_id that links lead to, its own included.
+    """Per row: doc_id, n_shingles, component_id, the smallest doc_id that links lead to, its own included, and text_hash.
 
     Words are lower-cased (A-Z only); a text's set holds its distinct runs of ``shingle`` words, or
     its whole sequence if it is shorter. Two documents link if the intersection of their sets is at
@@ -294,10 +294,26 @@ def near_groups(
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     of_class = labelled.join(smallest, "label").select("s1", "s2", "n", "component_id")
     return members.join(of_class, ["s1", "s2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("th").alias("text_hash"),
     )
 
 
+def keep_first(docs: DataFrame, shingle: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose id is the smallest of their group; as in ``near_groups``.
+
+    Rows that share id and text are one document and stay together.
+    """
+    groups = near_groups(docs, shingle, percent, id_col, text_col)
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")
+    )
+    same = docs[id_col].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone["gone_hash"])
+    return docs.join(gone.distinct(), same, "left_anti")
+
+
 def _sets(texts: DataFrame, k: int) -> DataFrame:
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         grams = [s.view(np.int64) for s in shingle_sets(texts_of(part), k)]

@@ -55,7 +55,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_groups(table(spark, sf_dir, "documents"))
+    return near.near_groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
