@@ -257,7 +257,7 @@ def near_groups(
     )
     nodes, _ = write_table(classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", F.monotonically_increasing_id().alias("node")))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows, shingle))
-    shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False)
+    shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th")
     each = nodes.join(shared, "th").select("node", "n", "sketch", F.array_sort("anchors").alias("anchors"))
     each = each.select("node", "n", "sketch", F.transform("anchors", lambda x: x["h"]).alias("all"), F.posexplode("anchors").alias("i", "anchor"))
     buckets = each.select(

@@ -9,35 +9,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.anchors import CHUNK, asked_of, firsts, keyed, later_copies, settle_windows, sharing
+from millrace.llm.anchors import CHUNK, asked_of, covered, firsts, keyed, later_copies, low_bits, settle_windows, sharing
 from millrace.llm.common import hashed_grams, hashed_words, slices, texts_of, within
 
 #: Words of the shortest passage that counts, and of the gram that seeds it.
-PASSAGE, SEED = 13, 3
+PASSAGE, SEED = 13, 4
 
 
 def seeds(texts: list[bytes], length: int, seed: int) -> tuple[np.ndarray, ...]:
     """Every window of ``length`` words with its anchor: window hash, anchor hash, text, first word, anchor's place.
 
-    The anchor of a window is its gram of ``seed`` words with the most bytes (these seldom repeat by
-    chance), of such the one with the smallest hash, of equal ones the rightmost.
+    The anchor of a window is its gram of ``seed`` words with the smallest hash, of equal ones the
+    rightmost.
     """
-    words, starts, first, end = hashed_words(texts, lower=False)
+    words, starts, _, _ = hashed_words(texts, lower=False)
     at, owner = within(starts, length)
     grams = hashed_grams(words, seed)
     if not len(at):
         none = np.empty(0, np.int64)
         return none.astype(np.uint64), none.astype(np.uint64), none, none, none
-    size = np.concatenate(([0], np.cumsum(end - first)))
-    longest = np.minimum(size[seed:] - size[: len(size) - seed], 255).astype(np.uint64)
-    rank = (np.uint64(255) - longest) << np.uint64(56) | grams >> np.uint64(8)
-    best, place = rank[at], at.copy()
+    best, place = grams[at], at.copy()
     for j in range(1, length - seed + 1):
-        other = rank[at + j]
+        other = grams[at + j]
         better = other <= best
         best[better] = other[better]
         place[better] = at[better] + j
-    return hashed_grams(words, length)[at], grams[place], owner, at - starts[owner], place
+    return hashed_grams(words, length)[at], best, owner, at - starts[owner], place
 
 
 def _anchors(length: int, seed: int):
@@ -66,7 +63,7 @@ def remove_passages(
     """
     rows = keyed(docs, id_col, text_col)
     copies = later_copies(rows).withColumn("whole", F.lit(True))
-    shared = sharing(rows, _anchors(length, seed), inside=False)
+    shared = sharing(rows, _anchors(length, seed), inside=False, by="key")
     # the texts move once: both joins below read the same exchange
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
     asked = asked_of(rows, shared, copies)
@@ -91,25 +88,24 @@ def remove_passages(
             yield settle_windows(*[np.concatenate(x) for x in zip(*held, strict=True)])
 
     met = dealt.join(asked, ["key", "th"]).select("key", "th", "doc_id", "text", "anchors")
-    found = firsts(met.mapInArrow(windows, "hash bigint, key bigint, th bigint, start int, sure boolean"))
-    gone = found.groupBy("key", "th").agg(F.collect_set("start").alias("starts"))
-    gone = gone.join(copies, ["key", "th"], "full")
+    found = firsts(met.mapInArrow(windows, "hash bigint, key bigint, th int, start int, n int, sure boolean"))
+    runs = found.groupBy("key", F.col("th").alias("th32")).agg(F.collect_set(F.struct("start", "n")).alias("runs"))
+    gone = rows.select("key", "th", low_bits("th").alias("th32")).distinct().join(copies, ["key", "th"], "left")
+    gone = gone.join(runs, ["key", "th32"], "left").where("whole OR runs IS NOT NULL").drop("th32")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             n_words, spans, kept = [], [], []
-            lists = part.column("starts").to_pylist()
-            for text, starts, whole in zip(texts_of(part), lists, part.column("whole").to_pylist(), strict=True):
+            runs, wholes = part.column("runs"), part.column("whole").to_pylist()
+            for k, text in enumerate(texts_of(part)):
                 words = text.split()
                 mine: list[dict] = []
-                if whole and len(words) >= length:
+                if wholes[k] and len(words) >= length:
                     mine = [{"first": 0, "end": len(words)}]
-                elif starts:
-                    starts = np.sort(np.array(starts))
-                    new = np.flatnonzero(np.concatenate(([True], starts[1:] > starts[:-1] + length)))
-                    ends = starts[np.concatenate((new[1:] - 1, [len(starts) - 1]))] + length
-                    mine = [{"first": a, "end": b} for a, b in zip(starts[new].tolist(), ends.tolist(), strict=True)]
+                elif runs[k].is_valid:
+                    start = runs[k].values.field("start").to_numpy()
+                    mine = covered(start, start + runs[k].values.field("n").to_numpy() + length - 1, len(words))
                 n_words.append(len(words))
                 for s in reversed(mine):
                     del words[s["first"] : s["end"]]
@@ -125,7 +121,7 @@ def remove_passages(
                 names=["doc_id", "n_words", "removed_spans", "kept_text"],
             )
 
-    out = dealt.join(gone, ["key", "th"], "left").select("key", "th", "doc_id", "text", "starts", "whole")
+    out = dealt.join(gone, ["key", "th"], "left").select("key", "th", "doc_id", "text", "runs", "whole")
     return out.mapInArrow(
         cut, f"doc_id {kind}, n_words bigint, removed_spans array<struct<first:bigint,end:bigint>>, kept_text string"
     )

@@ -14,15 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.anchors import asked_of, keyed, later_copies, sharing
+from millrace.llm.anchors import asked_of, covered, keyed, later_copies, sharing
 from millrace.llm.common import mix, slices, texts_of
 
 #: Bytes of the shortest repeat, and of the gram that is its anchor.
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM = 100, 40
 #: Bytes of one text that are searched for anchors at a time.
 _PIECE = 4 << 20
 #: Suffixes that a task gathers before it sends them on.
-_CHUNK = 200_000
+_CHUNK = 100_000
 #: Suffixes with different surroundings in one bucket from which on its strings are compared one by one.
 HOT_BUCKET = 20_000
 
@@ -129,6 +129,19 @@ def maximal_repeats(right: list[bytes], left: list[bytes], length: int) -> Itera
                 yield e, depth, group
 
 
+def _joined(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The maximal runs that the spans cover."""
+    spans.sort()
+    first, end = spans[0]
+    for a, b in spans[1:]:
+        if a > end:
+            yield first, end
+            first, end = a, b
+        else:
+            end = max(end, b)
+    yield first, end
+
+
 REPEATS = "repeat bigint, length int, key bigint, th bigint, start bigint, first boolean"
 
 
@@ -144,8 +157,10 @@ def _name(string: bytes) -> int:
     return xxhash.xxh64_intdigest(string) - (1 << 63)
 
 
-def find_repeats(rows: DataFrame, asked: DataFrame, dealt: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
-    """Occurrences of repeats: repeat (hash of the string), length, key, th, start, first (no earlier one is known)."""
+def _searched(
+    dealt: DataFrame, asked: DataFrame, length: int, gram: int, hot: int, groups_of: bool
+) -> DataFrame:
+    """Occurrences of repeats, or (not ``groups_of``) per text and bucket the span that those have of which an earlier one exists."""
     reach = length - gram  # bytes before an anchor
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,16 +169,18 @@ def find_repeats(rows: DataFrame, asked: DataFrame, dealt: DataFrame, length: in
 
         def out() -> pa.RecordBatch:
             columns: dict[str, list] = {c: [] for c in ("h", "right", "left", "key", "th", "at", "sure")}
+            again: dict[tuple[int, int], list[tuple[int, int]]] = {}  # by text: where earlier surroundings return
             for (h, right, left), places in held.items():
                 places.sort()
-                for k, (key, th, at) in enumerate(places):
-                    columns["h"].append(h if not k else int(mix(np.array([h + at], np.int64).view(np.uint64)).view(np.int64)[0]))
-                    columns["right"].append(right if not k else None)
-                    columns["left"].append(left if not k else None)
-                    columns["key"].append(key)
-                    columns["th"].append(th)
-                    columns["at"].append(at - (0 if not k else len(left)))
-                    columns["sure"].append(0 if not k else len(left) + len(right))
+                for c, v in zip(columns, (h, right, left, *places[0], 0), strict=True):
+                    columns[c].append(v)
+                for key, th, at in places[1:]:
+                    again.setdefault((key, th), []).append((at - len(left), at + len(right)))
+            for (key, th), spans in again.items():
+                for first, end in _joined(spans):
+                    spread = int(mix(np.array([th ^ first], np.int64).view(np.uint64)).view(np.int64)[0])
+                    for c, v in zip(columns, (spread, None, None, key, th, first, end - first), strict=True):
+                        columns[c].append(v)
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns.values(), kinds, strict=True)], names=list(columns))
 
@@ -199,19 +216,33 @@ def find_repeats(rows: DataFrame, asked: DataFrame, dealt: DataFrame, length: in
         rows: list[tuple] = []
         bucket: list[tuple] = []
 
-        def settle() -> None:
+        def grouped() -> Iterator[tuple[int, int, list[int]]]:
+            right, left = [b[1] for b in bucket], [b[2] for b in bucket]
+            return (_one_by_one if len(bucket) > hot else maximal_repeats)(right, left, length)
+
+        def name_all() -> None:
             if len(bucket) < 2:
                 return
             right, left = [b[1] for b in bucket], [b[2] for b in bucket]
-            if len(bucket) > hot:
-                groups = _one_by_one(right, left, length)
-            else:
-                groups = maximal_repeats(right, left, length)
-            for e, l, group in groups:
+            for e, l, group in grouped():
                 name = _name(left[group[0]][:e][::-1] + right[group[0]][:l])
                 first = min(group, key=lambda i: bucket[i][3:6])
                 rows.extend((name, e + l, bucket[i][3], bucket[i][4], bucket[i][5] - e, i == first) for i in group)
 
+        def cover() -> None:
+            if len(bucket) < 2:
+                return
+            widest: dict[int, tuple[int, int]] = {}
+            for e, l, group in grouped():
+                first = min(group, key=lambda i: bucket[i][3:6])
+                for i in group:
+                    if i != first:
+                        old = widest.get(i, (0, 0))
+                        widest[i] = max(old[0], e), max(old[1], l)
+            # all spans of one occurrence hold its anchor, so together they are one span
+            rows.extend((0, e + l, bucket[i][3], bucket[i][4], bucket[i][5] - e, False) for i, (e, l) in widest.items())
+
+        settle = name_all if groups_of else cover
         for b in batches:
             for row in zip(*[b.column(c).to_pylist() for c in ("h", "right", "left", "key", "th", "at", "sure")], strict=True):
                 if row[6]:  # the same surroundings stand earlier in its chunk
@@ -245,6 +276,37 @@ def _one_by_one(right: list[bytes], left: list[bytes], length: int) -> Iterator[
                 yield e, length - e, group
 
 
+def _shared(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, owner, _ = byte_anchors(texts, length, gram)
+        return h, owner, np.zeros(len(h), np.int32)
+
+    return sharing(rows, anchors, inside=True, by="key")
+
+
+def find_repeats(
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    hot: int = HOT_BUCKET,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The maximal repeat groups with their occurrences: repeat (a hash of the string), length, key, th, start and first.
+
+    key is the id (nulls as the smallest number), th a hash of the text, start a place in bytes,
+    first the earliest occurrence of the group. Strings reach ``length - gram`` bytes before and
+    ``length`` from their anchor; a longer repeat is several of them, which overlap. Where whole
+    surroundings of that reach return inside one task's chunk, the later ones are rows with repeat 0
+    and the length that they cover together; the group has the first of them.
+    """
+    rows = keyed(docs, id_col, text_col)
+    everywhere = rows.select("key", "th").distinct()
+    asked = everywhere.join(_shared(rows, length, gram), "key").select("key", "th", F.col("anchors.h").alias("anchors"))
+    dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
+    return _searched(dealt, asked, length, gram, hot, groups_of=True)
+
+
 def remove_repeats(
     docs: DataFrame,
     length: int = LENGTH,
@@ -262,16 +324,11 @@ def remove_repeats(
     """
     rows = keyed(docs, id_col, text_col)
     copies = later_copies(rows).withColumn("whole", F.lit(True))
-
-    def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h, owner, _ = byte_anchors(texts, length, gram)
-        return h, owner, np.zeros(len(h), np.int32)
-
-    shared = sharing(rows, anchors, inside=True)
+    shared = _shared(rows, length, gram)
     # the texts move once: both joins read the same exchange
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
     asked = asked_of(rows, shared, copies)
-    found = find_repeats(rows, asked, dealt, length, gram, hot).where("NOT first")
+    found = _searched(dealt, asked, length, gram, hot, groups_of=False)
     gone = found.groupBy("key", "th").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     gone = gone.join(copies, ["key", "th"], "full")
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -288,13 +345,9 @@ def remove_repeats(
                     rest = b""
                 elif spans[k].is_valid:
                     start = spans[k].values.field("start").to_numpy()
-                    edge = np.zeros(n + 1, np.int64)
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + spans[k].values.field("length").to_numpy(), -1)
-                    hit = np.concatenate(([False], np.cumsum(edge)[:n] > 0, [False]))
-                    turn = np.flatnonzero(hit[1:] != hit[:-1]).tolist()
-                    mine = [{"first": a, "end": b} for a, b in zip(turn[0::2], turn[1::2], strict=True)]
-                    rest = np.frombuffer(text, np.uint8)[~hit[1:-1]].tobytes()
+                    mine = covered(start, start + spans[k].values.field("length").to_numpy(), n)
+                    at = [0, *[x for s in mine for x in (s["first"], s["end"])], n]
+                    rest = b"".join(text[a:b] for a, b in zip(at[0::2], at[1::2], strict=True))
                 else:
                     rest = text
                 sizes.append(n)
