@@ -16,26 +16,32 @@ from millrace.sources.scratch import write_table
 
 #: Words of a shingle, and the least similarity in per cent.
 SHINGLE, PERCENT = 3, 90
-#: Ranges of the hash space whose sizes the suffix filter compares.
+#: Ranges of the hash space whose sizes (255 at most: the bound only gets looser) the suffix filter compares.
 RANGES = 64
-#: Frequent shingles that tasks know in order to put them last in a prefix (at most), and from how
-#: many texts of one chunk a shingle is counted. They only order the prefixes: any order is right.
-FREQUENT, OFTEN, CHUNK_GRAMS = 100_000, 3, 2_000_000
+#: Frequent words that tasks know in order to tell rare shingles from frequent ones (at most), and how
+#: often a word must occur in one chunk to be counted. They only order the prefixes: any order is right.
+FREQUENT, OFTEN, CHUNK_WORDS = 100_000, 3, 2_000_000
 #: Members of a shingle's bucket that one group compares; a larger bucket is several pairs of blocks.
 BLOCK = 4096
 
 
-def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of each text's runs of ``k`` words; a shorter text's whole sequence is one."""
-    words, starts, _, _ = hashed_words(texts, lower=True)
+def _shingles(words: np.ndarray, starts: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each text's sorted distinct shingle hashes, and the first word of each shingle's first occurrence."""
     grams = hashed_grams(words, k)
-    out = []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
         if b - a >= k:
-            out.append(np.unique(grams[a : b - k + 1]))
+            s, first = np.unique(grams[a : b - k + 1], return_index=True)
+            yield s, first + a
+        elif b > a:
+            yield hashed_grams(words[a:b] + np.uint64(b - a), b - a), np.array([a])
         else:
-            out.append(hashed_grams(words[a:b] + np.uint64(b - a), b - a) if b > a else np.empty(0, np.uint64))
-    return out
+            yield np.empty(0, np.uint64), np.empty(0, np.int64)
+
+
+def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's runs of ``k`` words; a shorter text's whole sequence is one."""
+    words, starts, _, _ = hashed_words(texts, lower=True)
+    return [s for s, _ in _shingles(words, starts, k)]
 
 
 def _members(rows: DataFrame, k: int) -> DataFrame:
@@ -50,7 +56,7 @@ def _members(rows: DataFrame, k: int) -> DataFrame:
             n.append(len(s))
             s1.append(int.from_bytes(d[:8], "big", signed=True))
             s2.append(int.from_bytes(d[8:], "big", signed=True))
-            sketch.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 65535).astype("<u2").tobytes())
+            sketch.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id"), part.column("key"), part.column("th"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sketch, pa.binary())],
             names=["doc_id", "key", "th", "n", "s1", "s2", "sketch"],
@@ -62,8 +68,8 @@ def _members(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _frequent(rows: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of frequent shingles and in how many texts they were counted."""
+def _frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of frequent words, and a weight that grows with the logarithm of their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -74,9 +80,9 @@ def _frequent(rows: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["h", "n"])
 
         for part in slices(batches):
-            held += shingle_sets(texts_of(part), k)
-            size += sum(map(len, held[-part.num_rows :]))
-            if size >= CHUNK_GRAMS:
+            held.append(hashed_words(texts_of(part), lower=True)[0])
+            size += len(held[-1])
+            if size >= CHUNK_WORDS:
                 yield out()
                 held, size = [], 0
         if held:
@@ -86,26 +92,30 @@ def _frequent(rows: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     got = most_frequent(write_table(counted)[0], FREQUENT)
     h, n = got["h"].to_numpy().view(np.uint64), got["n"].to_numpy()
     order = np.argsort(h)
-    return h[order], n[order]
+    return h[order], np.log2(n[order] + 1).astype(np.int64)
 
 
 def _prefixes(k: int, percent: int, frequent):
-    """Rare-first prefixes of the sets: two sets as similar as asked share a shingle of their prefixes."""
+    """Rare-first prefixes of the sets: two sets as similar as asked share a shingle of their prefixes.
+
+    A shingle counts as the rarer the smaller its words' weights are together; hashes break ties.
+    """
 
     def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        known, count = frequent.value
+        known, weight = frequent.value
+        words, starts, _, _ = hashed_words(texts, lower=True)
+        heavy = np.zeros(len(words) + 1, np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            heavy[1:] = np.where(known[at] == words, weight[at], 0).cumsum()
         hashes, owners, places = [], [], []
-        for t, s in enumerate(shingle_sets(texts, k)):
+        for t, (s, first) in enumerate(_shingles(words, starts, k)):
             if not len(s):
                 continue
-            at = np.searchsorted(known, s)
-            often = np.zeros(len(s), np.int64)
-            if len(known):
-                hit = known[np.minimum(at, len(known) - 1)] == s
-                often[hit] = count[at[hit]]
             p = len(s) + percent * len(s) // -100 + 1
-            first = np.lexsort((s, often))[:p]
-            hashes.append(s[first])
+            often = heavy[np.minimum(first + k, starts[t + 1])] - heavy[first]
+            chosen = np.lexsort((s, often))[:p]
+            hashes.append(s[chosen])
             owners.append(np.full(p, t, np.int64))
             places.append(np.arange(p, dtype=np.int32))
         if not hashes:
@@ -185,7 +195,7 @@ def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool)
             n = t["n"].to_numpy()
             g = {
                 "node": t["node"].to_numpy(), "n": n, "rest": n - t["place"].to_numpy() - 1, "label": t["label"].to_numpy(), "side": t["side"].to_numpy(),
-                "sketch": np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u2").reshape(-1, RANGES),
+                "sketch": np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, RANGES),
                 "before": np.array([*map(tuple, t["before"].to_pylist()), ()], object)[:-1],
             }
             key = [t[c].to_numpy() for c in ("h", "x", "y")]
@@ -256,14 +266,16 @@ def near_groups(
         .agg(F.min("doc_id").alias("first"), F.min(F.struct("key", "th")).alias("rep"), F.first("sketch").alias("sketch"))
     )
     nodes, _ = write_table(classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", F.monotonically_increasing_id().alias("node")))
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows, shingle))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows))
     shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th")
-    each = nodes.join(shared, "th").select("node", "n", "sketch", F.array_sort("anchors").alias("anchors"))
+    # first which shingles two nodes share, in short rows; what the filters read is added to those
+    short = nodes.join(shared, "th").select("node", F.explode("anchors").alias("anchor")).select("node", "anchor.place", "anchor.h")
+    met = short.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")
+    each = met.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("place", "h"))).alias("anchors")).join(nodes, "node")
     each = each.select("node", "n", "sketch", F.transform("anchors", lambda x: x["h"]).alias("all"), F.posexplode("anchors").alias("i", "anchor"))
-    buckets = each.select(
-        F.col("anchor.h").alias("h"), "node", "n", F.col("anchor.place").alias("place"), F.slice("all", F.lit(1), F.col("i")).alias("before"), "sketch"
+    buckets, _ = write_table(
+        each.select("anchor.h", "node", "n", "anchor.place", F.slice("all", F.lit(1), F.col("i")).alias("before"), "sketch")
     )
-    buckets, _ = write_table(buckets.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1").drop("m"))
 
     labels, _ = write_table(buckets.select("node").distinct().withColumn("label", F.col("node")))
     sets = None

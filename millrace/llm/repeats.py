@@ -171,7 +171,7 @@ def _searched(
             columns: dict[str, list] = {c: [] for c in ("h", "right", "left", "key", "th", "at", "sure")}
             again: dict[tuple[int, int], list[tuple[int, int]]] = {}  # by text: where earlier surroundings return
             for (h, right, left), places in held.items():
-                places.sort()
+                places = sorted(set(places))  # equal rows are one text
                 for c, v in zip(columns, (h, right, left, *places[0], 0), strict=True):
                     columns[c].append(v)
                 for key, th, at in places[1:]:
@@ -226,17 +226,17 @@ def _searched(
             right, left = [b[1] for b in bucket], [b[2] for b in bucket]
             for e, l, group in grouped():
                 name = _name(left[group[0]][:e][::-1] + right[group[0]][:l])
-                first = min(group, key=lambda i: bucket[i][3:6])
-                rows.extend((name, e + l, bucket[i][3], bucket[i][4], bucket[i][5] - e, i == first) for i in group)
+                first = min(bucket[i][3:6] for i in group)
+                rows.extend((name, e + l, bucket[i][3], bucket[i][4], bucket[i][5] - e, bucket[i][3:6] == first) for i in group)
 
         def cover() -> None:
             if len(bucket) < 2:
                 return
             widest: dict[int, tuple[int, int]] = {}
             for e, l, group in grouped():
-                first = min(group, key=lambda i: bucket[i][3:6])
+                first = min(bucket[i][3:6] for i in group)
                 for i in group:
-                    if i != first:
+                    if bucket[i][3:6] != first:
                         old = widest.get(i, (0, 0))
                         widest[i] = max(old[0], e), max(old[1], l)
             # all spans of one occurrence hold its anchor, so together they are one span
