@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -27,7 +28,8 @@ _UNSAFE = re.compile(r" (?:\s|\Z)")
 
 #: The characters that byte-level BPE writes for bytes: printing ones stand for themselves, the others follow from 256 on.
 _PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_CHARACTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTING)}
+_OTHERS = [b for b in range(256) if b not in _PRINTING]
+_BYTE_CHARACTERS = [chr(b if b in _PRINTING else 256 + _OTHERS.index(b)) for b in range(256)]
 
 
 class _Remembered(dict):
@@ -71,7 +73,7 @@ class _Ids:
 
     def merged(self, piece: str) -> bytes:
         """The ids of one pre-token, from the tokenizer's model."""
-        tokens = self.model(piece.encode().decode("latin-1").translate(_BYTE_CHARACTERS))
+        tokens = self.model("".join(map(_BYTE_CHARACTERS.__getitem__, piece.encode())))
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def by_pieces(self, text: str) -> bytes:
@@ -83,6 +85,16 @@ class _Ids:
         pieces = self.split(text)
         return self.merged(text) if len(pieces) == 1 else b"".join(map(self.of.__getitem__, pieces))
 
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts in UTF-8. Without cyclic garbage collection: there are no cycles, and it would walk through the memory."""
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return [self.encode(t.decode()) for t in texts]
+        finally:
+            if on:
+                gc.enable()
+
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
@@ -116,10 +128,10 @@ def token_pieces(
     def rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if tokenizer_path not in _loaded:
             _loaded[tokenizer_path] = _Ids(tokenizer_path)
-        encode = _loaded[tokenizer_path].encode
+        encoded = _loaded[tokenizer_path].encode_all(texts_of(part))
         row, piece, start, length, crc, ids = [], [], [], [], [], []
-        for k, text in enumerate(texts_of(part)):
-            whole = encode(text.decode()) + end
+        for k, whole in enumerate(encoded):
+            whole += end
             n = len(whole) // 4
             cut = [0, *range(n % capacity or capacity, n + 1, capacity)]
             for p, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
