@@ -125,48 +125,58 @@ def _prefixes(k: int, percent: int, frequent):
     return of
 
 
-def _compare(g: dict[str, np.ndarray], percent: int, one: bool, out: dict[str, list]) -> None:
-    """Pairs of one bucket that pass the length, positional and suffix filters and meet here first.
-
-    With ``one``, only the nearest earlier partner of each member is kept, and the other members
-    that have some partner are marked.
-    """
-    order = np.lexsort((g["node"], g["n"]))
-    node, n, rest, label, side = (g[c][order] for c in ("node", "n", "rest", "label", "side"))
-    sketch = g["sketch"][order].astype(np.int32)
-    before = g["before"][order]
-    sets: dict[int, set] = {}
-
-    def earlier(i: int) -> set:
-        if i not in sets:
-            sets[i] = set(before[i])
-        return sets[i]
-
-    for i in range(1, len(node)):
-        j = np.arange(int(np.searchsorted(n[:i], -(-percent * n[i] // 100))), i)
-        j = j[label[j] != label[i]]
-        if side[i] >= 0 and len(j):
-            j = j[side[j] != side[i]]
-        if not len(j):
-            continue
-        need = -(-percent * (n[j] + n[i]) // (100 + percent))
-        ok = 1 + np.minimum(rest[j], rest[i]) >= need
-        j, need = j[ok], need[ok]
-        apart = np.abs(sketch[j] - sketch[i]).sum(axis=1)
-        ok = apart <= n[j] + n[i] - 2 * need
-        j, apart = j[ok], apart[ok]
-        mine = earlier(i)
-        met = [x for x in range(len(j)) if mine.isdisjoint(earlier(int(j[x])))] if mine else range(len(j))
-        if not len(met):
-            continue
-        if one:
-            best = min(met, key=lambda x: (apart[x], j[x]))
-            out["marked"] += node[j[list(met)]].tolist()
-            met = [best]
-        for x in met:
-            out["a"].append(int(node[i]))
-            out["b"].append(int(node[j[x]]))
-            out["apart"].append(int(apart[x]))
+class _Buckets:
+    """Rows of whole buckets in columns, and the pairs in them that pass the filters and meet there first."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        self.percent = percent
+        self.node, self.n, self.label, self.side = (t[c].to_numpy() for c in ("node", "n", "label", "side"))
+        self.rest = self.n - t["place"].to_numpy() - 1
+        self.sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16)
+        before = t["before"].combine_chunks()
+        self.before, self.at = before.values.to_numpy().tolist(), before.offsets.to_numpy()
+        keys = [t[c].to_numpy() for c in ("h", "x", "y")]
+        new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+        self.bucket = np.cumsum(new) - 1
+        self.size = np.bincount(self.bucket)[self.bucket]
+        self.sets: dict[int, frozenset] = {}
+
+    def earlier(self, i: int) -> frozenset:
+        if i not in self.sets:
+            self.sets[i] = frozenset(self.before[self.at[i] : self.at[i + 1]])
+        return self.sets[i]
+
+    def passing(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pairs (i, j) those that may be similar: by length, by place, by the sizes in the hash ranges."""
+        ok = (self.label[i] != self.label[j]) & ((self.side[i] < 0) | (self.side[i] != self.side[j]))
+        low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        need = -(-self.percent * (low + high) // (100 + self.percent))
+        ok &= (100 * low >= self.percent * high) & (1 + np.minimum(self.rest[i], self.rest[j]) >= need)
+        i, j, need = i[ok], j[ok], need[ok]
+        apart = np.abs(self.sketch[i] - self.sketch[j]).sum(axis=1, dtype=np.int64)
+        ok = apart <= self.n[i] + self.n[j] - 2 * need
+        i, j, apart = i[ok], j[ok], apart[ok]
+        first = np.array([self.earlier(a).isdisjoint(self.earlier(b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)], bool)
+        return i[first], j[first], apart[first]
+
+    def pairs(self, one: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """a, b, apart and marked nodes. With ``one``, a row's nearest partner in its bucket only; other partners are marked."""
+        found = []
+        for d in range(1, min(int(self.size.max()), len(self.n))):  # rows d apart, all buckets at once
+            i = np.flatnonzero(self.bucket[d:] == self.bucket[:-d])
+            for k in range(0, len(i), 50_000):
+                found.append(self.passing(i[k : k + 50_000] + d, i[k : k + 50_000]))
+        if not found:
+            return (np.empty(0, np.int64),) * 4
+        i, j, apart = (np.concatenate(x) for x in zip(*found, strict=True))
+        swap = (self.n[i] < self.n[j]) | ((self.n[i] == self.n[j]) & (self.node[i] < self.node[j]))
+        i, j = np.where(swap, j, i), np.where(swap, i, j)  # the larger set asks
+        if not one:
+            return self.node[i], self.node[j], apart, np.empty(0, np.int64)
+        order = np.lexsort((self.node[j], apart, i))
+        i, j, apart = i[order], j[order], apart[order]
+        best = np.concatenate(([True], i[1:] != i[:-1]))[: len(i)]
+        return self.node[i[best]], self.node[j[best]], apart[best], np.unique(self.node[j[~best]])
 
 
 def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool) -> DataFrame:
@@ -191,25 +201,13 @@ def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool)
         held: list[pa.RecordBatch] = []
 
         def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t = pa.Table.from_batches(parts).combine_chunks()
-            n = t["n"].to_numpy()
-            g = {
-                "node": t["node"].to_numpy(), "n": n, "rest": n - t["place"].to_numpy() - 1, "label": t["label"].to_numpy(), "side": t["side"].to_numpy(),
-                "sketch": np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, RANGES),
-                "before": np.array([*map(tuple, t["before"].to_pylist()), ()], object)[:-1],
-            }
-            key = [t[c].to_numpy() for c in ("h", "x", "y")]
-            new = np.flatnonzero(np.concatenate(([True], np.any([k[1:] != k[:-1] for k in key], axis=0))))
-            found: dict[str, list] = {"a": [], "b": [], "apart": [], "marked": []}
-            for lo, hi in zip(new.tolist(), [*new[1:].tolist(), len(n)], strict=True):
-                if hi - lo > 1:
-                    _compare({c: v[lo:hi] for c, v in g.items()}, percent, one, found)
-            marked = sorted(set(found["marked"]))
+            a, b, apart, marked = _Buckets(pa.Table.from_batches(parts).combine_chunks(), percent).pairs(one)
+            none = pa.nulls(len(marked))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(found["a"] + marked, pa.int64()),
-                    pa.array(found["b"] + [None] * len(marked), pa.int64()),
-                    pa.array(found["apart"] + [None] * len(marked), pa.int32()),
+                    pa.array(np.concatenate((a, marked)), pa.int64()),
+                    pa.concat_arrays([pa.array(b, pa.int64()), none.cast(pa.int64())]),
+                    pa.concat_arrays([pa.array(apart, pa.int32()), none.cast(pa.int32())]),
                 ],
                 names=["a", "b", "apart"],
             )
