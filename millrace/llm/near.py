@@ -133,8 +133,10 @@ class _Buckets:
         self.node, self.n, self.label, self.side = (t[c].to_numpy() for c in ("node", "n", "label", "side"))
         self.rest = self.n - t["place"].to_numpy() - 1
         self.sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16)
-        before = t["before"].combine_chunks()
-        self.before, self.at = before.values.to_numpy().tolist(), before.offsets.to_numpy()
+        self.before = None
+        if "before" in t.column_names:
+            before = t["before"].combine_chunks()
+            self.before, self.at = before.values.to_numpy().tolist(), before.offsets.to_numpy()
         keys = [t[c].to_numpy() for c in ("h", "x", "y")]
         new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
         self.bucket = np.cumsum(new) - 1
@@ -156,79 +158,107 @@ class _Buckets:
         apart = np.abs(self.sketch[i] - self.sketch[j]).sum(axis=1, dtype=np.int64)
         ok = apart <= self.n[i] + self.n[j] - 2 * need
         i, j, apart = i[ok], j[ok], apart[ok]
+        if self.before is None:
+            return i, j, apart
         first = np.array([self.earlier(a).isdisjoint(self.earlier(b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)], bool)
         return i[first], j[first], apart[first]
 
-    def pairs(self, one: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """a, b, apart and marked nodes. With ``one``, a row's nearest partner in its bucket only; other partners are marked."""
-        found = []
+    def all_passing(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for d in range(1, min(int(self.size.max()), len(self.n))):  # rows d apart, all buckets at once
             i = np.flatnonzero(self.bucket[d:] == self.bucket[:-d])
             for k in range(0, len(i), 50_000):
-                found.append(self.passing(i[k : k + 50_000] + d, i[k : k + 50_000]))
+                yield self.passing(i[k : k + 50_000] + d, i[k : k + 50_000])
+
+    def alive(self) -> np.ndarray:
+        """Which rows have some partner."""
+        out = np.zeros(len(self.n), bool)
+        for i, j, _ in self.all_passing():
+            out[i] = out[j] = True
+        return out
+
+    def pairs(self, one: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """a, b and apart. With ``one``, only a row's nearest partner in its bucket."""
+        found = list(self.all_passing())
         if not found:
-            return (np.empty(0, np.int64),) * 4
+            return (np.empty(0, np.int64),) * 3
         i, j, apart = (np.concatenate(x) for x in zip(*found, strict=True))
         swap = (self.n[i] < self.n[j]) | ((self.n[i] == self.n[j]) & (self.node[i] < self.node[j]))
         i, j = np.where(swap, j, i), np.where(swap, i, j)  # the larger set asks
         if not one:
-            return self.node[i], self.node[j], apart, np.empty(0, np.int64)
+            return self.node[i], self.node[j], apart
         order = np.lexsort((self.node[j], apart, i))
         i, j, apart = i[order], j[order], apart[order]
         best = np.concatenate(([True], i[1:] != i[:-1]))[: len(i)]
-        return self.node[i[best]], self.node[j[best]], apart[best], np.unique(self.node[j[~best]])
+        return self.node[i[best]], self.node[j[best]], apart[best]
 
 
-def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool) -> DataFrame:
-    """a, b, apart of candidate pairs with different labels (b null: a has a partner in some bucket)."""
-    bucket = Window.partitionBy("h")
-    rows = (
-        buckets.join(labels, "node")
-        .withColumn("low", F.min("label").over(bucket))
-        .withColumn("high", F.max("label").over(bucket))
-        .withColumn("blocks", F.ceil(F.count(F.lit(1)).over(bucket) / BLOCK).cast("int"))
-        .where("low < high")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    )
-    # a block meets itself and every other block of its bucket
-    meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("x"), F.greatest("own", j).alias("y"))))
-    rows = rows.select("h", "node", "n", "place", "before", "sketch", "label", "own", meets.alias("meet")).select(
-        "h", "meet.x", "meet.y", "node", "n", "place", "before", "sketch", "label", F.when(F.col("meet.x") == F.col("meet.y"), -1).otherwise(F.col("own")).alias("side")
+def _by_bucket(rows: DataFrame, answer, schema: str) -> DataFrame:
+    """``answer`` applied to whole buckets (h, x, y), several at a time; rows have h, own block and blocks.
+
+    A bucket of several blocks is one group per pair of blocks, which keeps groups bounded.
+    """
+    meets = F.explode(
+        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("x"), F.greatest("own", j).alias("y")))
     )
-    dealt = rows.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y")
+    others = [c for c in rows.columns if c not in ("own", "blocks")]
+    met = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(*others, "own", meets.alias("meet"))
+    side = F.when(F.col("meet.x") == F.col("meet.y"), -1).otherwise(F.col("own"))
+    dealt = met.select(*others, "meet.x", "meet.y", side.alias("side")).repartition("h", "x", "y").sortWithinPartitions("h", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def out(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            a, b, apart, marked = _Buckets(pa.Table.from_batches(parts).combine_chunks(), percent).pairs(one)
-            none = pa.nulls(len(marked))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((a, marked)), pa.int64()),
-                    pa.concat_arrays([pa.array(b, pa.int64()), none.cast(pa.int64())]),
-                    pa.concat_arrays([pa.array(apart, pa.int32()), none.cast(pa.int32())]),
-                ],
-                names=["a", "b", "apart"],
-            )
-
         for b in batches:
             if not b.num_rows:
                 continue
+            keys = [b.column(c).to_numpy() for c in ("h", "x", "y")]
+            if held and any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(("h", "x", "y"), keys, strict=True)):
+                yield answer(pa.Table.from_batches(held).combine_chunks())
+                held = []
             # the rows of the last bucket wait for the next batch
-            last = np.flatnonzero(np.any([np.asarray(b.column(c)) != b.column(c)[-1].as_py() for c in ("h", "x", "y")], axis=0))
+            last = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
             cut = int(last[-1]) + 1 if len(last) else 0
-            if held and [held[-1].column(c)[-1].as_py() for c in ("h", "x", "y")] != [b.column(c)[0].as_py() for c in ("h", "x", "y")]:
-                yield out(held)
-                held = []
             if cut:
-                yield out([*held, b.slice(0, cut)])
+                yield answer(pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks())
                 held = []
             held.append(b.slice(cut))
         if held:
-            yield out(held)
+            yield answer(pa.Table.from_batches(held).combine_chunks())
+
+    return dealt.mapInArrow(run, schema)
+
 
-    return dealt.mapInArrow(run, "a bigint, b bigint, apart int")
+ROW = "h bigint, node bigint, n bigint, place int, sketch binary"
+
+
+def _alive(buckets: DataFrame, percent: int) -> DataFrame:
+    """The rows of buckets (ROW and blocks) that have a partner by the filters; nearly all have none."""
+    columns = [c.split()[0] for c in ROW.split(", ")]
+
+    def answer(t: pa.Table) -> pa.RecordBatch:
+        alive = _Buckets(t.append_column("label", t["node"]), percent).alive()
+        rows = t.select(columns).take(pa.array(np.flatnonzero(alive)))
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in rows.columns], names=columns)
+
+    return _by_bucket(buckets, answer, ROW).distinct()
+
+
+def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool) -> DataFrame:
+    """a, b, apart of the candidate pairs (ROW, before) with different labels, each from the first bucket that both share."""
+    bucket = Window.partitionBy("h")
+    rows = (
+        buckets.join(labels, "node")
+        .withColumn("low", F.min("label").over(bucket))
+        .withColumn("high", F.max("label").over(bucket))
+        .withColumn("blocks", F.ceil(F.count(F.lit(1)).over(bucket) / BLOCK).cast("int"))
+        .where("low < high")
+        .drop("low", "high")
+    )
+
+    def answer(t: pa.Table) -> pa.RecordBatch:
+        a, b, apart = _Buckets(t, percent).pairs(one)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32())], names=["a", "b", "apart"])
+
+    return _by_bucket(rows, answer, "a bigint, b bigint, apart int")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,14 +296,15 @@ def near_groups(
     nodes, _ = write_table(classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", F.monotonically_increasing_id().alias("node")))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows))
     shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th")
-    # first which shingles two nodes share, in short rows; what the filters read is added to those
+    # in short rows: which shingles two nodes share; then, with what the filters read: which rows have a partner
     short = nodes.join(shared, "th").select("node", F.explode("anchors").alias("anchor")).select("node", "anchor.place", "anchor.h")
     met = short.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")
-    each = met.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("place", "h"))).alias("anchors")).join(nodes, "node")
-    each = each.select("node", "n", "sketch", F.transform("anchors", lambda x: x["h"]).alias("all"), F.posexplode("anchors").alias("i", "anchor"))
-    buckets, _ = write_table(
-        each.select("anchor.h", "node", "n", "anchor.place", F.slice("all", F.lit(1), F.col("i")).alias("before"), "sketch")
-    )
+    wide = met.join(nodes.select("node", "n", "sketch"), "node").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    alive, _ = write_table(_alive(wide.select("h", "node", "n", "place", "sketch", "blocks"), percent))
+    # a pair that passes in one bucket passes in the first one that both share, so its rows there are alive too
+    order = alive.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("place", "h"))).alias("all"))
+    earlier = F.transform(F.filter("all", lambda x: x["place"] < F.col("place")), lambda x: x["h"])
+    buckets, _ = write_table(alive.join(order, "node").select("h", "node", "n", "place", "sketch", earlier.alias("before")))
 
     labels, _ = write_table(buckets.select("node").distinct().withColumn("label", F.col("node")))
     sets = None
@@ -281,11 +312,10 @@ def near_groups(
         found, n = write_table(_candidates(buckets, labels, percent, one), n=F.count(F.lit(1)))
         if not n["n"]:
             break
-        if sets is None:  # of the texts that have some partner; later rounds ask for no others
-            wanted = found.select(F.col("a").alias("node")).union(found.where("b IS NOT NULL").select("b")).distinct()
-            asked = nodes.join(wanted, "node").select("node", "key", "th")
+        if sets is None:  # of all texts that have a partner
+            asked = nodes.join(buckets.select("node").distinct(), "node").select("node", "key", "th")
             sets, _ = write_table(_sets(rows.join(asked, ["key", "th"]).select("node", "text"), shingle).dropDuplicates(["node"]))
-        pairs = found.where("b IS NOT NULL")
+        pairs = found
         if one:
             pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
         links, _ = write_table(_verified(pairs.select("a", "b"), sets, percent))
