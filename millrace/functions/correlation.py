@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_double, col
 from millrace.functions.ordered import ROWS_PER_BUCKET, running_total
-from millrace.functions.values import BROADCAST_ROWS, long_form, look_up, row_salt, value_table
+from millrace.functions.values import BROADCAST_BYTES, BROADCAST_ROWS, long_form, look_up, row_salt, value_table
 from millrace.sources.scratch import write_table
 
-EXPRESSION_PAIRS = 3
 Pair = tuple[str, str]
 
 
@@ -23,102 +22,121 @@ def all_pairs(columns: list[str]) -> list[Pair]:
     return [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
 
 
-def correlations(df: DataFrame, columns: list[str], method: str = "pearson", id_col: str | None = None) -> dict[Pair, float | None]:
+def correlations(df: DataFrame, columns: list[str], method: str = "pearson") -> dict[Pair, float | None]:
     """Correlation of every pair over the rows where both are present; null if undefined."""
     if len(columns) < 2:
         return {}
     if method == "pearson":
         return pearson(df, {c: as_double(c) for c in columns}, all_pairs(columns))
     if method == "spearman":
-        return spearman(df, columns, id_col)
+        return spearman(df, columns)
     raise ValueError(f"method must be 'pearson' or 'spearman', not {method!r}")
 
 
-def pearson(
-    df: DataFrame, columns: dict[str, Column], pairs: list[Pair], shift: float | None = None
-) -> dict[Pair, float | None]:
-    """``shift``: a value near all column means, if one is known; else the means are taken first."""
-    if len(pairs) <= EXPRESSION_PAIRS:
-        return _pearson_expressions(df, columns, pairs)
-    return _pearson_products(df, columns, pairs, shift)
+def pearson(df: DataFrame, columns: dict[str, Column], pairs: list[Pair]) -> dict[Pair, float | None]:
+    """One method for any number of pairs: moments about each pair's own means.
 
-
-def _pearson_expressions(df, columns, pairs):
-    """A few pairs in one JVM aggregation."""
-    exprs = []
-    for i, (a, b) in enumerate(pairs):
-        x = F.when(columns[b].isNotNull(), columns[a])
-        y = F.when(columns[a].isNotNull(), columns[b])
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        exprs.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"))
-    row = df.agg(*exprs).first()
-    return {p: _clip(row[f"r{i}"]) for i, p in enumerate(pairs)}
-
-
-def _clip(r: float | None) -> float | None:
-    return None if r is None or np.isnan(r) else float(min(1.0, max(-1.0, r)))
-
-
-def _pearson_products(df, columns, pairs, known_shift=None):
-    """More pairs: each task sums k x k products of its Arrow batches; tasks are then added.
-
-    One matrix product per batch replaces three aggregates per pair, whose generated code
-    would outgrow what the JVM compiles. Columns are shifted by their mean first, which
-    keeps the sums of squares accurate.
+    A task keeps, for every pair, the number of common rows, their means and the sums of squares and
+    products about these, and merges its Arrow batches by the parallel update; the tasks' cells are
+    written and merged the same way, about the means of all. No sum about a distant point is taken,
+    so neither a large offset nor rows outside a pair cost accuracy.
     """
     names = list(columns)
     k = len(names)
-    if known_shift is None:
-        stats = df.agg(*[F.avg(columns[c]).alias(f"m{i}") for i, c in enumerate(names)]).first()
-        shift = np.array([stats[f"m{i}"] or 0.0 for i in range(k)])
-    else:
-        shift = np.full(k, known_shift)
     plain = df.select(*[columns[c].cast("double").alias(f"x{i}") for i, c in enumerate(names)])
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((4, k, k))
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, k, k))
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - shift
-            there = ~np.isnan(x)
-            x, there = np.where(there, x, 0.0), there.astype(float)
-            total[0] += there.T @ there
-            total[1] += x.T @ there
-            total[2] += (x * x).T @ there
-            total[3] += x.T @ x
-        i, j = np.divmod(np.arange(k * k), k)
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            total = _merged(total, _batch_moments(x))
+        i, j = np.triu_indices(k, 1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(t.ravel()) for t in total]],
-            names=["i", "j", "n", "s", "q", "p"],
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(t[i, j]) for t in total]],
+            names=["i", "j", *MOMENTS],
         )
 
-    cells = (
-        plain.mapInArrow(sums, "i int, j int, n double, s double, q double, p double")
-        .groupBy("i", "j")
-        .agg(*[F.sum(c).alias(c) for c in "nsqp"])
-        .collect()  # k * k rows
+    schema = "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS)
+    cells, _ = write_table(plain.mapInArrow(moments, schema).where("n > 0"))
+    means = cells.groupBy("i", "j").agg(
+        F.sum("n").alias("rows"), (F.sum(F.col("n") * F.col("mx"))/ F.sum("n")).alias("ax"), (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("ay")
     )
-    at = np.zeros((4, k, k))
-    for c in cells:
-        at[:, c["i"], c["j"]] = c["n"], c["s"], c["q"], c["p"]
-    n, s, q, p = at
+    off_x, off_y = F.col("mx") - F.col("ax"), F.col("my") - F.col("ay")
+    merged = (
+        cells.join(F.broadcast(means), ["i", "j"])  # a row per pair
+        .groupBy("i", "j")
+        .agg(
+            F.first("rows").alias("rows"), F.first("ax").alias("ax"), F.first("ay").alias("ay"),
+            F.sum(F.col("xx") + F.col("n") * off_x * off_x).alias("xx"),
+            F.sum(F.col("yy") + F.col("n") * off_y * off_y).alias("yy"),
+            F.sum(F.col("xy") + F.col("n") * off_x * off_y).alias("xy"),
+        )
+        .collect()  # a row per pair
+    )
+    at = {(names[r["i"]], names[r["j"]]): r for r in merged}
     out: dict[Pair, float | None] = {}
-    where = {c: i for i, c in enumerate(names)}
     for a, b in pairs:
-        i, j = where[a], where[b]
-        if n[i, j] == 0:
-            out[a, b] = None
-            continue
-        var_a = q[i, j] - s[i, j] ** 2 / n[i, j]
-        var_b = q[j, i] - s[j, i] ** 2 / n[i, j]
-        noise = 1e-12  # what rounding leaves of a constant column's variance
-        if var_a <= noise * q[i, j] or var_b <= noise * q[j, i]:
+        r = at.get((a, b)) or at.get((b, a))
+        if r is None or _constant(r["xx"], r["rows"], r["ax"]) or _constant(r["yy"], r["rows"], r["ay"]):
             out[a, b] = None
-            continue
-        out[a, b] = _clip((p[i, j] - s[i, j] * s[j, i] / n[i, j]) / np.sqrt(var_a * var_b))
+        else:
+            out[a, b] = _clip(r["xy"] / (np.sqrt(r["xx"]) * np.sqrt(r["yy"])))
     return out
 
 
-def spearman(df: DataFrame, columns: list[str], id_col: str | None = None) -> dict[Pair, float | None]:
+#: Common rows, means, sums of squares about them, and the sum of products.
+MOMENTS = ["n", "mx", "my", "xx", "yy", "xy"]
+
+
+def _constant(squares: float, rows: float, mean: float) -> bool:
+    """Whether a spread is no more than the rounding of the mean."""
+    return not squares > rows * (4 * np.finfo(float).eps * abs(mean)) ** 2
+
+
+def _clip(r: float | None) -> float | None:
+    return None if r is None or np.isnan(r) else float(min(1.0, max(-1.0, r)))
+
+
+def _batch_moments(x: np.ndarray) -> np.ndarray:
+    """MOMENTS of every pair of columns over the rows that have both."""
+    k = x.shape[1]
+    there = ~np.isnan(x)
+    out = np.zeros((6, k, k))
+    whole = np.flatnonzero(there.all(axis=0)) if len(x) else np.empty(0, int)
+    if len(whole):
+        mean = x[:, whole].mean(axis=0)
+        d = x[:, whole] - mean
+        d -= d.mean(axis=0)
+        products = d.T @ d
+        at = np.ix_(whole, whole)
+        out[0][at] = len(x)
+        out[1][at], out[2][at] = mean[:, None], mean[None, :]
+        out[3][at], out[4][at] = np.diag(products)[:, None], np.diag(products)[None, :]
+        out[5][at] = products
+    gappy = set(range(k)) - set(whole.tolist())
+    for i in range(k):
+        for j in range(i + 1, k):
+            if i in gappy or j in gappy:
+                both = there[:, i] & there[:, j]
+                n = int(both.sum())
+                if n:
+                    a, b = x[both, i], x[both, j]
+                    da, db = a - a.mean(), b - b.mean()
+                    out[:, i, j] = n, a.mean(), b.mean(), da @ da, db @ db, da @ db
+    return out
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    both = a[0] * share
+    return np.stack(
+        [n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * both, a[4] + b[4] + dy * dy * both, a[5] + b[5] + dx * dy * both]
+    )
+
+
+def spearman(df: DataFrame, columns: list[str]) -> dict[Pair, float | None]:
     """Pearson correlation of average ranks.
 
     Ranks are taken over each pair's common rows. A partner without nulls does not change a
@@ -126,7 +144,6 @@ def spearman(df: DataFrame, columns: list[str], id_col: str | None = None) -> di
     ranking of the column restricted to their rows.
     """
     gaps = df.agg(
-        F.count(F.lit(1)).alias("rows"),
         *[F.count_if(as_double(c).isNull()).alias(f"g{i}") for i, c in enumerate(columns)],
     ).first()
     has_gaps = {c: gaps[f"g{i}"] > 0 for i, c in enumerate(columns)}
@@ -141,22 +158,23 @@ def spearman(df: DataFrame, columns: list[str], id_col: str | None = None) -> di
             own = as_double(x)
             ranked[ranking(x, y)] = F.when(as_double(y).isNotNull(), own) if has_gaps[y] else own
     names = {r: f"rank{i}" for i, r in enumerate(ranked)}
-    with_ranks = average_ranks(df, {names[r]: x for r, x in ranked.items()}, id_col)
+    with_ranks = average_ranks(df, {names[r]: x for r, x in ranked.items()})
     wanted = {(names[ranking(a, b)], names[ranking(b, a)]): (a, b) for a, b in pairs}
-    middle = (gaps["rows"] + 1) / 2  # the mean rank of a column without gaps
-    found = pearson(with_ranks, {n: col(n) for n in names.values()}, list(wanted), middle)
+    found = pearson(with_ranks, {n: col(n) for n in names.values()}, list(wanted))
     return {wanted[p]: r for p, r in found.items()}
 
 
 def average_ranks(
     df: DataFrame,
     columns: dict[str, Column],
-    id_col: str | None = None,
     *,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Rows with the average rank of every named expression (null stays null)."""
+    """Rows with the average rank of every named expression (null stays null).
+
+    Rows are told apart by a number of their own, never by a column of the caller's.
+    """
     counts = value_table(df, columns)
     table = running_total(
         counts.table.filter(F.col("value").isNotNull()),
@@ -169,7 +187,7 @@ def average_ranks(
     )
     ranks = table.withColumn("rank", F.col("before") + (F.col("n") + 1) / 2)
     code = {"rank": F.col("rank")}
-    if counts.rows <= broadcast_rows:
+    if counts.rows <= broadcast_rows and counts.n_bytes <= BROADCAST_BYTES:  # as look_up decides
         ranks, _ = write_table(ranks)
         out = df.select(*[x.alias(n) for n, x in columns.items()])
         for name in columns:
@@ -177,14 +195,12 @@ def average_ranks(
         return out.select(*[col(f"__{n}").alias(n) for n in columns])
 
     # many distinct values: rank narrow (row, column, value) cells, then bring each row together
-    if id_col is None:
-        numbered = df.select(*[x.alias(n) for n, x in columns.items()])
-        df, _ = write_table(numbered.withColumn("__row", F.monotonically_increasing_id()))
-        id_col, columns = "__row", {n: col(n) for n in columns}
-    cells = long_form(df, columns, {"__row": col(id_col)}).filter(F.col("value").isNotNull())
+    numbered = df.select(*[x.alias(n) for n, x in columns.items()])
+    rows, _ = write_table(numbered.withColumn("__row", F.monotonically_increasing_id()))
+    cells = long_form(rows, {n: col(n) for n in columns}, {"__row": col("__row")}).filter(F.col("value").isNotNull())
     tagged = cells.withColumn("value", F.struct("column", "value"))
     keyed = ranks.withColumn("value", F.struct("column", "value")).withColumn("column", F.lit("cell"))
     ranked = look_up(tagged, counts.with_table(keyed), "cell", F.col("value"), code, row_salt(tagged, "__row"))
     return ranked.groupBy("__row").agg(
         *[F.max(F.when(F.col("column") == n, F.col("rank"))).alias(n) for n in columns]
-    )
+    ).drop("__row")

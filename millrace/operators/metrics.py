@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -26,9 +27,11 @@ def pair_counts(df: DataFrame, label_col: str, prediction_col: str = "prediction
 
 
 def _collected(counts: DataFrame) -> dict[tuple[Any, Any], int]:
-    rows = counts.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} (true, predicted) pairs; these are not class labels")
+    """The pairs, after a check of the number of classes: at most its square reach the driver."""
+    classes = counts.select("true_label").union(counts.select("predicted")).distinct().limit(MAX_CLASSES + 1).count()
+    if classes > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes; these are not class labels")
+    rows = counts.collect()
     return {(r["true_label"], r["predicted"]): r["n"] for r in rows}
 
 
@@ -38,10 +41,12 @@ def _share(part: float, whole: float) -> float:
 
 def _per_class(pairs: dict[tuple[Any, Any], int], labels: list[Any]) -> dict[Any, dict[str, float]]:
     out = {}
+    by_true, by_predicted = Counter(), Counter()
+    for (t, p), n in pairs.items():
+        by_true[t] += n
+        by_predicted[p] += n
     for c in labels:
-        hit = pairs.get((c, c), 0)
-        support = sum(n for (t, _), n in pairs.items() if t == c)
-        claimed = sum(n for (_, p), n in pairs.items() if p == c)
+        hit, support, claimed = pairs.get((c, c), 0), by_true[c], by_predicted[c]
         precision, recall = _share(hit, claimed), _share(hit, support)
         out[c] = {
             "precision": precision,

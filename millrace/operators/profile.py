@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import MAX_CLASSES, as_double, col, in_parallel, numeric_columns
+from millrace.functions.columns import as_double, col, in_parallel, numeric_columns
 from millrace.functions.correlation import correlations
 from millrace.functions.moments import sample_kurtosis, sample_skewness
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.values import long_form
 from millrace.operators.derive import parsed_date
+from millrace.sources.scratch import write_table
 
 AGGREGATES_PER_JOB = 32
 JOBS_AT_ONCE = 4
@@ -274,13 +275,8 @@ def _value_statistics(df: DataFrame, kinds: dict[str, T.DataType]) -> dict[str,
 def label_distribution(df: DataFrame, label_col: str) -> DataFrame:
     """Rows and share per class; null is a class. Largest first."""
     counts = df.groupBy(col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("count"))
-    rows = counts.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"'{label_col}' has more than {MAX_CLASSES} distinct values; not a class label")
-    total = sum(r["count"] for r in rows)
-    schema = counts.schema.add("pct", "double")
-    shares = [(r["label"], r["count"], r["count"] / total) for r in rows]
-    return df.sparkSession.createDataFrame(shares, schema).orderBy(F.desc("count"), "label")
+    written, total = write_table(counts, n=F.sum("count"))
+    return written.withColumn("pct", F.col("count") / F.lit(total["n"])).orderBy(F.desc("count"), "label")
 
 
 def redundancy_report(df: DataFrame, threshold: float = REDUNDANCY) -> DataFrame:

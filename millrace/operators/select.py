@@ -63,15 +63,12 @@ class VarianceThreshold(Configured, Estimator, Persisted):
 
 def correlated_columns(columns: list[str], found: dict[Pair, float | None], threshold: float) -> list[str]:
     """Of each correlated pair the later column goes, unless its partner went before."""
-    dropped: list[str] = []
-    for i, kept in enumerate(columns):
-        if kept in dropped:
-            continue
-        for later in columns[i + 1 :]:
-            r = found[kept, later]
-            if later not in dropped and r is not None and abs(r) >= threshold:
-                dropped.append(later)
-    return dropped
+    kept: list[str] = []
+    for c in columns:
+        known = [abs(found[k, c]) for k in kept if found[k, c] is not None]
+        if not any(r >= threshold for r in known):
+            kept.append(c)
+    return [c for c in columns if c not in kept]
 
 
 class CorrelationThreshold(Configured, Estimator, Persisted):
@@ -83,9 +80,8 @@ class CorrelationThreshold(Configured, Estimator, Persisted):
 
     def _fit(self, df: DataFrame) -> DropModel:
         columns = self.numeric(df)
-        key = [c for c in [self.get("idCol")] if c in df.columns]
-        numbers, _ = write_table(df.select(*[col(c) for c in [*columns, *key]]))  # read several times
-        found = correlations(numbers, columns, self.get("method"), key[0] if key else None)
+        numbers, _ = write_table(df.select(*[col(c) for c in columns]))  # read several times
+        found = correlations(numbers, columns, self.get("method"))
         return self.model(DropModel, drop=correlated_columns(columns, found, self.get("threshold")))
 
 

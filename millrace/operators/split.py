@@ -7,6 +7,7 @@ hash with its class's threshold, evaluated where the row is.
 
 from __future__ import annotations
 
+import logging
 import math
 from typing import Any
 
@@ -19,6 +20,8 @@ DIGITS = 3
 LISTED_ROWS = 2_000
 HASH_LENGTH = 32
 
+log = logging.getLogger(__name__)
+
 
 def row_hash(id_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", col(id_col).cast("string"), F.lit(str(seed))))
@@ -120,10 +123,30 @@ def with_test_flag(
     return df.withColumn(out, _choose(col(label_col), inside, F.lit(None).cast("boolean")))
 
 
+def labelled(df: DataFrame, label_col: str) -> DataFrame:
+    """The rows that have a label; says how many have none."""
+    without = df.filter(col(label_col).isNull()).count()
+    if without:
+        log.warning("%d rows have no '%s': left out", without, label_col)
+    return df.filter(col(label_col).isNotNull())
+
+
 def stratified_split(
-    df: DataFrame, id_col: str, label_col: str, *, test_size: float = 0.2, seed: int = 42
+    df: DataFrame, id_col: str, label_col: str, *, test_size: float = 0.2, seed: int = 42, unlabelled: str = "raise"
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with every class's share kept."""
+    """(train, test) with every class's share kept.
+
+    Rows without a label belong to no class: they are an error, or with ``unlabelled="leave out"``
+    they are counted in a warning and are on neither side.
+    """
+    if unlabelled not in ("raise", "leave out"):
+        raise ValueError(f"unlabelled must be 'raise' or 'leave out', not {unlabelled!r}")
+    if unlabelled == "raise":
+        without = df.filter(col(label_col).isNull()).count()
+        if without:
+            raise ValueError(f"{without} rows have no '{label_col}'; drop them or pass unlabelled='leave out'")
+    else:
+        df = labelled(df, label_col)
     flagged = with_test_flag(df, id_col, label_col, test_size=test_size, seed=seed, out="__test")
     return flagged.filter("not __test").drop("__test"), flagged.filter("__test").drop("__test")
 

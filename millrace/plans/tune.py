@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from millrace.functions.columns import class_counts, col
-from millrace.operators.split import with_folds
+from millrace.operators.split import labelled, with_folds
 from millrace.plans.spec import build_pipeline, read_spec
 from millrace.plans.validate import PARALLEL_FITS, fold_scores
 from millrace.sources.scratch import write_table
@@ -87,9 +87,9 @@ def tune(
         raise ValueError(f"no search space for model type '{kind}'; supported: {sorted(spaces)}")
     if n_trials < 1 or cv_folds < 2:
         raise ValueError("n_trials must be at least 1 and cv_folds at least 2")
-    labelled = df.filter(col(label_col).isNotNull())
-    classes = [c for c, _ in class_counts(labelled, label_col)]
-    folded, _ = write_table(with_folds(labelled, id_col, label_col, n_splits=cv_folds, seed=seed))
+    known = labelled(df, label_col)
+    classes = [c for c, _ in class_counts(known, label_col)]
+    folded, _ = write_table(with_folds(known, id_col, label_col, n_splits=cv_folds, seed=seed))
 
     rng = random.Random(seed)
     started = time.monotonic()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, in_parallel
 from millrace.operators.metrics import COSTS, LABELS, pair_counts, scores
-from millrace.operators.split import with_folds
+from millrace.operators.split import labelled, with_folds
 from millrace.sources.scratch import write_table
 
 SCORES = ("accuracy", "f1_macro", "f1_weighted", "cost")
@@ -74,7 +74,7 @@ def cross_val_eval(
     are not repeated by every stage of every fold.
     """
     labels, costs = labels or LABELS, costs or COSTS
-    folded, _ = write_table(with_folds(df.filter(col(label_col).isNotNull()), id_col, label_col, n_splits=n_splits, seed=seed))
+    folded, _ = write_table(with_folds(labelled(df, label_col), id_col, label_col, n_splits=n_splits, seed=seed))
     found = fold_scores(
         pipeline, folded, label_col, n_splits=n_splits, labels=labels, costs=costs, parallelism=parallelism
     )

@@ -9,7 +9,10 @@ from millrace.functions.columns import col
 
 def write(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     if fmt == "csv":
-        df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+        # white space at the ends of a text belongs to it
+        df.write.mode("overwrite").csv(
+            path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     elif fmt == "parquet":
         df.write.mode("overwrite").parquet(path)
     else:

@@ -26,19 +26,28 @@ LISTED_IDS = 20
 
 
 def read_table(
-    spark: SparkSession, path: str, *, fmt: str | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    fmt: str | None = None,
+    schema: T.StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A Parquet table, or a CSV table with a header; NaN and missing texts become null.
 
     A CSV without a given schema is typed by one pass over its cells: whole numbers, then
-    decimal numbers, then true/false without gaps, else text.
+    decimal numbers, then true/false without gaps, else text. A record with more or fewer cells than
+    the header is an error. Quoted line breaks need ``multi_line``, which reads a file in one task.
     """
     kind = fmt or ("csv" if path.lower().rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
     if kind == "parquet":
         return nan_to_null(spark.read.parquet(path))
     if kind != "csv":
         raise ValueError(f"format must be 'csv' or 'parquet', not {kind!r}")
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', inferSchema=False, nullValue="")
+    raw = (
+        spark.read.option("columnPruning", False)  # else cells that no one asks for are not counted
+        .csv(path, header=True, quote='"', escape='"', inferSchema=False, nullValue="", mode="FAILFAST", multiLine=multi_line)
+    )
     texts = raw.select(*[F.when(~col(c).isin(MISSING_TEXTS), col(c)).alias(c) for c in raw.columns])
     if schema is not None:
         wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

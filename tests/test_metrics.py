@@ -73,3 +73,10 @@ def test_chart_tables(spark, frame):
     assert [tuple(r) for r in comparison.collect()] == [("m", "accuracy", 0.5), ("m", "f1_macro", 0.25)]
     top = charts.top_importances(spark, {"a": 0.1, "b": 0.7, "c": 0.2}, 2)
     assert [tuple(r) for r in top.collect()] == [("b", 0.7), ("c", 0.2)]
+
+
+def test_many_classes(frame):
+    rows = [(i % 150, (i + (i % 7 == 0)) % 150) for i in range(6000)]
+    df = frame(rows, "y long, prediction long")
+    got = scores(pair_counts(df, "y"), list(range(150)))
+    assert got["accuracy"] == sum(a == b for a, b in rows) / len(rows)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.ml import PipelineModel
 
-from millrace.operators.models import BoostedTrees, ClassifierModel, LeafLimitedTrees, LogisticClassifier, RandomForest
+from millrace.operators.models import BoostedTrees, ClassifierModel, LeafLimitedTrees, LogisticClassifier, RandomForest, tree_depth
 
 CLASSES = ["functional", "functional needs repair", "non functional"]
 SCHEMA = "id long, a double, b double, c double, d double, y string"
@@ -87,6 +87,9 @@ def test_parameters(spark):
         LogisticClassifier(C=0.0)
     with pytest.raises(ValueError):
         RandomForest(class_weight="heavy")
+    with pytest.raises(ValueError, match="30"):
+        tree_depth(40)
+    assert tree_depth(None) == 30 and RandomForest(max_bins=64).get("max_bins") == 64
     assert RandomForest(max_depth=None).get("max_depth") is None
     assert BoostedTrees().get("n_estimators") == 500
     assert LeafLimitedTrees().get("num_leaves") == 63

@@ -130,10 +130,8 @@ def spark_rows(data):
 
 
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
-@pytest.mark.parametrize("expressions", [0, 100])
 @pytest.mark.parametrize("partitions", [1, 7])
-def test_correlation_matches_pandas(frame, gaps, monkeypatch, method, expressions, partitions):
-    monkeypatch.setattr(correlation_module, "EXPRESSION_PAIRS", expressions)
+def test_correlation_matches_pandas(frame, gaps, method, partitions):
     df = frame(spark_rows(gaps), "id long, a double, b double, c double, d double, e double", partitions)
     want = gaps.corr(method="pearson") if method == "pearson" else None
     for (x, y), r in correlations(df, list("abcde"), method).items():
@@ -148,12 +146,37 @@ def test_correlation_matches_pandas(frame, gaps, monkeypatch, method, expression
             assert r == pytest.approx(expected, abs=1e-9)
 
 
-@pytest.mark.parametrize("id_col", ["id", None])
-def test_ranks_without_broadcast(frame, gaps, id_col):
+def test_correlation_far_from_zero_and_beside_other_columns(frame):
+    """A large offset, and rows outside a pair that lie elsewhere; the same with a further column."""
+    rows = []
+    for i in range(300):
+        x = 1e9 + i % 17 + 0.01 * i
+        rows.append((x, None if i % 3 == 0 else 2 * x + i % 5, 5.0, -1e12 if i % 3 == 0 else 1e9 + i % 7))
+    data = pd.DataFrame(rows, columns=list("abcd"))
+    df = frame(rows, "a double, b double, c double, d double", 7)
+    whole = correlations(df, list("abcd"), "pearson")
+    few = correlations(df, list("ab"), "pearson")
+    both = data.dropna(subset=["b"])
+    want = (both.a - 1e9).corr(both.b - 2e9)
+    assert whole["a", "b"] == pytest.approx(want, abs=1e-8) and few["a", "b"] == pytest.approx(want, abs=1e-8)
+    assert whole["b", "d"] == pytest.approx((both.b - 2e9).corr(both.d - 1e9), abs=1e-6)
+    assert whole["a", "c"] is None and whole["c", "d"] is None
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_spearman_does_not_depend_on_repeated_ids(frame, monkeypatch, limit):
+    monkeypatch.setattr(correlation_module, "BROADCAST_BYTES", limit)
+    rows = [(i % 20 or None, float(i * 7 % 31), float(i * 11 % 23)) for i in range(400)]
+    df = frame(rows, "id long, a double, b double", 5)
+    data = pd.DataFrame(rows, columns=["id", "a", "b"]).rank()
+    assert correlations(df, ["a", "b"], "spearman")["a", "b"] == pytest.approx(data.a.corr(data.b), abs=1e-9)
+
+
+def test_ranks_without_broadcast(frame, gaps):
     """The shuffled path, with a value that fills a third of the rows and short buckets."""
     rows = [(i, 5.0 if i % 3 == 0 else float(i * 31 % 97), None if i % 4 == 0 else float(i % 10)) for i in range(600)]
     df = frame(rows, "id long, a double, b double", 5)
-    out = average_ranks(df, {"a": col("a"), "b": col("b")}, id_col, broadcast_rows=0, rows_per_bucket=20)
+    out = average_ranks(df, {"a": col("a"), "b": col("b")}, broadcast_rows=0, rows_per_bucket=20)
     got = out.collect()
     want = pd.DataFrame(rows, columns=["id", "a", "b"])[["a", "b"]].rank()
     for c in "ab":

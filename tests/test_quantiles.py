@@ -33,6 +33,24 @@ def test_all_distinct_narrowing(frame):
     assert got["a"] == pytest.approx([0.0, 3001.0, 15005.0, 30010.0])
 
 
+def test_infinite_values(frame):
+    df = frame([(1.0,), (2.0,), (float("inf"),), (float("inf"),), (float("inf"),)], "a double")
+    assert exact_quantiles(df, ["a"], [0.5, 0.75, 1.0])["a"] == [float("inf")] * 3
+
+
+def test_estimate_does_not_depend_on_session_settings(spark, frame):
+    df = frame([(float(i * 37 % 1000),) for i in range(1000)], "a double", 6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("1", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(exact_quantiles(df, ["a"], [0.5], approx=True))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
+
+
 def test_nulls_and_nans_are_left_out(frame):
     df = frame([(1.0, None), (3.0, None), (None, None), (float("nan"), None)], "a double, b double")
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [2.0], "b": [None]}

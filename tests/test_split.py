@@ -1,4 +1,5 @@
 import hashlib
+import logging
 import math
 from collections import Counter
 
@@ -28,9 +29,13 @@ def test_split_is_exact_and_independent_of_partitions(frame, partitions):
     assert got | {r["id"] for r in train.collect()} == {i for i, _ in data}
 
 
-def test_split_leaves_out_unlabelled_rows_and_checks_size(frame):
+def test_split_never_loses_unlabelled_rows_silently_and_checks_size(frame, caplog):
     df = frame([(1, "a"), (2, "a"), (3, None), (4, "a"), (5, "a")], "id long, y string")
-    train, test = stratified_split(df, "id", "y", test_size=0.25)
+    with pytest.raises(ValueError, match="1 rows have no 'y'"):
+        stratified_split(df, "id", "y", test_size=0.25)
+    with caplog.at_level(logging.WARNING, logger="millrace.operators.split"):
+        train, test = stratified_split(df, "id", "y", test_size=0.25, unlabelled="leave out")
+    assert "1 rows have no 'y'" in caplog.text
     assert (train.count(), test.count()) == (3, 1)
     with pytest.raises(ValueError):
         stratified_split(df, "id", "y", test_size=1.0)
