@@ -88,4 +88,41 @@ ORACLES = {
         SELECT doc_id, count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM k GROUP BY r, doc_id""",
+    "op6_decontamination": r"""
+        WITH i AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+        d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        j AS (SELECT item_id, w, least(10, len(w)) AS m FROM i WHERE len(w) > 0),
+        iw AS (SELECT DISTINCT item_id, m, list_slice(w, a, a + m - 1) AS s FROM j, unnest(range(1, len(w) - m + 2)) AS t(a)),
+        dw AS (SELECT doc_id, m, a, list_slice(w, a, a + m - 1) AS s
+               FROM d, (SELECT DISTINCT m FROM j) AS l, unnest(range(1, len(w) - m + 2)) AS t(a)),
+        met AS (SELECT dw.doc_id, dw.m, dw.a, item_id FROM dw JOIN iw USING (s)),
+        hit AS (SELECT doc_id, count(DISTINCT a + k) AS n_hit FROM met, unnest(range(m)) AS u(k) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op9_near": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS g FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s AS a JOIN s AS b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+        r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+        SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id
+        FROM d JOIN r ON r.x = d.doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op10_passages": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS s FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+        first AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+        gone AS (SELECT DISTINCT win.doc_id, i + k AS p FROM win JOIN first USING (s), unnest(range(13)) AS u(k)
+                 WHERE m < win.doc_id),
+        word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
