@@ -18,7 +18,7 @@ from millrace.llm.anchors import asked_of, covered, keyed, later_copies, sharing
 from millrace.llm.common import mix, slices, texts_of
 
 #: Bytes of the shortest repeat, and of the gram that is its anchor.
-LENGTH, GRAM = 100, 40
+LENGTH, GRAM = 100, 32
 #: Bytes of one text that are searched for anchors at a time.
 _PIECE = 4 << 20
 #: Suffixes that a task gathers before it sends them on.
