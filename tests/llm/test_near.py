@@ -53,7 +53,7 @@ def corpus(seed, n=160):
     return rows + [(1000, None), (1001, ""), (1002, "one"), (1003, "ONE"), (1004, "one two"), (None, rows[3][1]), (7, rows[9][1]), (7, "z y x w v"), (9, "z y x w v u"), (9, "z y x w v u")]
 
 
-@pytest.mark.parametrize(("k", "percent", "block"), [(3, 90, 4096), (3, 90, 4), (2, 60, 4096), (5, 80, 16)])
+@pytest.mark.parametrize(("k", "percent", "block"), [(3, 90, 4096), (2, 60, 4), (5, 80, 16)])
 def test_equals_brute_force(spark, k, percent, block, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", block)
     rows = corpus(k * percent + block)
