@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.anchors import asked_of, covered, keyed, later_copies, sharing
 from millrace.llm.common import mix, slices, texts_of
+from millrace.sources.scratch import write_table
 
 #: Bytes of the shortest repeat, and of the gram that is its anchor.
 LENGTH, GRAM = 100, 32
@@ -23,8 +24,10 @@ LENGTH, GRAM = 100, 32
 _PIECE = 4 << 20
 #: Suffixes that a task gathers before it sends them on.
 _CHUNK = 100_000
-#: Suffixes with different surroundings in one bucket from which on its strings are compared one by one.
+#: Occurrences of one anchor from which on its strings are dealt by their own hashes and not by the anchor's.
 HOT_BUCKET = 20_000
+#: Surroundings of such anchors whose strings a task settles among themselves at a time.
+_HOT_CHUNK = 20_000
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -157,32 +160,80 @@ def _name(string: bytes) -> int:
     return xxhash.xxh64_intdigest(string) - (1 << 63)
 
 
-def _searched(
-    dealt: DataFrame, asked: DataFrame, length: int, gram: int, hot: int, groups_of: bool
-) -> DataFrame:
-    """Occurrences of repeats, or (not ``groups_of``) per text and bucket the span that those have of which an earlier one exists."""
+def _strings(around: list[tuple[bytes, int, int, int]], length: int) -> tuple[np.ndarray, ...]:
+    """All strings of ``length`` bytes of the surroundings (bytes, key, th, first place): two hashes, key, th, start and whether it is the first of equals.
+
+    A string that two anchors of one text reach is one.
+    """
+    from xxhash import xxh128_digest
+
+    n = np.array([len(whole) - length + 1 for whole, *_ in around], np.int64)
+    digests = b"".join(xxh128_digest(whole[p : p + length]) for whole, *_ in around for p in range(len(whole) - length + 1))
+    high, low = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+    key, th, first = (np.repeat(np.array([x[c] for x in around], np.int64), n) for c in (1, 2, 3))
+    start = first + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
+    order = np.lexsort((start, th, key, low, high))
+    rows = np.stack([high, low, key, th, start])[:, order]
+    other = np.ones(rows.shape, bool)
+    other[:, 1:] = rows[:, 1:] != rows[:, :-1]
+    begins, keep = other[:2].any(axis=0), other.any(axis=0)
+    return (*rows[:, keep], begins[keep])
+
+
+def _suffixes(dealt: DataFrame, asked: DataFrame, length: int, gram: int, frequent: np.ndarray) -> DataFrame:
+    """The suffixes at the anchors that are asked for: h, right, left, key, th, at and sure.
+
+    Surroundings that return in a chunk are settled: the span that the later ones cover is a row
+    with its length in ``sure``, and the hash spread. Of ``frequent`` anchors all strings of
+    ``length`` bytes are rows of their own (``sure`` -1; h and right are the string's two hashes),
+    likewise settled, so that no bucket has more of them than there are chunks.
+    """
     reach = length - gram  # bytes before an anchor
+    sent = dealt.sparkSession.sparkContext.broadcast(frequent)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = set(sent.value.tolist())
         held: dict[tuple, list[tuple]] = {}
         size = 0
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        names = ["h", "right", "left", "key", "th", "at", "sure"]
 
-        def out() -> pa.RecordBatch:
-            columns: dict[str, list] = {c: [] for c in ("h", "right", "left", "key", "th", "at", "sure")}
+        def out() -> Iterator[pa.RecordBatch]:
+            columns: dict[str, list] = {c: [] for c in names}
             again: dict[tuple[int, int], list[tuple[int, int]]] = {}  # by text: where earlier surroundings return
+            hot: list[tuple[bytes, int, int, int]] = []
             for (h, right, left), places in held.items():
                 places = sorted(set(places))  # equal rows are one text
-                for c, v in zip(columns, (h, right, left, *places[0], 0), strict=True):
-                    columns[c].append(v)
+                key, th, at = places[0]
+                if h in often:
+                    hot.append((left[::-1] + right, key, th, at - len(left)))
+                else:
+                    for c, v in zip(columns, (h, right, left, key, th, at, 0), strict=True):
+                        columns[c].append(v)
                 for key, th, at in places[1:]:
                     again.setdefault((key, th), []).append((at - len(left), at + len(right)))
+            for i in range(0, len(hot), _HOT_CHUNK):
+                high, low, key, th, start, first = _strings(hot[i : i + _HOT_CHUNK], length)
+                for k, t, x in zip(key[~first].tolist(), th[~first].tolist(), start[~first].tolist(), strict=True):
+                    again.setdefault((k, t), []).append((x, x + length))
+                n = int(first.sum())
+                second = pa.Array.from_buffers(pa.binary(8), n, [None, pa.py_buffer(low[first].tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(high[first]),
+                        second,
+                        pa.nulls(n, pa.binary()),
+                        *[pa.array(x[first]) for x in (key, th, start)],
+                        pa.array(np.full(n, -1, np.int32)),
+                    ],
+                    names=names,
+                )
             for (key, th), spans in again.items():
                 for first, end in _joined(spans):
                     spread = int(mix(np.array([th ^ first], np.int64).view(np.uint64)).view(np.int64)[0])
                     for c, v in zip(columns, (spread, None, None, key, th, first, end - first), strict=True):
                         columns[c].append(v)
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns.values(), kinds, strict=True)], names=list(columns))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns.values(), kinds, strict=True)], names=names)
 
         for part in slices(batches):
             texts = texts_of(part)
@@ -198,27 +249,35 @@ def _searched(
                     held.setdefault(around, []).append((keys[k], ths[k], at))
                 size += int(hit.sum())
             if size >= _CHUNK:
-                yield out()
+                yield from out()
                 held.clear()
                 size = 0
         if held:
-            yield out()
+            yield from out()
 
     met = dealt.join(asked, ["key", "th"]).select("key", "th", "doc_id", "text", "anchors")
-    found = met.mapInArrow(suffixes, "h bigint, right binary, left binary, key bigint, th bigint, at bigint, sure int")
+    return met.mapInArrow(suffixes, "h bigint, right binary, left binary, key bigint, th bigint, at bigint, sure int")
+
+
+def _searched(
+    dealt: DataFrame, asked: DataFrame, length: int, gram: int, frequent: np.ndarray, groups_of: bool
+) -> DataFrame:
+    """Occurrences of repeats, or (not ``groups_of``) per text and bucket the span that those have of which an earlier one exists."""
+    found = _suffixes(dealt, asked, length, gram, frequent)
     bucket = Window.partitionBy("h")
     # a suffix alone in its bucket repeats nothing; the order makes each bucket a stretch of the suffix array
     array = (
-        found.withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1 OR sure > 0").sortWithinPartitions("h", "right", "left", "key", "th", "at")
+        found.withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1 OR sure > 0").sortWithinPartitions("h", "right", "left", "key", "th", "at", "sure")
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         bucket: list[tuple] = []
+        string: tuple = ()  # the last row of a string of its own that is the first of its equals
 
         def grouped() -> Iterator[tuple[int, int, list[int]]]:
             right, left = [b[1] for b in bucket], [b[2] for b in bucket]
-            return (_one_by_one if len(bucket) > hot else maximal_repeats)(right, left, length)
+            return maximal_repeats(right, left, length)
 
         def name_all() -> None:
             if len(bucket) < 2:
@@ -245,9 +304,15 @@ def _searched(
         settle = name_all if groups_of else cover
         for b in batches:
             for row in zip(*[b.column(c).to_pylist() for c in ("h", "right", "left", "key", "th", "at", "sure")], strict=True):
-                if row[6]:  # the same surroundings stand earlier in its chunk
+                if row[6] > 0:  # the same surroundings or string stand earlier in its chunk
                     rows.append((0, row[6], row[3], row[4], row[5], False))
                     continue
+                if row[6] < 0:
+                    if string[:2] != row[:2]:
+                        string = row
+                    elif string[3:6] != row[3:6]:
+                        rows.append((0, length, row[3], row[4], row[5], False))
+                    continue
                 if bucket and bucket[0][0] != row[0]:
                     settle()
                     bucket = []
@@ -261,29 +326,28 @@ def _searched(
     return array.select("h", "right", "left", "key", "th", "at", "sure").mapInArrow(scan, REPEATS)
 
 
-def _one_by_one(right: list[bytes], left: list[bytes], length: int) -> Iterator[tuple[int, int, list[int]]]:
-    """As maximal_repeats for large buckets, in time in proportion to their size: strings of just ``length`` bytes, by hash.
+def _shared(rows: DataFrame, length: int, gram: int, hot: int = 0) -> DataFrame:
+    """Per key the shared anchors; in place of its place each has how often it came before in its text, ``hot`` at most."""
 
-    Every split of ``length`` bytes over the two sides is one string; the groups are those of equal strings.
-    """
-    for e in range(0, max(map(len, left)) + 1):
-        same: dict[bytes, list[int]] = {}
-        for i in range(len(right)):
-            if len(left[i]) >= e and len(right[i]) >= length - e:
-                same.setdefault(left[i][:e] + right[i][: length - e], []).append(i)
-        for group in same.values():
-            if len(group) > 1:
-                yield e, length - e, group
-
-
-def _shared(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h, owner, _ = byte_anchors(texts, length, gram)
-        return h, owner, np.zeros(len(h), np.int32)
+        order = np.lexsort((h, owner))
+        begins = np.ones(len(h), bool)
+        begins[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+        at = np.arange(len(h))
+        before = np.empty(len(h), np.int64)
+        before[order] = at - np.maximum.accumulate(np.where(begins, at, 0))
+        return h, owner, np.minimum(before, hot)
 
     return sharing(rows, anchors, inside=True, by="key")
 
 
+def _frequent(shared: DataFrame, hot: int) -> np.ndarray:
+    """The anchors with more than ``hot`` occurrences; as each has so many, they are few."""
+    often = shared.select(F.explode("anchors.h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
+    return np.array([r["h"] for r in often.select("h").collect()], np.int64)
+
+
 def find_repeats(
     docs: DataFrame,
     length: int = LENGTH,
@@ -304,7 +368,7 @@ def find_repeats(
     everywhere = rows.select("key", "th").distinct()
     asked = everywhere.join(_shared(rows, length, gram), "key").select("key", "th", F.col("anchors.h").alias("anchors"))
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
-    return _searched(dealt, asked, length, gram, hot, groups_of=True)
+    return _searched(dealt, asked, length, gram, np.empty(0, np.int64), groups_of=True)
 
 
 def remove_repeats(
@@ -324,11 +388,11 @@ def remove_repeats(
     """
     rows = keyed(docs, id_col, text_col)
     copies = later_copies(rows).withColumn("whole", F.lit(True))
-    shared = _shared(rows, length, gram)
+    shared, _ = write_table(_shared(rows, length, gram, hot))
     # the texts move once: both joins read the same exchange
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
     asked = asked_of(rows, shared, copies)
-    found = _searched(dealt, asked, length, gram, hot, groups_of=False)
+    found = _searched(dealt, asked, length, gram, _frequent(shared, hot), groups_of=False)
     gone = found.groupBy("key", "th").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     gone = gone.join(copies, ["key", "th"], "full")
     kind = rows.schema["doc_id"].dataType.simpleString()

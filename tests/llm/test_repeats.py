@@ -153,3 +153,17 @@ def test_groups_have_all_occurrences(spark):
     for v in by.values():
         assert len({texts[r.key][r.start : r.start + r.length] for r in v}) == 1
         assert sum(r.first for r in v) == 1 and min(v, key=lambda r: (r.key, r.start)).first
+
+
+def test_buckets_of_frequent_anchors_are_dealt_by_string(spark, monkeypatch):
+    """A phrase in 300 different contexts: no bucket holds more suffixes than ``hot``, the bytes that go stay the same."""
+    rnd = random.Random(9)
+    own = ["".join(rnd.choice("abcdefgh") for _ in range(40)) for _ in range(300)]
+    rows = [(i, o[:20] + "the phrase" + o[20:]) for i, o in enumerate(own)] + [(400 + i, own[i][11:20] + "the phrase" + own[i][20:29]) for i in range(9)]
+    seen = []
+    searched = repeats._suffixes
+    monkeypatch.setattr(repeats, "_suffixes", lambda *a: seen.append(searched(*a)) or seen[-1])
+    want = brute_after(spark, rows, length=16, gram=8, hot=20)
+    assert sum(r[2] for r in want) > 9 * 16
+    sizes = [r["count"] for r in seen[0].where("sure <= 0").groupBy("h").count().collect()]
+    assert len(sizes) > 300 and max(sizes) <= 20
