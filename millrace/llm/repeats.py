@@ -146,12 +146,15 @@ def _joined(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
 
 
 REPEATS = "repeat bigint, length int, key bigint, th bigint, start bigint, first boolean"
+#: Members of groups: the place of the anchor, and the bytes of the repeat in front of it.
+MEMBERS = "repeat bigint, length int, key bigint, th bigint, at bigint, before int"
+_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
 
 
-def _names(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-    columns = zip(*rows, strict=True) if rows else [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in REPEATS.split(", ")])
+def _names(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*[x.split() for x in schema.split(", ")], strict=True)
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), _KINDS[k]) for c, k in zip(columns, kinds, strict=True)], names=list(names))
 
 
 def _name(string: bytes) -> int:
@@ -180,13 +183,15 @@ def _strings(around: list[tuple[bytes, int, int, int]], length: int) -> tuple[np
     return (*rows[:, keep], begins[keep])
 
 
-def _suffixes(dealt: DataFrame, asked: DataFrame, length: int, gram: int, frequent: np.ndarray) -> DataFrame:
+def _suffixes(dealt: DataFrame, asked: DataFrame, length: int, gram: int, frequent: np.ndarray, groups_of: bool = False) -> DataFrame:
     """The suffixes at the anchors that are asked for: h, right, left, key, th, at and sure.
 
     Surroundings that return in a chunk are settled: the span that the later ones cover is a row
     with its length in ``sure``, and the hash spread. Of ``frequent`` anchors all strings of
     ``length`` bytes are rows of their own (``sure`` -1; h and right are the string's two hashes),
-    likewise settled, so that no bucket has more of them than there are chunks.
+    likewise settled, so that no bucket has more of them than there are chunks. With ``groups_of`` a
+    first one with settled copies has ``sure`` -2, and each copy is a row of ``sure`` -3: its own at, key and th
+    in h, right and left (the latter two written out), those of the first one in key, th and at.
     """
     reach = length - gram  # bytes before an anchor
     sent = dealt.sparkSession.sparkContext.broadcast(frequent)
@@ -208,7 +213,10 @@ def _suffixes(dealt: DataFrame, asked: DataFrame, length: int, gram: int, freque
                 if h in often:
                     hot.append((left[::-1] + right, key, th, at - len(left)))
                 else:
-                    for c, v in zip(columns, (h, right, left, key, th, at, 0), strict=True):
+                    for c, v in zip(columns, (h, right, left, key, th, at, -2 if groups_of and len(places) > 1 else 0), strict=True):
+                        columns[c].append(v)
+                for own in places[1:] if groups_of else []:
+                    for c, v in zip(columns, (own[2], b"%d" % own[0], b"%d" % own[1], *places[0], -3), strict=True):
                         columns[c].append(v)
                 for key, th, at in places[1:]:
                     again.setdefault((key, th), []).append((at - len(left), at + len(right)))
@@ -259,15 +267,14 @@ def _suffixes(dealt: DataFrame, asked: DataFrame, length: int, gram: int, freque
     return met.mapInArrow(suffixes, "h bigint, right binary, left binary, key bigint, th bigint, at bigint, sure int")
 
 
-def _searched(
-    dealt: DataFrame, asked: DataFrame, length: int, gram: int, frequent: np.ndarray, groups_of: bool
-) -> DataFrame:
-    """Occurrences of repeats, or (not ``groups_of``) per text and bucket the span that those have of which an earlier one exists."""
-    found = _suffixes(dealt, asked, length, gram, frequent)
+def _searched(found: DataFrame, length: int, groups_of: bool) -> DataFrame:
+    """Members of repeats (MEMBERS), or (not ``groups_of``) per text and bucket the span that those have of which an earlier one exists."""
+    schema = MEMBERS if groups_of else REPEATS
+    keep = "n > 1 OR sure > 0 OR sure = -2" if groups_of else "n > 1 OR sure > 0"
     bucket = Window.partitionBy("h")
     # a suffix alone in its bucket repeats nothing; the order makes each bucket a stretch of the suffix array
     array = (
-        found.withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1 OR sure > 0").sortWithinPartitions("h", "right", "left", "key", "th", "at", "sure")
+        found.withColumn("n", F.count(F.lit(1)).over(bucket)).where(keep).sortWithinPartitions("h", "right", "left", "key", "th", "at", "sure")
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +292,7 @@ def _searched(
             right, left = [b[1] for b in bucket], [b[2] for b in bucket]
             for e, l, group in grouped():
                 name = _name(left[group[0]][:e][::-1] + right[group[0]][:l])
-                first = min(bucket[i][3:6] for i in group)
-                rows.extend((name, e + l, bucket[i][3], bucket[i][4], bucket[i][5] - e, bucket[i][3:6] == first) for i in group)
+                rows.extend((name, e + l, *place, e) for place in {bucket[i][3:6] for i in group})
 
         def cover() -> None:
             if len(bucket) < 2:
@@ -305,9 +311,9 @@ def _searched(
         for b in batches:
             for row in zip(*[b.column(c).to_pylist() for c in ("h", "right", "left", "key", "th", "at", "sure")], strict=True):
                 if row[6] > 0:  # the same surroundings or string stand earlier in its chunk
-                    rows.append((0, row[6], row[3], row[4], row[5], False))
+                    rows.append((0, row[6], row[3], row[4], row[5], 0 if groups_of else False))
                     continue
-                if row[6] < 0:
+                if row[6] == -1:
                     if string[:2] != row[:2]:
                         string = row
                     elif string[3:6] != row[3:6]:
@@ -317,13 +323,15 @@ def _searched(
                     settle()
                     bucket = []
                 bucket.append(row)
+                if row[6] == -2:  # its settled copies make a group with it, also if it is alone
+                    bucket.append(row)
             if len(rows) > 50_000:
-                yield _names(rows)
+                yield _names(rows, schema)
                 rows = []
         settle()
-        yield _names(rows)
+        yield _names(rows, schema)
 
-    return array.select("h", "right", "left", "key", "th", "at", "sure").mapInArrow(scan, REPEATS)
+    return array.select("h", "right", "left", "key", "th", "at", "sure").mapInArrow(scan, schema)
 
 
 def _shared(rows: DataFrame, length: int, gram: int, hot: int = 0) -> DataFrame:
@@ -352,7 +360,6 @@ def find_repeats(
     docs: DataFrame,
     length: int = LENGTH,
     gram: int = GRAM,
-    hot: int = HOT_BUCKET,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -360,15 +367,37 @@ def find_repeats(
 
     key is the id (nulls as the smallest number), th a hash of the text, start a place in bytes,
     first the earliest occurrence of the group. Strings reach ``length - gram`` bytes before and
-    ``length`` from their anchor; a longer repeat is several of them, which overlap. Where whole
-    surroundings of that reach return inside one task's chunk, the later ones are rows with repeat 0
-    and the length that they cover together; the group has the first of them.
+    ``length`` from their anchor; a longer repeat is several of them, which overlap. Groups have all
+    their occurrences, however the rows are dealt to tasks. Besides, where whole surroundings of
+    that reach return inside one task's chunk, the span that the later ones cover together is a row
+    with repeat 0 and its length. A bucket (the different surroundings of one anchor, once per
+    chunk) is held by one task, whatever its size.
     """
     rows = keyed(docs, id_col, text_col)
     everywhere = rows.select("key", "th").distinct()
     asked = everywhere.join(_shared(rows, length, gram), "key").select("key", "th", F.col("anchors.h").alias("anchors"))
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
-    return _searched(dealt, asked, length, gram, np.empty(0, np.int64), groups_of=True)
+    # written: chunks may differ if computed again, and copies refer to the first of their chunk
+    found, _ = write_table(_suffixes(dealt, asked, length, gram, np.empty(0, np.int64), groups_of=True))
+    members, _ = write_table(_searched(found.where("sure <> -3"), length, groups_of=True))
+    copies = found.where("sure = -3").select(
+        "key",
+        "th",
+        "at",
+        F.col("right").cast("string").cast("bigint").alias("own_key"),
+        F.col("left").cast("string").cast("bigint").alias("own_th"),
+        F.col("h").alias("own_at"),
+    )
+    start = (F.col("at") - F.col("before")).alias("start")
+    of_copies = members.where("repeat <> 0").join(copies, ["key", "th", "at"])
+    of_copies = of_copies.select("repeat", "length", F.col("own_key").alias("key"), F.col("own_th").alias("th"), (F.col("own_at") - F.col("before")).alias("start"))
+    # several anchors of one string find its occurrences
+    whole, _ = write_table(members.select("repeat", "length", "key", "th", start).union(of_copies).distinct())
+    place = F.struct("key", "th", "start")
+    first = whole.groupBy("repeat", "length").agg(F.min(place).alias("least"))
+    return whole.join(first, ["repeat", "length"]).select(
+        "repeat", "length", "key", "th", "start", ((F.col("repeat") != 0) & (place == F.col("least"))).alias("first")
+    )
 
 
 def remove_repeats(
@@ -392,7 +421,7 @@ def remove_repeats(
     # the texts move once: both joins read the same exchange
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
     asked = asked_of(rows, shared, copies)
-    found = _searched(dealt, asked, length, gram, _frequent(shared, hot), groups_of=False)
+    found = _searched(_suffixes(dealt, asked, length, gram, _frequent(shared, hot)), length, groups_of=False)
     gone = found.groupBy("key", "th").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     gone = gone.join(copies, ["key", "th"], "full")
     kind = rows.schema["doc_id"].dataType.simpleString()

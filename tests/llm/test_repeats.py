@@ -167,3 +167,24 @@ def test_buckets_of_frequent_anchors_are_dealt_by_string(spark, monkeypatch):
     assert sum(r[2] for r in want) > 9 * 16
     sizes = [r["count"] for r in seen[0].where("sure <= 0").groupBy("h").count().collect()]
     assert len(sizes) > 300 and max(sizes) <= 20
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_groups_keep_the_copies_that_a_chunk_settles(spark, partitions):
+    """Many copies of a text, and a part of it elsewhere: each group has every place where its string stands."""
+    rnd = random.Random(4)
+    text = "".join(rnd.choice("abcdefgh") for _ in range(60))
+    rows = [(i, text) for i in range(40)] + [(50, "Z" + text[10:45] + "Y"), (51, text + text), (60, "only here, and nowhere else at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+    got = [r for r in repeats.find_repeats(docs, length=20, gram=8).collect() if r.repeat]
+    texts = dict(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[(r.repeat, r.length)].append(r)
+    for v in by.values():
+        string = texts[v[0].key][v[0].start : v[0].start + v[0].length]
+        want = sorted((i, m.start()) for i, t in rows for m in re.finditer(f"(?={string})", t))
+        assert sorted((r.key, r.start) for r in v) == want
+        assert [(r.key, r.start) for r in v if r.first] == want[:1]
+    assert {51} | set(range(40)) in [{r.key for r in v} for v in by.values()]
+    assert {50, 51} | set(range(40)) in [{r.key for r in v} for v in by.values()]
