@@ -26,7 +26,7 @@ from millrace.sources.scratch import write_table
 STATES, TOP_WORDS, ENDINGS, ROUNDS = 8, 4096, 1024, 6
 #: Words whose counts every task holds (at most); counts of rarer words are joined.
 HELD_WORDS = 200_000
-#: Tokens that Baum-Welch reads as one sequence (longer texts are several), and tokens worked on at a time.
+#: Steps of Baum-Welch whose forward messages are held at a time (a text of any length is one sequence), and tokens worked on at a time.
 SPAN, BATCH_TOKENS = 256, 400_000
 SMOOTH = 0.1
 
@@ -106,6 +106,12 @@ def _move(a: np.ndarray, move: np.ndarray) -> np.ndarray:
 
 def _in_step(texts: list[np.ndarray]):
     """The texts that aren't empty, longest first, and for each step the symbols of those that reach it."""
+    for order, n, column in _columns(texts):
+        yield order, map(column, range(n))
+
+
+def _columns(texts: list[np.ndarray]):
+    """The texts that aren't empty, longest first, the number of steps, and a step's symbols of those that reach it."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] > 0]
@@ -115,33 +121,47 @@ def _in_step(texts: list[np.ndarray]):
     sizes = sizes[order]
     first = np.cumsum(sizes) - sizes
     active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # texts longer than t
-    yield order, (flat[first[:n] + t] for t, n in enumerate(active.tolist()))
-
-
-def _expected(model: Model, spans: list[np.ndarray], into: dict[str, np.ndarray]) -> None:
-    """Adds one batch's expected counts: the forward and backward recursions of Baum-Welch."""
-    for _, columns in _in_step(spans):
-        steps = list(columns)
-        alpha, scale = [], []
-        for t, s in enumerate(steps):
-            a = model.start[None, :] * model.emit[s] if not t else (alpha[-1][: len(s)] @ model.move) * model.emit[s]
-            c = a.sum(axis=1, keepdims=True)
-            alpha.append(a / c)
-            scale.append(c)
-        into["log10"] += sum(np.log10(c).sum() for c in scale)
-        gammas = [None] * len(steps)
+    yield order, len(active), lambda t: flat[first[: active[t]] + t]
+
+
+def _forward(model: Model, a: np.ndarray | None, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a = (model.start[None, :] if a is None else a[: len(symbols)] @ model.move) * model.emit[symbols]
+    c = a.sum(axis=1, keepdims=True)
+    return a / c, c
+
+
+def _expected(model: Model, texts: list[np.ndarray], into: dict[str, np.ndarray]) -> None:
+    """Adds one batch's expected counts: the forward and backward recursions of Baum-Welch over whole texts.
+
+    Forward messages are kept where a stretch of SPAN steps begins; those inside it are computed again on the way back.
+    """
+    for _, n, column in _columns(texts):
+        kept, a = [], None
+        for t in range(n):
+            if t % SPAN == 0:
+                kept.append(a)
+            a, c = _forward(model, a, column(t))
+            into["log10"] += np.log10(c).sum()
         ahead = None  # emission times beta over scale at the step before this one (going back)
-        for t in range(len(steps) - 1, -1, -1):
-            beta = np.ones_like(alpha[t])
-            if ahead is not None:
-                beta[: len(ahead)] = ahead @ model.move.T
-                into["move"] += model.move * (alpha[t][: len(ahead)].T @ ahead)
-            gammas[t] = alpha[t] * beta
-            ahead = model.emit[steps[t]] * beta / scale[t]
+        for first in range((n - 1) // SPAN * SPAN, -1, -SPAN):
+            steps = [column(t) for t in range(first, min(first + SPAN, n))]
+            alpha, scale, a = [], [], kept.pop()
+            for s in steps:
+                a, c = _forward(model, a, s)
+                alpha.append(a)
+                scale.append(c)
+            gammas = [None] * len(steps)
+            for t in range(len(steps) - 1, -1, -1):
+                beta = np.ones_like(alpha[t])
+                if ahead is not None:
+                    beta[: len(ahead)] = ahead @ model.move.T
+                    into["move"] += model.move * (alpha[t][: len(ahead)].T @ ahead)
+                gammas[t] = alpha[t] * beta
+                ahead = model.emit[steps[t]] * beta / scale[t]
+            flat, gamma = np.concatenate(steps), np.concatenate(gammas)
+            for k in range(gamma.shape[1]):
+                into["emit"][:, k] += np.bincount(flat, gamma[:, k], len(into["emit"]))
         into["start"] += gammas[0].sum(axis=0)
-        flat, gamma = np.concatenate(steps), np.concatenate(gammas)
-        for k in range(gamma.shape[1]):
-            into["emit"][:, k] += np.bincount(flat, gamma[:, k], len(into["emit"]))
 
 
 def _batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
@@ -174,9 +194,8 @@ def _one_round(encoded: DataFrame, model: Model) -> tuple[Model, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         into = {"log10": np.zeros(1), "start": np.zeros(states), "move": np.zeros((states, states)), "emit": np.zeros((symbols, states))}
-        for t in _batches(batches, BATCH_TOKENS):
-            spans = [x[i : i + SPAN] for x in _symbols_of(t) for i in range(0, len(x), SPAN)]
-            _expected(sent.value, spans, into)
+        for t in _batches(batches, 4 * BATCH_TOKENS):
+            _expected(sent.value, _symbols_of(t), into)
         flat = np.concatenate([into[k].ravel() for k in ("log10", "start", "move", "emit")])
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(flat[at])], names=["at", "n"])

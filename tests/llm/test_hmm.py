@@ -122,3 +122,31 @@ def test_no_training_rows_and_empty_table(spark):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in scored.collect()) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     none = docs.limit(0)
     assert hmm.score_texts(none, none["doc_id"] > 0, states=2, rounds=1)[0].collect() == []
+
+
+def test_long_texts_are_one_sequence(spark):
+    """A round over texts of several stretches gives the model of whole texts: transitions everywhere, starts only at their first tokens."""
+    rnd = np.random.default_rng(5)
+    model = hmm._normal(rnd.random(3), rnd.random((3, 3)), rnd.random((6, 3)), np.ones(6))
+    texts = [rnd.integers(0, 6, n).astype(np.int16) for n in (3 * hmm.SPAN + 7, 2 * hmm.SPAN, hmm.SPAN + 1, 5, 1)]
+    start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((6, 3))
+    for text in texts:
+        a, b = [model.start * model.emit[text[0]]], [np.ones(3)]
+        for s in text[1:]:
+            a.append(a[-1] / a[-1].sum() @ model.move * model.emit[s])
+        for s in text[:0:-1]:
+            x = model.move @ (model.emit[s] * b[-1])
+            b.append(x / x.sum())
+        b.reverse()
+        for t, s in enumerate(text):
+            g = a[t] * b[t] / (a[t] @ b[t])
+            emit[s] += g
+            start += g * (t == 0)
+            if t:
+                x = a[t - 1][:, None] * model.move * model.emit[s] * b[t]
+                move += x / x.sum()
+    encoded = spark.createDataFrame([(len(x), bytearray(x.tobytes())) for x in texts], "n_tokens long, symbols binary")
+    got, _ = hmm._one_round(encoded, model)
+    want = hmm._normal(start, move, emit, model.emit @ np.full(3, 1 / 3))
+    for k in ("start", "move", "emit"):
+        assert np.allclose(getattr(got, k), getattr(want, k))
