@@ -44,8 +44,8 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of the documents in sequences of 1,024: one row per piece."""
-    return packing.pack(packing.token_pieces(docs, TOKENIZER, with_ids=False))
+    """The tokens of the documents (ids, little-endian 32-bit numbers) in sequences of 1,024: one row per piece."""
+    return packing.pack(packing.token_pieces(docs, TOKENIZER))
 
 
 STAGES = [

@@ -97,3 +97,25 @@ def test_groups_of_one_length_are_bounded(spark, monkeypatch):
     pieces = spark.range(500).selectExpr("id AS doc_id", "0 AS piece", "300L AS length")
     got = packing.pack(pieces, 1024).collect()
     assert len({(r.sequence_id, r.offset) for r in got}) == 500 and len({r.sequence_id for r in got}) == 167
+
+
+def test_registered_runs_pack_the_ids(spark, tmp_path, monkeypatch):
+    """The pipeline's last stage returns the ids, and the query's digest is that of the packed ids."""
+    import corpus_pipeline
+    from millrace.llm import queries
+
+    rows = [(i, "some words, " * i) for i in range(30)] + [(40, None), (41, "word " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    whole = Tokenizer.from_file(TOKENIZER)
+    want = {}
+    for r in corpus_pipeline.packed(spark, docs, str(tmp_path)).collect():
+        ids = whole.encode(dict(rows)[r.doc_id] or "", add_special_tokens=False).ids + [2]
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.start : r.start + r.length]
+        want[(r.doc_id, r.piece)] = zlib.crc32(r.ids)
+    packs = []
+    pack = packing.pack
+    monkeypatch.setattr(packing, "pack", lambda p: packs.append(p.columns) or pack(p))
+    got = queries.op2_packing(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in got.collect()} == want and "ids" in packs[0]
