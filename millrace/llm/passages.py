@@ -1,4 +1,4 @@
-"""Substring dedup by seed and extend: passages of words that an earlier document has too."""
+"""Substring dedup by anchors and window hashes: passages of words that an earlier document has too."""
 
 from __future__ import annotations
 
@@ -52,10 +52,10 @@ def remove_passages(
     """Per row: doc_id, n_words, removed_spans (maximal runs of removed words: first, end), kept_text.
 
     A passage of ``length`` words or more goes where a document with a smaller id has it too: texts
-    are joined on their anchors, every shared anchor is extended to both sides, and what it extends
-    to over ``length`` words is kept as a repeat; overlapping repeats make one maximal span. The
-    extension is by windows: those that an anchor seeds are compared by their hashes, so the cost of
-    an anchor is in proportion to its occurrences and not to their pairs.
+    are joined on their anchors, and the windows of ``length`` words that a shared anchor seeds are
+    compared by their hashes; windows that overlap or adjoin make one span. Windows replace the extension of
+    seeds: no match is extended beyond a window and no repeats with their partners are formed. So the
+    cost of an anchor is in proportion to its occurrences and not to their pairs.
 
     kept_text has the words left, joined by one space. Null and empty texts have no words; texts
     shorter than ``length`` lose nothing; a null id is smaller than all others; rows that share an
