@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, fingerprint, hmm, lines, near, packing, passages, quality, repeats, secrets
+from millrace.llm import (
+    decontaminate,
+    divergence,
+    fingerprint,
+    hmm,
+    lines,
+    near,
+    packing,
+    passages,
+    periods,
+    quality,
+    repeats,
+    secrets,
+)
 from millrace.llm.common import remainder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +76,14 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.report(passages.remove_passages(table(spark, sf_dir, "documents")))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.report(periods.find_runs(periods.periodic_tails(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
@@ -74,6 +95,8 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_near": op9_near,
     "op10_passages": op10_passages,
+    "op11_divergence": op11_divergence,
+    "op13_periods": op13_periods,
 }
 
 ORACLES = {
@@ -126,4 +149,49 @@ ORACLES = {
         n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
         SELECT d.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op11_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        k AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+        v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+        n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                     1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 2) // (coalesce(n.n, 0) + 2 * v.v) AS p,
+                     1 + 1000000000::HUGEINT * (k.c + 2) // (v.n + 2 * v.v) AS q
+              FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN n USING (lang, source)),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                 FROM p AS a JOIN p AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+        every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+                  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+                  UNION ALL
+                  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM every)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 10""",
+    "op13_periods": r"""
+        WITH tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                     xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+                         lambda c, b: xor(c >> 8, tab.tab[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) AS h FROM documents, tab),
+        e AS (SELECT r, doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h FROM d),
+        f AS (SELECT r, doc_id, n, w, a, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM e),
+        t AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w
+              FROM f),
+        x AS (SELECT r, unnest(w) AS x, unnest(range(n)) AS i FROM t),
+        eq AS (SELECT a.r, a.i, b.i - a.i AS q FROM x AS a JOIN x AS b ON a.r = b.r AND a.x = b.x AND a.i < b.i),
+        isl AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM eq),
+        run AS (SELECT r, min(i) AS s, q, count(*) + q AS l FROM isl GROUP BY r, q, g HAVING count(*) + q >= greatest(12, 2 * q)),
+        u AS (SELECT r, s, l, min(q) AS q FROM run GROUP BY r, s, l),
+        gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM u),
+        kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS k FROM x ANTI JOIN gone USING (r, i) GROUP BY r),
+        best AS (SELECT r, count(*) AS n_runs, arg_min((s, l, q), (-l, s, q)) AS b, string_agg(concat(s, ',', l, ',', q, chr(10)), '' ORDER BY s, q) AS runs
+                 FROM u GROUP BY r)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b[1] AS start, b[2] AS length, b[3] AS period, 1000 * b[2] // b[3] AS exponent_milli,
+               sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
+        FROM t LEFT JOIN best USING (r) LEFT JOIN kept USING (r)""",
 }
