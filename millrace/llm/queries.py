@@ -12,6 +12,7 @@ from millrace.llm import (
     fingerprint,
     hmm,
     lines,
+    minhash,
     near,
     packing,
     passages,
@@ -80,6 +81,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.report(periods.find_runs(periods.periodic_tails(table(spark, sf_dir, "documents"))))
 
@@ -96,6 +101,7 @@ QUERIES = {
     "op9_near": op9_near,
     "op10_passages": op10_passages,
     "op11_divergence": op11_divergence,
+    "op12_minhash": op12_minhash,
     "op13_periods": op13_periods,
 }
 
@@ -172,6 +178,17 @@ ORACLES = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM every)
         SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
         FROM ranked WHERE part = 'pair' OR rank <= 10""",
+    "op12_minhash": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 1) AS g FROM d, unnest(range(1, greatest(len(w), 2))) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s AS a JOIN s AS b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+        r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+        SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id,
+               doc_id = min(r.y) AS kept
+        FROM d JOIN r ON r.x = d.doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op13_periods": r"""
         WITH tab AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
                             lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
