@@ -2,105 +2,69 @@
 
 from __future__ import annotations
 
-import gc
+import json
 import os
-import re
-import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import id_and_text, map_arrow, texts_of
 from millrace.sources.scratch import write_table
 
-#: Pieces of one length that are numbered in one group.
-GROUP_ROWS = 20_000
-#: Strings whose ids a task remembers, twice: of the two generations, the older one is forgotten.
-REMEMBERED = 300_000
-
-#: A space in front of white space or the end, where cutting at spaces could part a pre-token.
-_UNSAFE = re.compile(r" (?:\s|\Z)")
-
+#: Rows (task and length) of the table of first numbers that every task may hold: 16 bytes each.
+HELD_FIRSTS = 2_000_000
+#: Code points without a space, or spaces alone, from which on a text is left to the tokenizer.
+LONG_RUN = 1_000
 
 #: The characters that byte-level BPE writes for bytes: printing ones stand for themselves, the others follow from 256 on.
 _PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTING]
-_BYTE_CHARACTERS = [chr(b if b in _PRINTING else 256 + _OTHERS.index(b)) for b in range(256)]
-
-
-class _Remembered(dict):
-    """Results of ``find`` by string; those not asked for since the last change of generation go first."""
-
-    def __init__(self, find: Callable[[str], bytes]):
-        super().__init__()
-        self.find, self.old = find, {}
-
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        found = self.old.get(key)
-        self[key] = found = self.find(key) if found is None else found
-        return found
+_BYTES = {chr(b if b in _PRINTING else 256 + _OTHERS.index(b)): b for b in range(256)}
 
 
 class _Ids:
     """Ids of texts as little-endian 32-bit numbers.
 
-    Byte-level BPE works inside pre-tokens, so a text's ids are those of its pre-tokens, and a
-    pre-token begins at every space that something other than white space follows. The ids of words
-    with what adjoins them are therefore remembered, and of the pre-tokens in them.
+    A byte-level BPE whose merges come in the order of their ids is the same vocabulary as ranks, which
+    merges several times as fast; the tokenizer itself does texts with its special tokens in them, with
+    very long runs (merged in square time by rank), and all texts of another kind of vocabulary.
     """
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.model = self.tokenizer.model.tokenize
-        self.of = _Remembered(self.by_pieces)
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def merged(self, piece: str) -> bytes:
-        """The ids of one pre-token, from the tokenizer's model."""
-        tokens = self.model("".join(map(_BYTE_CHARACTERS.__getitem__, piece.encode())))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-
-    def by_pieces(self, text: str) -> bytes:
-        letters = text[text[:1] == " " :]
-        if letters.isalpha():
-            return self.merged(text)
-        if letters[:-1].isalpha() and letters[-1] in ".,;:!?":
-            return self.of[text[:-1]] + self.of[text[-1]]
-        pieces = self.split(text)
-        return self.merged(text) if len(pieces) == 1 else b"".join(map(self.of.__getitem__, pieces))
-
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of texts in UTF-8. Without cyclic garbage collection: there are no cycles, and it would walk through the memory."""
-        on = gc.isenabled()
-        gc.disable()
-        try:
-            return [self.encode(t.decode()) for t in texts]
-        finally:
-            if on:
-                gc.enable()
+        self.ranks = self._by_rank(json.loads(self.tokenizer.to_str()))
+
+    @staticmethod
+    def _by_rank(spec: dict):
+        import public_tokenizers
+        import tiktoken
+
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
+        plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        bytewise = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        if not (plain and bytewise) or spec["normalizer"] or set(_BYTES) - set(model["vocab"]):
+            return None
+        merged = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+        if merged != sorted(merged):
+            return None
+        ranks = {bytes(map(_BYTES.get, k)): i for k, i in model["vocab"].items() if set(k) <= set(_BYTES)}
+        return tiktoken.Encoding("by rank", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.whole(text)
-        if _UNSAFE.search(text) or "\0" in text:
-            return b"".join(map(self.of.__getitem__, self.split(text)))
-        return b"".join(map(self.of.__getitem__, text.replace(" ", "\0 ").split("\0")))
+        long = " " * LONG_RUN in text or max(map(len, text.split(" "))) > LONG_RUN
+        if self.ranks is None or long or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 _loaded: dict[str, _Ids] = {}
@@ -118,8 +82,10 @@ def token_pieces(
     """The ids of every text, ``end_id`` last, cut from the end into pieces of ``capacity``.
 
     Returns doc_id, piece, start, length, ids_crc32 and, unless ``with_ids`` is off, ids (little-endian
-    32-bit numbers). Only the first piece may be shorter than ``capacity``. Null is an empty text: one piece, the end id.
-    ``tokenizer_path`` must name a byte-level BPE of the ``tokenizers`` library on every executor.
+    32-bit numbers). Only the first piece may be shorter than ``capacity``. Null is an empty text: one
+    piece, the end id. Rows that repeat have the same pieces each; a very long text has as many as it
+    needs; an empty table gives no rows. ``tokenizer_path`` must name a file of the ``tokenizers``
+    library on every executor.
     """
     found = id_and_text(docs, id_col, text_col)
     kind = found.schema["doc_id"].dataType.simpleString()
@@ -128,7 +94,7 @@ def token_pieces(
     def rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if tokenizer_path not in _loaded:
             _loaded[tokenizer_path] = _Ids(tokenizer_path)
-        encoded = _loaded[tokenizer_path].encode_all(texts_of(part))
+        encoded = [_loaded[tokenizer_path].encode(t.decode()) for t in texts_of(part)]
         row, piece, start, length, crc, ids = [], [], [], [], [], []
         for k, whole in enumerate(encoded):
             whole += end
@@ -233,40 +199,54 @@ class _Slots:
         return sequence, offset
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """``pieces`` (any columns, with length from 1 to ``capacity``) with sequence_id and offset.
 
-    The pieces are written once. Only the counts by length (``capacity`` rows) reach the driver, and
-    only the plan made of them goes back. Pieces of one length are numbered in groups of bounded
-    size, so a length that most pieces share is spread over tasks. Equal rows take any of the places
-    that they share; an empty table gives an empty result.
+    The pieces are written once, each with its task and its number among the task's pieces of its
+    length. Counts by task and length tell where each task's numbers begin; a piece's number among
+    all of its length is its place in the plan, so pieces are placed where they are read, without a
+    shuffle. The firsts go to every task while they are at most ``HELD_FIRSTS`` rows, else they are
+    joined. Only the counts by length (``capacity`` rows) reach the driver, and only the plan made of
+    them goes back. Equal rows take any of the places that they share; an empty table gives an empty
+    result.
     """
     spark = pieces.sparkSession
-    written, total = write_table(pieces, n=F.count(F.lit(1)))
-    counts = {r["length"]: r["n"] for r in written.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    names, kinds = pieces.columns, {f.name: f.dataType.simpleString() for f in pieces.schema}
+    declared = ", ".join(f"`{n}` {kinds[n]}" for n in names)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        for b in batches:
+            length = pc.fill_null(b.column("length"), 0).to_numpy(zero_copy_only=False)
+            length = np.where((length >= 1) & (length <= capacity), length, 0)
+            order = np.argsort(length, kind="stable")
+            own = np.empty(len(length), np.int64)
+            own[order] = np.arange(len(length)) - np.searchsorted(length[order], length[order])
+            columns = [*b.columns, pa.array(np.full(len(length), task, np.int32)), pa.array(seen[length] + own)]
+            seen += np.bincount(length, minlength=capacity + 1)
+            yield pa.RecordBatch.from_arrays(columns, [*names, "__task", "__number"])
+
+    written, _ = write_table(pieces.mapInArrow(number, f"{declared}, __task int, __number bigint"))
+    sizes = written.groupBy("length", "__task").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1))
+    firsts, found = write_table(sizes.withColumn("__first", F.coalesce(before, F.lit(0))), n=F.count(F.lit(1)))
+    counts = {r["length"]: r["n"] for r in firsts.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
     if any(n is None or not 1 <= n <= capacity for n in counts):
         raise ValueError(f"a piece's length must be from 1 to {capacity}")
-    slots = spark.sparkContext.broadcast(_Slots(plan_bins(counts, capacity)))
-    names, kinds = written.columns, {f.name: f.dataType.simpleString() for f in written.schema}
-    groups = total["n"] // GROUP_ROWS + 1
-    grouped = written.withColumn("__group", F.pmod(F.xxhash64(*order), F.lit(groups)))
-    sizes = grouped.groupBy("length", "__group").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy("length").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1))
-    first = sizes.select("length", "__group", F.coalesce(before, F.lit(0)).alias("__first"))
-    inside = F.row_number().over(Window.partitionBy("length", "__group").orderBy(*order, *sorted(set(names) - set(order))))
-    ranked = (
-        grouped.withColumn("__rank", inside - 1)
-        .join(first, ["length", "__group"])
-        .select(*names, (F.col("__first") + F.col("__rank")).alias("__rank"))
-    )
+    slots = _Slots(plan_bins(counts, capacity))
+    if found["n"] <= HELD_FIRSTS:
+        held = firsts.select((F.col("__task").cast("bigint") * (capacity + 1) + F.col("length")).alias("at"), "__first").orderBy("at").toArrow()
+        sent = spark.sparkContext.broadcast((slots, held["at"].to_numpy(), held["__first"].to_numpy()))
+    else:
+        written = written.join(firsts.select("length", "__task", "__first"), ["length", "__task"])
+        sent = spark.sparkContext.broadcast((slots, None, None))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, at, first = sent.value
         for b in batches:
-            sequence, offset = slots.value.place(
-                b.column("length").to_numpy(zero_copy_only=False), b.column("__rank").to_numpy(zero_copy_only=False)
-            )
-            columns = [b.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
-
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(place, schema)
+            length, task = b.column("length").to_numpy().astype(np.int64), b.column("__task").to_numpy().astype(np.int64)
+            begins = b.column("__first").to_numpy() if at is None else first[np.searchsorted(at, task * (capacity + 1) + length)]
+            sequence, offset = slots.place(length, begins + b.column("__number").to_numpy())
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
+
+    return written.mapInArrow(place, f"{declared}, sequence_id bigint, offset bigint")

@@ -46,13 +46,23 @@ def test_ids_are_those_of_the_tokenizer():
         assert np.frombuffer(ids.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
-def test_memory_forgets_the_older_generation(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 3)
-    asked = []
-    memory = packing._Remembered(lambda k: asked.append(k) or k.encode())
-    for k in "abcabcdaea":
-        assert memory[k] == k.encode()
-    assert len(memory) <= 4 and asked.count("a") == 1
+def test_ids_of_long_runs_and_of_whole_texts_are_those_of_the_tokenizer():
+    ids, whole = packing._Ids(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    assert ids.ranks is not None
+    rnd = random.Random(6)
+    texts = ["a" * 5_000, " " * 3_000 + "x", "\n" * 2_000, "é" * 1_500, "word " * 20_000, "x" + "1" * 1_200 + " y", ""]
+    texts += ["".join(chr(rnd.choice([32, 32, rnd.randint(33, 126), rnd.randint(161, 0x2FFF), rnd.randint(0x1F300, 0x1F6FF)])) for _ in range(400)) for _ in range(300)]
+    for text in texts:
+        assert np.frombuffer(ids.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_another_vocabulary_is_left_to_its_tokenizer():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids, whole = packing._Ids(path), Tokenizer.from_file(path)
+    assert ids.ranks is None
+    assert np.frombuffer(ids.encode("Some words, and more"), "<u4").tolist() == whole.encode("Some words, and more", add_special_tokens=False).ids
 
 
 def packed(spark, rows, **more):
@@ -92,11 +102,17 @@ def test_empty_table_and_wrong_length(spark):
         packing.pack(spark.createDataFrame([(1, 0, 2000)], "doc_id long, piece int, length long"))
 
 
-def test_groups_of_one_length_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(packing, "GROUP_ROWS", 10)
-    pieces = spark.range(500).selectExpr("id AS doc_id", "0 AS piece", "300L AS length")
+@pytest.mark.parametrize("held", [0, 1_000])
+def test_numbers_of_tasks_are_put_one_behind_another(spark, monkeypatch, held):
+    """Whether tasks hold the table of first numbers or it is joined; a length that most pieces share, in many tasks."""
+    monkeypatch.setattr(packing, "HELD_FIRSTS", held)
+    pieces = spark.range(500).repartition(7).selectExpr("id AS doc_id", "0 AS piece", "IF(id % 50 = 0, 7, 300) AS length")
     got = packing.pack(pieces, 1024).collect()
-    assert len({(r.sequence_id, r.offset) for r in got}) == 500 and len({r.sequence_id for r in got}) == 167
+    assert len({(r.sequence_id, r.offset) for r in got}) == 500 and len({r.sequence_id for r in got}) == 164
+    ends = defaultdict(list)
+    for r in got:
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    assert all([a for a, _ in sorted(e)] == [0, *[b for _, b in sorted(e)][:-1]] for e in ends.values())
 
 
 def test_registered_runs_pack_the_ids(spark, tmp_path, monkeypatch):
