@@ -270,7 +270,7 @@ def _suffixes(dealt: DataFrame, asked: DataFrame, length: int, gram: int, freque
 def _searched(found: DataFrame, length: int, groups_of: bool) -> DataFrame:
     """Members of repeats (MEMBERS), or (not ``groups_of``) per text and bucket the span that those have of which an earlier one exists."""
     schema = MEMBERS if groups_of else REPEATS
-    keep = "n > 1 OR sure > 0 OR sure = -2" if groups_of else "n > 1 OR sure > 0"
+    keep = "n > 1 OR sure = -2" if groups_of else "n > 1 OR sure > 0"
     bucket = Window.partitionBy("h")
     # a suffix alone in its bucket repeats nothing; the order makes each bucket a stretch of the suffix array
     array = (
@@ -311,7 +311,7 @@ def _searched(found: DataFrame, length: int, groups_of: bool) -> DataFrame:
         for b in batches:
             for row in zip(*[b.column(c).to_pylist() for c in ("h", "right", "left", "key", "th", "at", "sure")], strict=True):
                 if row[6] > 0:  # the same surroundings or string stand earlier in its chunk
-                    rows.append((0, row[6], row[3], row[4], row[5], 0 if groups_of else False))
+                    rows.append((0, row[6], row[3], row[4], row[5], False))
                     continue
                 if row[6] == -1:
                     if string[:2] != row[:2]:
@@ -368,10 +368,12 @@ def find_repeats(
     key is the id (nulls as the smallest number), th a hash of the text, start a place in bytes,
     first the earliest occurrence of the group. Strings reach ``length - gram`` bytes before and
     ``length`` from their anchor; a longer repeat is several of them, which overlap. Groups have all
-    their occurrences, however the rows are dealt to tasks. Besides, where whole surroundings of
-    that reach return inside one task's chunk, the span that the later ones cover together is a row
-    with repeat 0 and its length. A bucket (the different surroundings of one anchor, once per
-    chunk) is held by one task, whatever its size.
+    their occurrences, however the rows are dealt to tasks. A bucket (the different surroundings of
+    one anchor, once per chunk) is held by one task, whatever its size.
+
+    Null and empty texts, and those shorter than ``length``, have no repeats. Rows that repeat are one
+    text; rows that share an id and differ are told apart by th. A very long text is cut at its
+    anchors like any other. An empty table gives no rows; other columns are not read.
     """
     rows = keyed(docs, id_col, text_col)
     everywhere = rows.select("key", "th").distinct()
@@ -379,7 +381,7 @@ def find_repeats(
     dealt = rows.select("key", "th", "doc_id", "text").repartition("key", "th")
     # written: chunks may differ if computed again, and copies refer to the first of their chunk
     found, _ = write_table(_suffixes(dealt, asked, length, gram, np.empty(0, np.int64), groups_of=True))
-    members, _ = write_table(_searched(found.where("sure <> -3"), length, groups_of=True))
+    members, _ = write_table(_searched(found.where("sure IN (0, -2)"), length, groups_of=True))
     copies = found.where("sure = -3").select(
         "key",
         "th",
@@ -389,14 +391,14 @@ def find_repeats(
         F.col("h").alias("own_at"),
     )
     start = (F.col("at") - F.col("before")).alias("start")
-    of_copies = members.where("repeat <> 0").join(copies, ["key", "th", "at"])
+    of_copies = members.join(copies, ["key", "th", "at"])
     of_copies = of_copies.select("repeat", "length", F.col("own_key").alias("key"), F.col("own_th").alias("th"), (F.col("own_at") - F.col("before")).alias("start"))
     # several anchors of one string find its occurrences
     whole, _ = write_table(members.select("repeat", "length", "key", "th", start).union(of_copies).distinct())
     place = F.struct("key", "th", "start")
     first = whole.groupBy("repeat", "length").agg(F.min(place).alias("least"))
     return whole.join(first, ["repeat", "length"]).select(
-        "repeat", "length", "key", "th", "start", ((F.col("repeat") != 0) & (place == F.col("least"))).alias("first")
+        "repeat", "length", "key", "th", "start", (place == F.col("least")).alias("first")
     )
 
 

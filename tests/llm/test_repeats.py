@@ -140,21 +140,37 @@ def test_intervals_and_groups_equal_plain_definitions():
 def test_groups_have_all_occurrences(spark):
     shared = "the passage that three documents share word for word "
     rows = [(1, "aaa " + shared + "bbb"), (2, "ccc " + shared + "ddd"), (3, "eee " + shared + "ddd"), (4, "nothing")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for partitions in (1, 4, 64):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(min(partitions, 4))
+        found.append(sorted(tuple(r) for r in repeats.find_repeats(docs, length=20, gram=8).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert found[0] == found[1] == found[2]
     got = repeats.find_repeats(docs, length=20, gram=8).collect()
     by = defaultdict(list)
     for r in got:
-        if r.repeat:
-            by[(r.repeat, r.length)].append(r)
-    # surroundings that return in one chunk are settled there: the groups have the first of them
+        by[(r.repeat, r.length)].append(r)
     assert frozenset({1, 2, 3}) in {frozenset(r.key for r in v) for v in by.values()}
-    assert {r.key for r in got if not r.repeat} == {3}
+    assert frozenset({2, 3}) in {frozenset(r.key for r in v) for v in by.values()}
     texts = {i: t.encode() for i, t in rows}
     for v in by.values():
-        assert len({texts[r.key][r.start : r.start + r.length] for r in v}) == 1
+        assert len(v) > 1 and len({texts[r.key][r.start : r.start + r.length] for r in v}) == 1
         assert sum(r.first for r in v) == 1 and min(v, key=lambda r: (r.key, r.start)).first
 
 
+def test_groups_of_hard_rows(spark):
+    """Nulls, empty and repeated rows, a shared id, a long text and columns with clashing names; and no rows at all."""
+    text = "a passage of some length that comes back "
+    rows = [(1, text + "x"), (1, text + "x"), (1, "y " + text), (None, text), (2, None), (3, ""), (4, "short"), (5, "".join(f"{i} " for i in range(9_000)) + text)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, repeat int, th string").repartition(3)
+    got = repeats.find_repeats(docs, length=20, gram=8).collect()
+    assert {r.key for r in got} == {1, 5, -(1 << 63)} and all(r.length >= 20 for r in got)
+    # strings reach 12 bytes before their anchor and 20 from it
+    assert max(r.length for r in got) == 32 and len({(r.key, r.th) for r in got}) == 4
+    assert repeats.find_repeats(docs.limit(0), length=20, gram=8).collect() == []
+
+
 def test_buckets_of_frequent_anchors_are_dealt_by_string(spark, monkeypatch):
     """A phrase in 300 different contexts: no bucket holds more suffixes than ``hot``, the bytes that go stay the same."""
     rnd = random.Random(9)
