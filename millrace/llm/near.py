@@ -132,7 +132,9 @@ class _Buckets:
         self.percent = percent
         self.node, self.n, self.label, self.side = (t[c].to_numpy() for c in ("node", "n", "label", "side"))
         self.rest = self.n - t["place"].to_numpy() - 1
-        self.sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16)
+        self.sketch = None
+        if "sketch" in t.column_names:
+            self.sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16)
         self.before = None
         if "before" in t.column_names:
             before = t["before"].combine_chunks()
@@ -149,12 +151,14 @@ class _Buckets:
         return self.sets[i]
 
     def passing(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the pairs (i, j) those that may be similar: by length, by place, by the sizes in the hash ranges."""
+        """Of the pairs (i, j) those that may be similar: by length, by place, and if known by the sizes in the hash ranges."""
         ok = (self.label[i] != self.label[j]) & ((self.side[i] < 0) | (self.side[i] != self.side[j]))
         low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
         need = -(-self.percent * (low + high) // (100 + self.percent))
         ok &= (100 * low >= self.percent * high) & (1 + np.minimum(self.rest[i], self.rest[j]) >= need)
         i, j, need = i[ok], j[ok], need[ok]
+        if self.sketch is None:
+            return i, j, need
         apart = np.abs(self.sketch[i] - self.sketch[j]).sum(axis=1, dtype=np.int64)
         ok = apart <= self.n[i] + self.n[j] - 2 * need
         i, j, apart = i[ok], j[ok], apart[ok]
@@ -193,15 +197,15 @@ class _Buckets:
 
 
 def _by_bucket(rows: DataFrame, answer, schema: str) -> DataFrame:
-    """``answer`` applied to whole buckets (h, x, y), several at a time; rows have h, own block and blocks.
+    """``answer`` applied to whole buckets (h, x, y), several at a time; rows have h, node and parts, the bucket's blocks.
 
     A bucket of several blocks is one group per pair of blocks, which keeps groups bounded.
     """
     meets = F.explode(
-        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("x"), F.greatest("own", j).alias("y")))
+        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("own", j).alias("x"), F.greatest("own", j).alias("y")))
     )
-    others = [c for c in rows.columns if c not in ("own", "blocks")]
-    met = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(*others, "own", meets.alias("meet"))
+    others = [c for c in rows.columns if c not in ("own", "parts")]
+    met = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).select(*others, "own", meets.alias("meet"))
     side = F.when(F.col("meet.x") == F.col("meet.y"), -1).otherwise(F.col("own"))
     dealt = met.select(*others, "meet.x", "meet.y", side.alias("side")).repartition("h", "x", "y").sortWithinPartitions("h", "x", "y")
 
@@ -227,19 +231,20 @@ def _by_bucket(rows: DataFrame, answer, schema: str) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
+SHORT = "h bigint, node bigint, n bigint, place int, blocks int"
 ROW = "h bigint, node bigint, n bigint, place int, sketch binary"
 
 
-def _alive(buckets: DataFrame, percent: int) -> DataFrame:
-    """The rows of buckets (ROW and blocks) that have a partner by the filters; nearly all have none."""
-    columns = [c.split()[0] for c in ROW.split(", ")]
+def _alive(buckets: DataFrame, percent: int, schema: str) -> DataFrame:
+    """The rows of buckets (h, node, n, place, blocks, and sketch if it is known) that have a partner by the filters."""
+    columns = [c.split()[0] for c in schema.split(", ")]
 
     def answer(t: pa.Table) -> pa.RecordBatch:
         alive = _Buckets(t.append_column("label", t["node"]), percent).alive()
         rows = t.select(columns).take(pa.array(np.flatnonzero(alive)))
         return pa.RecordBatch.from_arrays([c.combine_chunks() for c in rows.columns], names=columns)
 
-    return _by_bucket(buckets, answer, ROW).distinct()
+    return _by_bucket(buckets.withColumn("parts", F.col("blocks")), answer, schema).distinct()
 
 
 def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool) -> DataFrame:
@@ -249,7 +254,7 @@ def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool)
         buckets.join(labels, "node")
         .withColumn("low", F.min("label").over(bucket))
         .withColumn("high", F.max("label").over(bucket))
-        .withColumn("blocks", F.ceil(F.count(F.lit(1)).over(bucket) / BLOCK).cast("int"))
+        .withColumn("parts", F.ceil(F.count(F.lit(1)).over(bucket) / BLOCK).cast("int"))
         .where("low < high")
         .drop("low", "high")
     )
@@ -296,11 +301,12 @@ def near_groups(
     nodes, _ = write_table(classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", F.monotonically_increasing_id().alias("node")))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows))
     shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th")
-    # in short rows: which shingles two nodes share; then, with what the filters read: which rows have a partner
-    short = nodes.join(shared, "th").select("node", F.explode("anchors").alias("anchor")).select("node", "anchor.place", "anchor.h")
-    met = short.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")
-    wide = met.join(nodes.select("node", "n", "sketch"), "node").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    alive, _ = write_table(_alive(wide.select("h", "node", "n", "place", "sketch", "blocks"), percent))
+    # in short rows: which shingles two nodes share, and which rows have a partner by length and place; of these few, by sketch
+    short = nodes.join(shared, "th").select("node", "n", F.explode("anchors").alias("anchor"))
+    met = short.select("anchor.h", "node", "n", "anchor.place").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")
+    able = _alive(met.select("h", "node", "n", "place", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), percent, SHORT)
+    wide = write_table(able)[0].join(nodes.select("node", "sketch"), "node")
+    alive, _ = write_table(_alive(wide.select("h", "node", "n", "place", "sketch", "blocks"), percent, ROW))
     # a pair that passes in one bucket passes in the first one that both share, so its rows there are alive too
     order = alive.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("place", "h"))).alias("all"))
     earlier = F.transform(F.filter("all", lambda x: x["place"] < F.col("place")), lambda x: x["h"])
