@@ -28,6 +28,8 @@ STATES, TOP_WORDS, ENDINGS, ROUNDS = 8, 4096, 1024, 6
 HELD_WORDS = 200_000
 #: Steps of Baum-Welch whose forward messages are held at a time (a text of any length is one sequence), and tokens worked on at a time.
 SPAN, BATCH_TOKENS = 256, 400_000
+#: Tokens whose symbols a task gathers, so that texts of like length are worked on together.
+GATHERED_TOKENS = 16_000_000
 SMOOTH = 0.1
 
 
@@ -164,23 +166,29 @@ def _expected(model: Model, texts: list[np.ndarray], into: dict[str, np.ndarray]
         into["start"] += gammas[0].sum(axis=0)
 
 
-def _batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
-    """Rows gathered until their tokens (column n_tokens) reach the limit."""
-    held, size = [], 0
-    for b in batches:
+def _batches(batches: Iterator[pa.RecordBatch], limit: int, gathered: int = GATHERED_TOKENS) -> Iterator[pa.Table]:
+    """Rows of about ``limit`` tokens (column n_tokens), texts of like length together: they take their steps side by side."""
+
+    def cut(held: list[pa.RecordBatch]) -> Iterator[pa.Table]:
+        rows = pa.Table.from_batches(held)
+        rows = rows.take(pa.array(np.argsort(-rows["n_tokens"].to_numpy(), kind="stable"))).combine_chunks()
+        ends = np.cumsum(rows["n_tokens"].to_numpy())
         first = 0
-        ends = np.cumsum(b.column("n_tokens").to_numpy())
-        while first < b.num_rows:
+        while first < rows.num_rows:
             before = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, before + limit - size, side="right")))
-            held.append(b.slice(first, last - first))
-            size += int(ends[last - 1] - before)
+            last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield rows.slice(first, last - first)
             first = last
-            if size >= limit:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held)
+
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += int(b.column("n_tokens").to_numpy().sum())
+        if size >= gathered:
+            yield from cut(held)
+            held, size = [], 0
+    if size:
+        yield from cut(held)
 
 
 def _symbols_of(t: pa.Table) -> list[np.ndarray]:
