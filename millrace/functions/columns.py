@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -61,7 +62,7 @@ def in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], Any]], at_once:
         return [job() for job in jobs]
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
+        return [f.result() for f in [pool.submit(copy_context().run, inherit(job)) for job in jobs]]
 
 
 def class_counts(df: DataFrame, label: str) -> list[tuple[Any, int]]:

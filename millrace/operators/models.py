@@ -1,14 +1,13 @@
-"""Classifiers: logistic regression, random forest and two boosted presets on MLlib.
+"""Classifiers: logistic regression, random forest and depth-limited boosting on MLlib, leaf-limited boosting.
 
-A fitted model takes the columns it was fitted on, fills gaps (median plus an indicator
-column) because MLlib learners refuse missing values, and adds ``prediction`` (class name)
-and ``probability`` (one double per class, classes sorted).
+A fitted model takes the columns it was fitted on and adds ``prediction`` (class name) and
+``probability`` (one double per class, classes sorted). MLlib's learners refuse missing values, so
+gaps are filled for them (median plus an indicator column); leaf-limited boosting learns from gaps.
 """
 
 from __future__ import annotations
 
 import logging
-import math
 from typing import Any
 
 from pyspark.ml import Estimator
@@ -32,11 +31,12 @@ from pyspark.sql import types as T
 from millrace.functions.columns import as_double, class_counts, class_index, col
 from millrace.functions.quantiles import exact_quantiles
 from millrace.operators.base import Configured, Fitted, Persisted, number, one_of, optional, param, text
-from millrace.sources.scratch import write_table
+from millrace.operators.leafwise import LeafwiseModel, fit_leafwise
+from millrace.sources.scratch import scratch_scope, write_table
 
 log = logging.getLogger(__name__)
 
-FEATURES, TARGET, WEIGHT = "__features", "__target", "__weight"
+FEATURES, TARGET, WEIGHT, DRAW = "__features", "__target", "__weight", "__draw"
 MISSING_SUFFIX = "_missing"
 MAX_DEPTH = 30
 MAX_BINS = 128
@@ -52,6 +52,10 @@ class Classifier(Configured, Estimator, Persisted):
     def _balanced(self) -> bool:
         return False
 
+    def _carried(self, df: DataFrame) -> list[Column]:
+        """Columns beside features and label that the learner reads."""
+        return []
+
     def _fit(self, df: DataFrame) -> ClassifierModel:
         label = self.label(df)
         columns, unusable = [], []
@@ -65,19 +69,19 @@ class Classifier(Configured, Estimator, Persisted):
         if not columns:
             raise ValueError("no feature column left for the model")
         # read by several passes of the learner: prepared once, with the used columns only
-        df, _ = write_table(df.filter(col(label).isNotNull()).select(*[col(c) for c in [*columns, label]]))
-        counts = class_counts(df, label)
-        if len(counts) < 2:
-            raise ValueError(f"'{label}' needs at least two classes, found {[c for c, _ in counts]}")
+        used = [*[col(c) for c in [*columns, label]], *self._carried(df)]
+        with scratch_scope(df.sparkSession):
+            df, _ = write_table(df.filter(col(label).isNotNull()).select(*used))
+            counts = class_counts(df, label)
+            if len(counts) < 2:
+                raise ValueError(f"'{label}' needs at least two classes, found {[c for c, _ in counts]}")
+            return self._fitted(df, columns, label, counts)
+
+    def _fitted(self, df: DataFrame, columns: list[str], label: str, counts: list[tuple[Any, int]]) -> ClassifierModel:
+        """The model of one of MLlib's learners."""
         classes, rows = [c for c, _ in counts], sum(n for _, n in counts)
-
-        model = ClassifierModel(
-            idCol=self.get("idCol"),
-            labelCol=label,
-            state={"columns": columns, "fills": self._fills(df, columns), "classes": classes},
-        )
-        target = class_index(col(label), classes)
-        prepared = model.assembled(df).withColumn(TARGET, target)
+        model = self._model(columns, self._fills(df, columns), classes)
+        prepared = model.assembled(df).withColumn(TARGET, class_index(col(label), classes))
         used = [FEATURES, TARGET]
         if self._balanced():
             weights = {float(i): rows / (len(classes) * n) for i, (_, n) in enumerate(counts)}
@@ -87,6 +91,13 @@ class Classifier(Configured, Estimator, Persisted):
         model.inner = self._learner(counts, rows).fit(prepared.select(*used))
         return model
 
+    def _model(self, columns: list[str], fills: dict[str, float], classes: list[Any]) -> ClassifierModel:
+        return ClassifierModel(
+            idCol=self.get("idCol"),
+            labelCol=self.get("labelCol"),
+            state={"columns": columns, "fills": fills, "classes": classes},
+        )
+
     def _fills(self, df: DataFrame, columns: list[str]) -> dict[str, float]:
         """Exact medians of the columns that have gaps, the same on every cluster."""
         gaps = df.agg(
@@ -126,6 +137,8 @@ class ClassifierModel(Fitted, MLWritable, MLReadable):
         return assembler.transform(df.withColumns(named)).drop(*named)
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        if isinstance(self.inner, LeafwiseModel):
+            return self._named(df.withColumn("probability", self.inner.probability([as_double(c) for c in self.learned["columns"]])))
         ready = self.assembled(df)
         if isinstance(self.inner, OneVsRestModel):
             # one probability per class against the rest, scaled to sum to one
@@ -144,9 +157,13 @@ class ClassifierModel(Fitted, MLWritable, MLReadable):
             inner = self.inner.copy()
             inner.setFeaturesCol(FEATURES).setPredictionCol("").setRawPredictionCol("__raw").setProbabilityCol("__p")
             scored = inner.transform(ready).withColumn("probability", vector_to_array("__p")).drop("__raw", "__p")
+        return self._named(scored.drop(FEATURES))
+
+    def _named(self, scored: DataFrame) -> DataFrame:
+        """With the name of the first of the likeliest classes."""
         best = F.array_position(F.col("probability"), F.array_max("probability")).cast("int")
         names = F.array(*[F.lit(c) for c in self.classes])
-        return scored.drop(FEATURES).withColumn("prediction", F.element_at(names, best))
+        return scored.withColumn("prediction", F.element_at(names, best))
 
     def importances(self) -> dict[str, float]:
         """Non-negative importance per feature (mean over the sub-models of one-vs-rest)."""
@@ -154,6 +171,8 @@ class ClassifierModel(Fitted, MLWritable, MLReadable):
             values = abs(self.inner.coefficientMatrix.toArray()).mean(axis=0)
         elif isinstance(self.inner, OneVsRestModel):
             values = sum(m.featureImportances.toArray() for m in self.inner.models) / len(self.inner.models)
+        elif isinstance(self.inner, LeafwiseModel):
+            values = self.inner.importances()
         else:
             values = self.inner.featureImportances.toArray()
         return dict(zip(self.features, (float(v) for v in values)))
@@ -168,7 +187,7 @@ class ClassifierModel(Fitted, MLWritable, MLReadable):
 
 INNER_MODELS = {
     m.__name__: m
-    for m in (GBTClassificationModel, LogisticRegressionModel, OneVsRestModel, RandomForestClassificationModel)
+    for m in (GBTClassificationModel, LeafwiseModel, LogisticRegressionModel, OneVsRestModel, RandomForestClassificationModel)
 }
 
 
@@ -265,7 +284,7 @@ def tree_depth(wanted: int | None) -> int:
     return wanted
 
 
-def boosted(stage: Classifier, n_classes: int, depth: int, weighted: bool):
+def boosted(stage: Classifier, n_classes: int, depth: int):
     """Gradient-boosted trees; more than two classes are fitted one against the rest."""
     gbt = GBTClassifier(
         featuresCol=FEATURES,
@@ -281,9 +300,8 @@ def boosted(stage: Classifier, n_classes: int, depth: int, weighted: bool):
         maxMemoryInMB=512,
     )
     if n_classes == 2:
-        return gbt.setWeightCol(WEIGHT) if weighted else gbt
-    rest = OneVsRest(featuresCol=FEATURES, labelCol=TARGET, classifier=gbt, parallelism=min(n_classes, 4))
-    return rest.setWeightCol(WEIGHT) if weighted else rest
+        return gbt
+    return OneVsRest(featuresCol=FEATURES, labelCol=TARGET, classifier=gbt, parallelism=min(n_classes, 4))
 
 
 class BoostedTrees(Classifier):
@@ -311,19 +329,25 @@ class BoostedTrees(Classifier):
     }
 
     def _learner(self, classes, rows):
-        return boosted(self, len(classes), self.get("max_depth"), weighted=False)
+        return boosted(self, len(classes), self.get("max_depth"))
 
 
 class LeafLimitedTrees(Classifier):
-    """Boosted trees, leaf-limited preset; depth is what the leaf count needs."""
+    """Boosted trees, leaf-limited preset: the leaf that gains most is split next, gaps choose their side.
+
+    All classes share one softmax (two classes one logistic score). A row's part in ``subsample``
+    hangs on its id, or without an id column on all its values.
+    """
 
     n_estimators = param("n_estimators", "boosting rounds", number(1, whole=True))
-    max_depth = param("max_depth", "tree depth; -1 = as the leaves need", number(-1, whole=True))
+    max_depth = param("max_depth", "tree depth; -1 = any", number(-1, whole=True))
     learning_rate = param("learning_rate", "shrinkage", number(0, 1, open_low=True))
     num_leaves = param("num_leaves", "leaves per tree", number(2, whole=True))
     subsample = param("subsample", "share of rows per round", number(0, 1, open_low=True))
-    colsample_bytree = param("colsample_bytree", "share of columns tried per node", number(0, 1, open_low=True))
-    max_bins = param("max_bins", "ranges a column is cut into for splits", number(2, whole=True))
+    colsample_bytree = param("colsample_bytree", "share of columns per tree", number(0, 1, open_low=True))
+    min_child_samples = param("min_child_samples", "rows per leaf at least", number(1, whole=True))
+    reg_lambda = param("reg_lambda", "L2 weight of the leaves' values", number(0))
+    max_bins = param("max_bins", "ranges a column is cut into for splits", number(2, 65_000, whole=True))
     class_weight = param("class_weight", "balanced or null", optional(one_of("balanced")))
     random_state = param("random_state", "seed", number(whole=True))
     n_jobs = param("n_jobs", "accepted for older specs; Spark sets the parallelism", number(whole=True))
@@ -335,6 +359,8 @@ class LeafLimitedTrees(Classifier):
         "num_leaves": 63,
         "subsample": 0.8,
         "colsample_bytree": 0.8,
+        "min_child_samples": 20,
+        "reg_lambda": 0.0,
         "max_bins": MAX_BINS,
         "class_weight": "balanced",
         "random_state": 42,
@@ -345,8 +371,29 @@ class LeafLimitedTrees(Classifier):
     def _balanced(self) -> bool:
         return self.get("class_weight") == "balanced"
 
-    def _learner(self, classes, rows):
-        depth = math.ceil(math.log2(self.get("num_leaves")))
-        if self.get("max_depth") > 0:
-            depth = min(depth, self.get("max_depth"))
-        return boosted(self, len(classes), depth, weighted=self._balanced())
+    def _carried(self, df: DataFrame) -> list[Column]:
+        key = self.get("idCol")
+        return [F.xxhash64(*[col(c) for c in ([key] if key in df.columns else df.columns)]).alias(DRAW)]
+
+    def _fitted(self, df: DataFrame, columns: list[str], label: str, counts: list[tuple[Any, int]]) -> ClassifierModel:
+        classes, sizes = [c for c, _ in counts], [n for _, n in counts]
+        model = self._model(columns, {}, classes)
+        model.inner = fit_leafwise(
+            df,
+            columns,
+            class_index(col(label), classes),
+            sizes,
+            [sum(sizes) / (len(sizes) * n) if self._balanced() else 1.0 for n in sizes],
+            col(DRAW),
+            rounds=self.get("n_estimators"),
+            rate=self.get("learning_rate"),
+            n_leaves=self.get("num_leaves"),
+            max_depth=self.get("max_depth"),
+            least_rows=self.get("min_child_samples"),
+            l2=self.get("reg_lambda"),
+            subsample=self.get("subsample"),
+            colsample=self.get("colsample_bytree"),
+            max_bins=self.get("max_bins"),
+            seed=self.get("random_state"),
+        )
+        return model

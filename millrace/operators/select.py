@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_double, chunks, class_counts, class_index, col
 from millrace.functions.correlation import Pair, correlations
+from millrace.functions.neighbours import NEIGHBOURS, neighbour_information
 from millrace.functions.quantiles import exact_quantiles
 from millrace.functions.values import long_form
 from millrace.operators.base import Configured, Fitted, Persisted, number, one_of, param
-from millrace.sources.scratch import write_table
+from millrace.sources.scratch import scratch_scope, write_table
 
 VARIANCES_PER_JOB = 200
 
@@ -80,8 +81,9 @@ class CorrelationThreshold(Configured, Estimator, Persisted):
 
     def _fit(self, df: DataFrame) -> DropModel:
         columns = self.numeric(df)
-        numbers, _ = write_table(df.select(*[col(c) for c in columns]))  # read several times
-        found = correlations(numbers, columns, self.get("method"))
+        with scratch_scope(df.sparkSession):
+            numbers, _ = write_table(df.select(*[col(c) for c in columns]))  # read several times
+            found = correlations(numbers, columns, self.get("method"))
         return self.model(DropModel, drop=correlated_columns(columns, found, self.get("threshold")))
 
 
@@ -171,23 +173,37 @@ def _short_value_lists(df: DataFrame, columns: list[str], bins: int) -> dict[str
 
 
 class MutualInformation(Configured, Estimator, Persisted):
-    """Keep the k numeric columns that tell most about the label, best first."""
+    """Keep the k numeric columns that tell most about the label, best first.
+
+    The estimate is made from quantile bins, in one pass over the rows, or from nearest neighbours
+    among the values as they are, which sorts every column.
+    """
 
     k = param("k", "number of columns to keep", number(1, whole=True))
-    random_state = param("random_state", "accepted for older specs; binning draws nothing", number(whole=True))
+    random_state = param("random_state", "accepted for older specs; nothing is drawn but by row", number(whole=True))
+    estimator = param("estimator", "binned or neighbours", one_of("binned", "neighbours"))
     bins = param("bins", "quantile bins per column", number(2, whole=True))
-    DEFAULTS = {"k": 20, "random_state": 42, "bins": MI_BINS}
+    n_neighbors = param("n_neighbors", "neighbours of a row's own class", number(1, whole=True))
+    DEFAULTS = {"k": 20, "random_state": 42, "estimator": "binned", "bins": MI_BINS, "n_neighbors": NEIGHBOURS}
 
     def _fit(self, df: DataFrame) -> KeepModel:
         columns = self.numeric(df)
         label, scores = self.label(df), {}
         if columns:
-            numbers, _ = write_table(df.select(*[col(c) for c in [*columns, label]]))  # read several times
-            scores = mutual_information(numbers, columns, label, self.get("bins"))
+            scores = self._scores(df, columns, label)
         best = sorted(columns, key=lambda c: (-scores[c], c))[: self.get("k")]
         others = [c for c in df.columns if c not in columns and c not in self.reserved]
         return self.model(KeepModel, keep=best, others=others, scores=scores)
 
+    def _scores(self, df: DataFrame, columns: list[str], label: str) -> dict[str, float]:
+        key = self.get("idCol") if self.get("idCol") in df.columns else None
+        with scratch_scope(df.sparkSession):
+            read = [*columns, label, *([key] if key else [])]
+            numbers, _ = write_table(df.select(*[col(c) for c in read]))  # read several times
+            if self.get("estimator") == "binned":
+                return mutual_information(numbers, columns, label, self.get("bins"))
+            return neighbour_information(numbers, columns, label, k=self.get("n_neighbors"), id_col=key)
+
 
 def percentile(values: list[float], q: float) -> float:
     """Linear-interpolated percentile of a short list."""

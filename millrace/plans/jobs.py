@@ -17,7 +17,7 @@ from millrace.plans import store
 from millrace.plans.spec import baseline_spec, build_pipeline, model_step, needs_label, read_spec, without_model
 from millrace.plans.tune import tune
 from millrace.plans.validate import cross_val_eval, holdout_eval
-from millrace.sources.scratch import write_table
+from millrace.sources.scratch import scratch_scope, write_table
 from millrace.sources.sinks import write_predictions, write_reports, write_split
 from millrace.sources.tables import read_dataset, read_features
 
@@ -103,20 +103,26 @@ def train(
     optimize: bool = False,
     n_trials: int = 40,
     cv_folds: int = 3,
+    timeout: float | None = None,
+    seed: int = 42,
     id_col: str = ID,
     label_col: str = LABEL,
 ) -> str:
-    """Fit a spec (the baseline if none is given), tuned on request; returns the saved stem."""
+    """Fit a spec (the baseline if none is given), tuned on request; returns the saved stem.
+
+    ``timeout`` (seconds) and ``seed`` are the search's.
+    """
     found = read_spec(spec if spec is not None else baseline_spec())
     if name is not None:
         found["name"] = name
     if found["model"] is None:
         raise ValueError("the spec has no model; training needs one")
-    data, _ = write_table(read_dataset(spark, features_path, labels_path, id_col=id_col, label_col=label_col))
-    if optimize:
-        found = tune(found, data, id_col, label_col, n_trials=n_trials, cv_folds=cv_folds)
-    fitted = build_pipeline(found, id_col=id_col, label_col=label_col).fit(data)
-    return store.save(spark, fitted, found["name"], models_dir, spec=found)
+    with scratch_scope(spark):
+        data, _ = write_table(read_dataset(spark, features_path, labels_path, id_col=id_col, label_col=label_col))
+        if optimize:
+            found = tune(found, data, id_col, label_col, n_trials=n_trials, cv_folds=cv_folds, timeout=timeout, seed=seed)
+        fitted = build_pipeline(found, id_col=id_col, label_col=label_col).fit(data)
+        return store.save(spark, fitted, found["name"], models_dir, spec=found)
 
 
 def _stem(spark: SparkSession, model: str, models_dir: str, latest: bool) -> str:
@@ -139,13 +145,14 @@ def evaluate(
     label_col: str = LABEL,
 ) -> dict[str, float]:
     """Score a stored model on held-out rows, or cross-validate the spec it was built from."""
-    data, _ = write_table(read_dataset(spark, features_path, labels_path, id_col=id_col, label_col=label_col))
     stem = _stem(spark, model, models_dir, latest)
-    if holdout:
-        fitted = store.load(spark, stem, models_dir)
-        return holdout_eval(fitted, data, label_col, labels=labels, costs=costs)
-    pipeline = build_pipeline(store.load_spec(spark, stem, models_dir), id_col=id_col, label_col=label_col)
-    return cross_val_eval(pipeline, data, id_col, label_col, n_splits=n_splits, labels=labels, costs=costs)
+    with scratch_scope(spark):
+        data, _ = write_table(read_dataset(spark, features_path, labels_path, id_col=id_col, label_col=label_col))
+        if holdout:
+            fitted = store.load(spark, stem, models_dir)
+            return holdout_eval(fitted, data, label_col, labels=labels, costs=costs)
+        pipeline = build_pipeline(store.load_spec(spark, stem, models_dir), id_col=id_col, label_col=label_col)
+        return cross_val_eval(pipeline, data, id_col, label_col, n_splits=n_splits, labels=labels, costs=costs)
 
 
 def predict(
@@ -153,17 +160,21 @@ def predict(
     model: str,
     features_path: str,
     models_dir: str,
-    output: str,
+    output: str | None = None,
     *,
     latest: bool = False,
     id_col: str = ID,
     output_col: str = LABEL,
     fmt: str = "csv",
 ) -> str:
-    """Predict every row of a feature table with a stored model and write id and class."""
+    """Predict every row of a feature table with a stored model and write id and class; returns the path.
+
+    Without ``output`` the predictions go beside the models' folder, named after the model asked for.
+    """
     features = read_features(spark, features_path, id_col=id_col)
     fitted = store.load(spark, _stem(spark, model, models_dir, latest), models_dir)
     scored = fitted.transform(features)
+    output = output or f"{models_dir.rstrip('/')}-predictions/submission_{model}"
     return write_predictions(scored, output, id_col=id_col, output_col=output_col, fmt=fmt)
 
 

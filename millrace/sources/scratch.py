@@ -8,9 +8,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+#: Paths written in the innermost open scope.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir`` (own folder only in local mode)."""
@@ -27,10 +33,30 @@ def scratch_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, also after a failure, the tables that ``write_table`` wrote in it (inner scopes have their own).
+
+    For work whose result no longer reads them: scores, a fitted model held in memory, a saved one.
+    """
+    own: list[str] = []
+    token = _written.set(own)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in own:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def write_table(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     """Write ``df`` once; return it read back, with the wanted aggregates of the written rows."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/table-{uuid.uuid4().hex}"
+    own = _written.get()
+    if own is not None:
+        own.append(path)
     df.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     if not metrics:

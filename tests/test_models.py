@@ -11,7 +11,7 @@ FAST = {
     LogisticClassifier: {"max_iter": 20},
     RandomForest: {"n_estimators": 5, "max_depth": 4},
     BoostedTrees: {"n_estimators": 3, "max_depth": 2},
-    LeafLimitedTrees: {"n_estimators": 3, "num_leaves": 4},
+    LeafLimitedTrees: {"n_estimators": 3, "num_leaves": 4, "min_child_samples": 5},
 }
 
 

@@ -1,14 +1,24 @@
+import itertools
+import math
 import random
 import re
+import statistics
+from datetime import datetime
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
+from millrace.functions.columns import in_parallel
 from millrace.operators.clean import NumericImputer, ZeroToNull
+from millrace.operators.metrics import pair_counts, scores
+from millrace.operators.split import with_folds
 from millrace.plans import jobs, store
+from millrace.plans.sampler import DensitySampler
 from millrace.plans.spec import baseline_spec, build_pipeline, full_spec, model_step, read_spec, step_names, without_model
 from millrace.plans.tune import SPACES, Range, tune
-from millrace.plans.validate import cross_val_eval
+from millrace.plans.validate import PreparedFolds, cross_val_eval, fold_scores
+from millrace.sources import scratch
 from millrace.sources.tables import read_table
 from millrace.streaming.score import predict_arriving
 
@@ -230,3 +240,123 @@ def test_diagnose(spark, files):
     assert changed["construction_year"] < 0
     plain = jobs.diagnose(spark, files["features"])
     assert set(plain) == {"before"} and "label_distribution" not in plain["before"]
+
+
+def tables_left(spark):
+    root = scratch.scratch_root(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in system.listStatus(path) if s.getPath().getName().startswith("table-")}
+
+
+def test_cross_validation_leaves_no_table(spark, raw):
+    before = tables_left(spark)
+    made = spec("logistic_regression", max_iter=3)
+    cross_val_eval(build_pipeline(made), raw, "id", "status_group", n_splits=2)
+    assert tables_left(spark) == before
+    broken = build_pipeline({**made, "model": {"type": "lgbm", "n_estimators": 1, "random_state": 1}})
+    broken.getStages()[-1]._fit = None  # fails after the folds are prepared
+    with pytest.raises(TypeError):
+        cross_val_eval(broken, raw, "id", "status_group", n_splits=2, parallelism=1)
+    assert tables_left(spark) == before
+
+
+def test_scopes_have_their_own_tables(spark):
+    df = spark.range(3)
+    with scratch.scratch_scope(spark):
+        outer, _ = scratch.write_table(df)
+        with scratch.scratch_scope(spark):
+            inner, _ = scratch.write_table(df)
+            found = in_parallel(spark, [lambda: scratch.write_table(df)[0]] * 2, 2)
+        assert outer.count() == 3
+        for gone in (inner, *found):
+            with pytest.raises(Exception, match="(?i)not.exist|path"):
+                gone.count()
+
+
+def test_search_prepares_each_fold_once(spark, raw, monkeypatch):
+    fitted = []
+    fit = NumericImputer._fit
+    monkeypatch.setattr(NumericImputer, "_fit", lambda self, df: fitted.append(1) or fit(self, df))
+    before = tables_left(spark)
+    spaces = {"random_forest": {"n_estimators": Range(1, 2, whole=True), "max_depth": Range(1, 2, whole=True)}}
+    made = {**spec("random_forest"), "features": []}
+    best = tune(made, raw, "id", "status_group", n_trials=3, cv_folds=2, spaces=spaces, trials_at_once=2)
+    assert len(fitted) == 2 and best["name"] == "small_tuned" and tables_left(spark) == before
+
+
+def test_prepared_folds_score_as_whole_pipelines(spark, raw):
+    made = spec("logistic_regression", max_iter=5)
+    folded, _ = scratch.write_table(with_folds(raw, "id", "status_group", n_splits=2))
+    got = fold_scores(build_pipeline(made), PreparedFolds(folded, 2), "status_group", labels=CLASSES, costs=None)
+    for fold, found in enumerate(got):
+        train, held = folded.where(F.col("fold") != fold).drop("fold"), folded.where(F.col("fold") == fold).drop("fold")
+        want = scores(pair_counts(build_pipeline(made).fit(train).transform(held), "status_group"), CLASSES)
+        assert found["f1_macro"] == pytest.approx(want["f1_macro"], abs=1e-9)
+
+
+def test_savers_of_one_name_at_once(spark, raw, tmp_path, monkeypatch):
+    """Stamps that are taken are passed over; a broken save leaves nothing that is listed."""
+    folder, fitted = str(tmp_path / "models"), build_pipeline({"name": "none"}).fit(raw)
+    clock = itertools.cycle([datetime(2024, 5, 6, 7, 8, 9)])
+    monkeypatch.setattr(store, "datetime", type("Clock", (), {"now": staticmethod(lambda: next(clock))}))
+    stems = in_parallel(spark, [lambda: store.save(spark, fitted, "m", folder)] * 3, 3)
+    assert sorted(stems) == [f"m_20240506_070809_00000{i}" for i in range(3)]
+    assert store.latest_stem(spark, "m", folder) == "m_20240506_070809_000002"
+
+    class Broken:
+        def write(self):
+            return self
+
+        def save(self, path):
+            fitted.write().save(path)
+            raise OSError("full")
+
+    with pytest.raises(OSError):
+        store.save(spark, Broken(), "m", folder)
+    (tmp_path / "models" / "by hand").mkdir()
+    listed = [(r["stem"], r["name"], r["saved_at"]) for r in store.list_models(spark, folder).orderBy("stem").collect()]
+    assert [r[0] for r in listed] == ["by hand", *sorted(stems)]
+    assert listed[0][1:] == ("by hand", None) and listed[3][1:] == ("m", datetime(2024, 5, 6, 7, 8, 9, 2))
+    assert not any((tmp_path / "models" / "_staging").iterdir())
+
+
+def response(p):
+    """A made-up score of boosting parameters: best at a rate of 0.05, depth 6, 400 trees; they depend on one another."""
+    rate, depth, trees = math.log(p["learning_rate"] / 0.05), p["max_depth"] - 6, math.log(p["n_estimators"] / 400)
+    return -(rate**2) - 0.1 * depth**2 - (trees + 0.5 * rate) ** 2 - 0.5 * (p["subsample"] - 0.8) ** 2
+
+
+def test_densities_beat_even_draws():
+    best = {"densities": [], "even": []}
+    for seed in range(25):
+        sampler, trials = DensitySampler(SPACES["xgb"], seed), []
+        for _ in range(40):
+            trials.append((p := sampler.propose(trials), response(p)))
+        best["densities"].append(max(s for _, s in trials))
+        rng = random.Random(seed)
+        best["even"].append(max(response({n: r.draw(rng) for n, r in SPACES["xgb"].items()}) for _ in range(40)))
+    assert statistics.median(best["densities"]) > statistics.median(best["even"])
+
+
+def test_proposals_hang_on_the_trials_alone():
+    space = SPACES["lgbm"]
+    rng = random.Random(3)
+    trials = [({n: r.draw(rng) for n, r in space.items()}, rng.random()) for _ in range(15)]
+    first = DensitySampler(space, 1).propose(trials)
+    assert first == DensitySampler(space, 1).propose(trials) != DensitySampler(space, 2).propose(trials)
+    running = [*trials, (first, None)]
+    second = DensitySampler(space, 1).propose(running)
+    assert second != first
+    for p in (first, second):
+        assert all(space[n].low <= v <= space[n].high and isinstance(v, int) == space[n].whole for n, v in p.items())
+    for r in space.values():
+        assert all(r.low <= r.at(u) <= r.high for u in (0.0, 0.5, 1.0))
+        assert r.at(r.place(r.at(0.3))) == pytest.approx(r.at(0.3))
+
+
+def test_predictions_without_a_path(spark, files):
+    models = f"{files['root']}/more_models"
+    stem = jobs.train(spark, files["features"], files["labels"], models, spec=spec("logistic_regression", max_iter=3), name="p")
+    path = jobs.predict(spark, stem, files["features"], models)
+    assert path.endswith(f"submission_{stem}") and read_table(spark, path, fmt="csv").count() == 120
