@@ -235,8 +235,8 @@ def near_duplicates(
     minhashes, so c (c - 1) / 2 tables cost c collections. Two sets of similarity s share no key
     with the chance 1 - ``recall(s)`` (5e-5 at 0.8, 6e-8 at 0.9); all that share one are looked at.
     Documents with equal sets are one node. Nodes that share keys are verified on their whole sets,
-    in ``ROUNDS`` rounds each node with ``PARTNERS`` others of another group: of its buckets' most
-    central members (next of members drawn by hash) those that agree with it in most collections.
+    in ``ROUNDS`` rounds each node outside its bucket's main group with ``PARTNERS`` others: of its
+    buckets' most central members (next of members drawn by hash) those that agree with it most.
     Most groups are whole by then. Last come all pairs that share a key and are still in different
     groups; pairs inside a group need no verification.
 
@@ -319,9 +319,10 @@ def _with_facts(pairs: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def _partners(mixed: DataFrame, labels: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): each node with the ``PARTNERS`` that agree with it most, of those that its buckets offer with another label."""
+    """Pairs (a, b): each node outside its bucket's main label with the ``PARTNERS`` that agree with it most, of those offered with another label."""
     b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    met = mixed.select(F.col("node").alias("a"), F.col("label").alias("la"), F.explode("offered").alias("b")).where("a <> b").distinct()
+    outside = mixed.where("label <> main")
+    met = outside.select(F.col("node").alias("a"), F.col("label").alias("la"), F.explode("offered").alias("b")).where("a <> b").distinct()
     apart = met.join(b, "b").where("la <> lb").select("a", "b")
     able = _with_facts(apart, facts).mapInArrow(_proposed(percent), "a bigint, b bigint, agree bigint")
     # at most as many rows per node as its buckets offer
