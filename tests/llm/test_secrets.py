@@ -1,8 +1,13 @@
+import functools
 import hashlib
+import math
 import random
 import re
+import statistics
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import secrets
 
@@ -25,14 +30,77 @@ def word(rnd, alphabet, n):
     return "".join(rnd.choice(alphabet) for _ in range(n))
 
 
-@pytest.fixture(scope="module")
-def trained(spark):
+WORDS = (
+    "render widget user_name the connection handler-index of maximum retry_count max v2 timeout milliseconds 1789 2024 10 between every server request "
+    "response parameter configuration default_value message length because another version_number different example temporary "
+    "directory available identifier transaction performance environment variable documentation application memory_usage statistics"
+).split()
+
+
+def training_rows():
     rnd = random.Random(9)
     rows = []
     for i in range(400):
-        text = " ".join(rnd.choice(["render", "widget", "user_name", "the", "connection", "handler-index", "of"]) for _ in range(60))
+        text = " ".join(rnd.choice(WORDS) for _ in range(60))
         rows.append((i, text + f" password={word(rnd, '0123456789abcdefghijkLMNOPQRSTUVWXYZ', 20)} end"))
-    return secrets.train(docs_of(spark, rows))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    return secrets.train(docs_of(spark, training_rows()))
+
+
+def folded(string):
+    return re.sub("[+/_.=-]", " ", re.sub("[1-9]", "0", string.lower()))
+
+
+def plain_models(rows):
+    """The two models, the ratio of a string and the threshold by dicts."""
+    random_, ordinary = Counter(), Counter()
+    for _, text in rows:
+        random_.update(m[2] for m in ASSIGN.finditer(text or "") if len(m[2]) >= 6)
+        rest = re.sub("[0-9a-f]{24,}", " ", re.sub("AKIA[A-Z0-9]+", " ", ASSIGN.sub(" ", text or "")))
+        ordinary.update(re.findall("[A-Za-z0-9]{3,}", rest))
+
+    def conditional(strings):
+        pairs, total = Counter(), Counter()
+        for s, n in strings.items():
+            for a, b in zip(" " + folded(s), folded(s)):
+                pairs[a, b] += n * (b != " ")
+                total[a] += n * (b != " ")
+        return lambda a, b: math.log((pairs[a, b] + 0.5) / (total[a] + 0.5 * secrets.ALPHABET))
+
+    p, q = conditional(random_), conditional(ordinary)
+
+    @functools.cache
+    def ratio(string):
+        f = folded(string)
+        return sum(max(-3, min(3, p(a, b) - q(a, b))) for a, b in set(zip(" " + f, f)) if b != " ") / len(f)
+
+    r = [ratio(s) for s in random_.elements()]
+    o = [ratio(s) for s in ordinary.elements() if len(s) >= 8]
+    (m, d), (k, e) = ((statistics.fmean(x), statistics.pstdev(x)) for x in (r, o))
+    return ratio, max((m * e + k * d) / (d + e), k + 4 * e, 0.5)
+
+
+def test_ratios_and_threshold_equal_plain_counting(spark, trained):
+    ratio, least = plain_models(training_rows())
+    assert trained.least == pytest.approx(least, abs=1e-3)
+    rnd = random.Random(4)
+    strings = [word(rnd, "abcXYZ019_-/+", 20) for _ in range(40)] + ["retry_count_timeout", "a" * 30]
+    rows = spark.createDataFrame([(s,) for s in strings], "s string").select("s", secrets._ratio(F.col("s"), trained.ratios).alias("r")).collect()
+    assert all(r.r == pytest.approx(ratio(r.s), abs=1e-3) for r in rows)
+
+
+def test_letters_alone_are_found_and_odd_identifiers_are_not(spark, trained):
+    rnd = random.Random(12)
+    letters = [word(rnd, "abcdefghijklmnopqrstuvwxyz", 40) for _ in range(50)]
+    plain = ["MAX_RETRY_COUNT_v2_timeout_ms_10", "a" * 20 + "1", "0" * 20, "configuration_directory", "-" * 40, "documentationapplication"]
+    rows = [(i, f"see {s} here") for i, s in enumerate(letters + plain)]
+    got = {r.doc_id: r.spans for r in secrets.report(secrets.find_secrets(docs_of(spark, rows), trained)).collect()}
+    assert sum(got[i] == "random:4:44" for i in range(50)) >= 49
+    assert [got[50 + i] for i in range(len(plain))] == [""] * len(plain)
 
 
 def test_base_spans_equal_plain_patterns(spark, trained):
