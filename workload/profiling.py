@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.correlation import correlations
+from millrace.functions.neighbours import neighbour_information
 from millrace.operators import profile as p
 from millrace.operators import profile_diff as d
 from millrace.operators.select import (
@@ -231,6 +232,13 @@ def mi_scores(spark, sf):
     return rounded(spark.createDataFrame(list(found.items()), "column string, score double"), 6, "score")
 
 
+def mi_neighbours(spark, sf):
+    """From nearest neighbours among the values themselves, without noise: equal values stay equal."""
+    numbers, _ = write_table(orders_with_customer(spark, sf).select("o_orderkey", "o_orderstatus", *INFORMATIVE))
+    found = neighbour_information(numbers, INFORMATIVE, "o_orderstatus", noise=0.0, id_col="o_orderkey")
+    return rounded(spark.createDataFrame(list(found.items()), "column string, score double"), 6, "score")
+
+
 def mi_select(spark, sf):
     df = _audited(spark, sf).select("o_orderkey", "finished", "finished_bit", "whole_price", "o_totalprice")
     model = MutualInformation(k=1, idCol="o_orderkey", labelCol="finished").fit(df)
@@ -263,6 +271,7 @@ QUERIES = {
         variance_report,
         variance_select,
         mi_scores,
+        mi_neighbours,
         mi_select,
     )
 }
@@ -406,6 +415,28 @@ def _mi_sql(source: str, label: str, columns: dict[str, bool], bins: int = 20) -
     return f"WITH s AS ({source})\n" + _union(parts)
 
 
+def _neighbours_sql(source: str, label: str, columns: list[str], k: int = 3) -> str:
+    """k-th distances from the k + 1 windows of neighbours that hold a row, counts by a frame of its own width per row."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS DOUBLE) AS x, {label} AS y FROM s" for c in columns)
+
+    def side(j: int) -> str:
+        before = "0" if j == 0 else f"x - lag(x, {j}) OVER w"
+        after = "0" if j == k else f"lead(x, {k - j}) OVER w - x"
+        return f"CASE WHEN ({before}) IS NOT NULL AND ({after}) IS NOT NULL THEN greatest({before}, {after}) END"
+
+    sides = ", ".join(side(j) for j in range(k + 1))
+    return f"""
+        WITH s AS ({source}), v AS ({long}),
+        d AS (SELECT c, x, y, least({sides}) AS d, count(*) OVER (PARTITION BY c, y) AS n_y, count(*) OVER (PARTITION BY c) AS n
+              FROM v WINDOW w AS (PARTITION BY c, y ORDER BY x)),
+        r AS (SELECT *, nextafter(d, 0.0::DOUBLE) AS r FROM d),
+        m AS (SELECT c, n, n_y, count(*) OVER (PARTITION BY c ORDER BY x RANGE BETWEEN r PRECEDING AND r FOLLOWING) AS m FROM r),
+        psi AS (SELECT i, coalesce(sum(1.0::DOUBLE / nullif(i - 1, 0)) OVER (ORDER BY i), 0) - 0.5772156649015329 AS p
+                FROM range(1, (SELECT max(n) + 1 FROM m)) AS t(i))
+        SELECT c AS "column", round(greatest(0, any_value(a.p) + any_value(b.p) - avg(e.p) - avg(f.p)), 6) AS score
+        FROM m JOIN psi AS a ON a.i = n JOIN psi AS b ON b.i = {k} JOIN psi AS e ON e.i = n_y JOIN psi AS f ON f.i = m.m GROUP BY c"""
+
+
 _ORDERS_CUSTOMER = "SELECT * FROM orders JOIN customer ON o_custkey = c_custkey"
 
 # the preparation of SPEC, statement by statement
@@ -608,6 +639,7 @@ ORACLES = {
         f"SELECT '{c}' AS kept FROM lineitem HAVING var_pop({c}) > 0.01" for c in NUMBERS
     ),
     "mi_scores": _mi_sql(_ORDERS_CUSTOMER, "o_orderstatus", {c: False for c in INFORMATIVE}),
+    "mi_neighbours": _neighbours_sql(_ORDERS_CUSTOMER, "o_orderstatus", INFORMATIVE),
     "mi_select": f"""
         SELECT unnest(['o_orderkey', 'finished']) AS kept
         UNION ALL

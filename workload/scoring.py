@@ -13,12 +13,13 @@ from millrace.operators.models import BoostedTrees, LeafLimitedTrees, LogisticCl
 from millrace.operators.select import TreeImportance
 from millrace.operators.split import stratified_split, split_summary, with_folds, with_test_flag
 from millrace.plans import store
+from millrace.plans.sampler import Range
 from millrace.plans.spec import build_pipeline, model_step
-from millrace.plans.tune import Range, tune
+from millrace.plans.tune import tune
 from millrace.plans.validate import cross_val_eval, holdout_eval, scores_table
 from millrace.sources.scratch import scratch_root, write_table
-from millrace.sources.sinks import write_predictions
-from millrace.sources.tables import read_table
+from millrace.sources.sinks import write_predictions, write_split
+from millrace.sources.tables import read_dataset, read_table
 from workload.preparation import orders_with_customer, rounded, table
 
 # --- splits ----------------------------------------------------------------------------
@@ -39,6 +40,26 @@ def split_shares(spark, sf):
     return rounded(split_summary(train, test, "o_orderstatus"), 6, "pct_train", "pct_test")
 
 
+def split_tables(spark, sf):
+    """The four written tables read back: every order with the side it is on and its label."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    train, test = stratified_split(orders, "o_orderkey", "o_orderstatus", test_size=0.2)
+    paths = write_split(train, test, f"{scratch_root(spark)}/split-{uuid.uuid4().hex}", id_col="o_orderkey", label_col="o_orderstatus")
+    sides = []
+    for side in ("train", "test"):
+        values, labels = (read_table(spark, paths[f"{side}_{part}"]) for part in ("values", "labels"))
+        sides.append(values.join(labels, "o_orderkey").withColumn("is_test", F.lit(side == "test")))
+    return sides[0].unionByName(sides[1])
+
+
+def load_dataset(spark, sf):
+    """Features and a label table written with other names, read, checked and joined."""
+    folder = f"{scratch_root(spark)}/labels-{uuid.uuid4().hex}"
+    table(spark, sf, "labels").select("doc_id", "quality").write.parquet(folder)
+    data = read_dataset(spark, f"{sf}/documents.parquet", folder, id_col="doc_id", label_col="good")
+    return data.select("doc_id", "lang", "source", "n_chars", "good")
+
+
 # --- metrics ---------------------------------------------------------------------------
 
 CLASSES = ["F", "O", "P"]
@@ -120,14 +141,16 @@ def _prepared_orders(spark, sf):
 def _vectors(spark, sf):
     """Embedding dimensions as columns; the ten labels grouped into three classes."""
     df = table(spark, sf, "embeddings")
-    dims = [F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(12)]
+    dims = [F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(64)]
     label = F.when(F.col("label") < 4, "a").when(F.col("label") < 7, "b").otherwise("c")
     return df.select("vec_id", label.alias("status"), *dims)
 
 
 def _fit_and_predict(df, model, id_col):
-    scored = model.fit(df).transform(df)
-    return scored.select(id_col, "prediction", F.round(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+    """Every row once, the sum of its classes' probabilities, and whether it got one of the classes."""
+    fitted = model.fit(df)
+    total = F.round(F.aggregate("probability", F.lit(0.0), lambda a, x: a + x), 6)
+    return fitted.transform(df).select(id_col, total.alias("total"), F.col("prediction").isin(fitted.classes).alias("known"))
 
 
 def fit_logistic(spark, sf):
@@ -150,6 +173,51 @@ def fit_leaf_limited(spark, sf):
     return _fit_and_predict(_vectors(spark, sf), model, "vec_id")
 
 
+def _told_by_nation(spark, sf):
+    """A label that the nation's number tells, beside two columns that tell nothing."""
+    nation = F.col("c_nationkey")
+    label = F.when(nation < 6, "low").when(nation < 17, "middle").otherwise("high")
+    return orders_with_customer(spark, sf).select(
+        "o_orderkey", label.alias("zone"), nation.cast("double").alias("nation"), "c_acctbal", "o_totalprice"
+    )
+
+
+def _learned(df, model, id_col):
+    return model.fit(df).transform(df).select(id_col, "prediction")
+
+
+def learn_logistic(spark, sf):
+    """Two classes with a wide gap between them."""
+    nation = F.col("nation")
+    df = _told_by_nation(spark, sf).where((nation < 5) | (nation > 19)).select("o_orderkey", F.when(nation < 5, "low").otherwise("high").alias("zone"), "nation")
+    return _learned(df, LogisticClassifier(idCol="o_orderkey", labelCol="zone", max_iter=50), "o_orderkey")
+
+
+def learn_forest(spark, sf):
+    model = RandomForest(idCol="o_orderkey", labelCol="zone", n_estimators=15, max_depth=6)
+    return _learned(_told_by_nation(spark, sf), model, "o_orderkey")
+
+
+def learn_boosted(spark, sf):
+    model = BoostedTrees(idCol="o_orderkey", labelCol="zone", n_estimators=4, max_depth=3, learning_rate=0.5, subsample=1.0, colsample_bytree=1.0)
+    return _learned(_told_by_nation(spark, sf), model, "o_orderkey")
+
+
+def learn_leaf_limited(spark, sf):
+    model = LeafLimitedTrees(idCol="o_orderkey", labelCol="zone", n_estimators=4, num_leaves=6, learning_rate=0.5, colsample_bytree=1.0)
+    return _learned(_told_by_nation(spark, sf), model, "o_orderkey")
+
+
+def learn_from_gaps(spark, sf):
+    """The label is told by a price that is missing; the model has no indicator column."""
+    price = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice"))
+    df = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", "finished").otherwise("open").alias("state"), price.alias("price"), F.year("o_orderdate").alias("order_year")
+    )
+    model = LeafLimitedTrees(idCol="o_orderkey", labelCol="state", n_estimators=3, num_leaves=4, learning_rate=0.5, colsample_bytree=1.0)
+    return _learned(df, model, "o_orderkey")
+
+
 def importance_select(spark, sf):
     df = _prepared_orders(spark, sf).withColumn(
         "late_status", F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no")
@@ -203,20 +271,22 @@ def whole_pipeline(spark, sf):
 
 
 def cross_validation(spark, sf):
-    spec = {**SPEC, "model": {"type": "logistic_regression", "max_iter": 20}}
-    df = _raw_orders(spark, sf)
-    return scores_table(
-        df, cross_val_eval(build_pipeline(spec, **KEYS), df, "o_orderkey", "o_orderstatus", n_splits=3, labels=CLASSES)
-    )
+    """Scores over folds of a label that the rows tell: all of them are right, in every fold."""
+    spec = {"name": "zones", "preprocessing": [{"type": "numeric_imputer"}], "model": {"type": "lgbm", "n_estimators": 3, "num_leaves": 6, "learning_rate": 0.5}}
+    df = _told_by_nation(spark, sf).drop("o_totalprice")
+    pipeline = build_pipeline(spec, id_col="o_orderkey", label_col="zone")
+    found = cross_val_eval(pipeline, df, "o_orderkey", "zone", n_splits=3, labels=["low", "middle", "high"])
+    return rounded(scores_table(df, found), 6, "value")
 
 
 def search(spark, sf):
+    """The best parameters found, and whether they lie in the space that was searched."""
     spaces = {"random_forest": {"n_estimators": Range(5, 10, whole=True), "max_depth": Range(2, 5, whole=True)}}
-    spec = {"name": "orders", "model": {"type": "random_forest"}}
+    spec = {"name": "orders", "preprocessing": [{"type": "numeric_imputer"}], "model": {"type": "random_forest"}}
     df = _prepared_orders(spark, sf)
-    best = tune(spec, df, "o_orderkey", "o_orderstatus", n_trials=2, cv_folds=2, spaces=spaces)
-    params = [(k, float(v)) for k, v in best["model"].items() if k != "type"]
-    return spark.createDataFrame(params, "parameter string, value double")
+    best = tune(spec, df, "o_orderkey", "o_orderstatus", n_trials=3, cv_folds=2, spaces=spaces)
+    params = [(k, spaces["random_forest"][k].low <= v <= spaces["random_forest"][k].high) for k, v in best["model"].items() if k != "type"]
+    return spark.createDataFrame(params, "parameter string, inside boolean")
 
 
 def _quick_model(spark, sf):
@@ -226,20 +296,23 @@ def _quick_model(spark, sf):
 
 
 def store_roundtrip(spark, sf):
-    """Save a pipeline, find it again by name, and predict with the loaded one."""
+    """Save a pipeline, find it again by name, and compare what both predict."""
     df, spec, fitted = _quick_model(spark, sf)
     folder = f"{scratch_root(spark)}/models-{uuid.uuid4().hex}"
     store.save(spark, fitted, "orders", folder, spec=spec)
     loaded = store.load_latest(spark, "orders", folder)
     assert model_step(loaded).classes == CLASSES
-    return loaded.transform(df).select("o_orderkey", "prediction")
+    one, two = (m.transform(df).select("o_orderkey", F.col("prediction").alias(n)) for m, n in ((fitted, "fitted"), (loaded, "loaded")))
+    return one.join(two, "o_orderkey").select("o_orderkey", (F.col("fitted") == F.col("loaded")).alias("same"))
 
 
 def prediction_file(spark, sf):
+    """The written file read back: every order once, with one of the classes."""
     df, _, fitted = _quick_model(spark, sf)
     path = f"{scratch_root(spark)}/predictions-{uuid.uuid4().hex}"
     write_predictions(fitted.transform(df), path, id_col="o_orderkey")
-    return read_table(spark, path, fmt="csv", schema="o_orderkey long, status_group string")
+    written = read_table(spark, path, fmt="csv", schema="o_orderkey long, status_group string")
+    return written.select("o_orderkey", F.col("status_group").isin(CLASSES).alias("known"))
 
 
 QUERIES = {
@@ -248,6 +321,8 @@ QUERIES = {
         stratified_test_rows,
         stratified_folds,
         split_shares,
+        split_tables,
+        load_dataset,
         class_metrics,
         summary_metrics,
         confusion,
@@ -260,6 +335,11 @@ QUERIES = {
         fit_forest,
         fit_boosted,
         fit_leaf_limited,
+        learn_logistic,
+        learn_forest,
+        learn_boosted,
+        learn_leaf_limited,
+        learn_from_gaps,
         importance_select,
         top_importances,
         whole_pipeline,
@@ -303,7 +383,31 @@ _CONSTANT = """
     SELECT o_orderstatus AS t, (SELECT o_orderstatus FROM orders GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS p
     FROM orders"""
 
+_NATION = "orders JOIN customer ON o_custkey = c_custkey"
+_ZONE = f"SELECT o_orderkey, CASE WHEN c_nationkey < 6 THEN 'low' WHEN c_nationkey < 17 THEN 'middle' ELSE 'high' END AS prediction FROM {_NATION}"
+
 ORACLES = {
+    "fit_logistic": f"SELECT o_orderkey, CAST(1 AS DOUBLE) AS total, true AS known FROM {_NATION}",
+    "fit_forest": f"SELECT o_orderkey, CAST(1 AS DOUBLE) AS total, true AS known FROM {_NATION}",
+    "fit_boosted": "SELECT vec_id, CAST(1 AS DOUBLE) AS total, true AS known FROM embeddings",
+    "fit_leaf_limited": "SELECT vec_id, CAST(1 AS DOUBLE) AS total, true AS known FROM embeddings",
+    "learn_logistic": f"""
+        SELECT o_orderkey, CASE WHEN c_nationkey < 5 THEN 'low' ELSE 'high' END AS prediction
+        FROM {_NATION} WHERE c_nationkey < 5 OR c_nationkey > 19""",
+    "learn_forest": _ZONE,
+    "learn_boosted": _ZONE,
+    "learn_leaf_limited": _ZONE,
+    "learn_from_gaps": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'finished' ELSE 'open' END AS prediction FROM orders",
+    "cross_validation": """
+        SELECT * FROM (VALUES ('accuracy_mean', 1.0::DOUBLE), ('accuracy_std', 0.0), ('cost_mean', 0.0), ('cost_std', 0.0),
+                       ('f1_macro_mean', 1.0), ('f1_macro_std', 0.0), ('f1_weighted_mean', 1.0), ('f1_weighted_std', 0.0)) AS t(score, value)""",
+    "search": "SELECT * FROM (VALUES ('n_estimators', true), ('max_depth', true)) AS t(parameter, inside)",
+    "store_roundtrip": "SELECT o_orderkey, true AS same FROM orders JOIN customer ON o_custkey = c_custkey",
+    "prediction_file": "SELECT o_orderkey, true AS known FROM orders JOIN customer ON o_custkey = c_custkey",
+    "load_dataset": "SELECT doc_id, lang, source, n_chars, quality AS good FROM documents JOIN labels USING (doc_id)",
+    "split_tables": f"""
+        SELECT o_orderkey, r.o_orderstatus, o_totalprice, rn <= quota AS is_test
+        FROM ({_RANKED}) AS r JOIN ({_QUOTAS}) ON r.o_orderstatus = c JOIN orders USING (o_orderkey)""",
     "stratified_test_rows": f"""
         SELECT o_orderkey, o_orderstatus, rn <= quota AS is_test
         FROM ({_RANKED}) JOIN ({_QUOTAS}) ON o_orderstatus = c""",
