@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,12 @@ from millrace.sources.scratch import write_table
 
 #: Hidden states, words with a symbol of their own, symbols for endings, rounds of Baum-Welch.
 STATES, TOP_WORDS, ENDINGS, ROUNDS = 8, 4096, 1024, 6
-#: Words whose counts every task holds (at most); counts of rarer words are joined.
-HELD_WORDS = 200_000
+#: Words whose counts every task holds (at most), counts of rarer words are joined; and words that a task counts before it sends them on.
+HELD_WORDS, COUNTED_WORDS = 400_000, 600_000
 #: Steps of Baum-Welch whose forward messages are held at a time (a text of any length is one sequence), and tokens worked on at a time.
 SPAN, BATCH_TOKENS = 256, 400_000
+#: Tokens whose forward messages are held, and whose expected counts are added up at once.
+HELD_TOKENS, SEEN_TOKENS = 2_000_000, 200_000
 #: Tokens whose symbols a task gathers, so that texts of like length are worked on together.
 GATHERED_TOKENS = 16_000_000
 SMOOTH = 0.1
@@ -52,7 +55,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             for text in texts_of(part):
                 counts.update(words_of(text))
                 counts[b""] += 1
-            if len(counts) > HELD_WORDS:
+            if len(counts) > COUNTED_WORDS:
                 yield out()
                 counts.clear()
         if counts:
@@ -135,35 +138,45 @@ def _forward(model: Model, a: np.ndarray | None, symbols: np.ndarray) -> tuple[n
 def _expected(model: Model, texts: list[np.ndarray], into: dict[str, np.ndarray]) -> None:
     """Adds one batch's expected counts: the forward and backward recursions of Baum-Welch over whole texts.
 
-    Forward messages are kept where a stretch of SPAN steps begins; those inside it are computed again on the way back.
+    The forward messages of up to HELD_TOKENS tokens are held. Of longer texts those are kept where a
+    stretch of SPAN steps begins; those inside it are computed again on the way back.
     """
+    moves, back = np.zeros_like(model.move), np.ascontiguousarray(model.move.T)
     for _, n, column in _columns(texts):
-        kept, a = [], None
-        for t in range(n):
-            if t % SPAN == 0:
+        span = n if sum(map(len, texts)) <= HELD_TOKENS else SPAN
+        kept, a = [None], None
+        for t in range((n - 1) // span * span):
+            a, _ = _forward(model, a, column(t))
+            if (t + 1) % span == 0:
                 kept.append(a)
-            a, c = _forward(model, a, column(t))
-            into["log10"] += np.log10(c).sum()
         ahead = None  # emission times beta over scale at the step before this one (going back)
-        for first in range((n - 1) // SPAN * SPAN, -1, -SPAN):
-            steps = [column(t) for t in range(first, min(first + SPAN, n))]
+        for first in reversed(range(0, n, span)):
+            steps = [column(t) for t in range(first, min(first + span, n))]
             alpha, scale, a = [], [], kept.pop()
             for s in steps:
                 a, c = _forward(model, a, s)
                 alpha.append(a)
                 scale.append(c)
-            gammas = [None] * len(steps)
-            for t in range(len(steps) - 1, -1, -1):
-                beta = np.ones_like(alpha[t])
+            into["log10"] += np.log10(np.concatenate(scale)).sum()
+            seen, size = [], 0
+            while steps:
+                s, a, c = steps.pop(), alpha.pop(), scale.pop()
+                beta = np.ones_like(a)
                 if ahead is not None:
-                    beta[: len(ahead)] = ahead @ model.move.T
-                    into["move"] += model.move * (alpha[t][: len(ahead)].T @ ahead)
-                gammas[t] = alpha[t] * beta
-                ahead = model.emit[steps[t]] * beta / scale[t]
-            flat, gamma = np.concatenate(steps), np.concatenate(gammas)
-            for k in range(gamma.shape[1]):
-                into["emit"][:, k] += np.bincount(flat, gamma[:, k], len(into["emit"]))
-        into["start"] += gammas[0].sum(axis=0)
+                    m = len(ahead)
+                    beta[:m] = ahead @ back
+                    moves += a[:m].T @ ahead
+                seen.append((s, a * beta))
+                ahead = model.emit[s] * beta / c
+                size += len(s)
+                if size > SEEN_TOKENS or not steps:
+                    flat, gamma = (np.concatenate(x) for x in zip(*seen, strict=True))
+                    for k in range(gamma.shape[1]):
+                        into["emit"][:, k] += np.bincount(flat, gamma[:, k], len(into["emit"]))
+                    if not steps and not first:
+                        into["start"] += seen[-1][1].sum(axis=0)
+                    seen, size = [], 0
+    into["move"] += model.move * moves
 
 
 def _batches(batches: Iterator[pa.RecordBatch], limit: int, gathered: int = GATHERED_TOKENS) -> Iterator[pa.Table]:
@@ -269,7 +282,7 @@ def score_texts(
             for k, text in enumerate(texts_of(part)):
                 uid += 1
                 tokens = words_of(text)
-                rank = np.array([get(w, -1) for w in tokens] + [len(s.rank)], np.int64)
+                rank = np.fromiter(chain(map(get, tokens, repeat(-1)), (len(s.rank),)), np.int64, len(tokens) + 1)
                 symbol = s.symbol[rank]
                 away = np.flatnonzero(rank < 0)
                 if len(away):
@@ -328,8 +341,8 @@ def score_texts(
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _batches(batches, 4 * BATCH_TOKENS):
-            chain = sent.value.log10_likelihood(_symbols_of(t))
-            yield from t.drop_columns(["symbols"]).append_column("chain", pa.array(chain)).combine_chunks().to_batches()
+            found = sent.value.log10_likelihood(_symbols_of(t))
+            yield from t.drop_columns(["symbols"]).append_column("chain", pa.array(found)).combine_chunks().to_batches()
 
     scored = texts.select("uid", "doc_id", "trained", "n_tokens", "known", "base", "rare_class", "symbols").mapInArrow(
         forward, f"uid bigint, doc_id {kind}, trained boolean, n_tokens bigint, known bigint, base double, rare_class double, chain double"
