@@ -1,9 +1,9 @@
 """Boosted trees that grow leaf by leaf, from histograms of gradients that Spark adds up.
 
 The rows are cut into bins once and written. A pass over them counts, for every leaf that may be split
-next in any class's tree, how many rows and how much gradient fall into each bin of each column; tasks send one row per (tree, leaf, column), these are added up where a leaf's best cut
-is found, and a few numbers per leaf reach the driver. The driver splits the leaf that gains most,
-again and again. Leaves that may come up are expanded ahead of their turn, all in one pass, so a tree
+next in any class's tree, how many rows and how much gradient fall into each bin of each column;
+tasks send one row per (tree, leaf, column), these are added up where a leaf's best cut is found, and
+a few numbers per leaf reach the driver. The driver splits the leaf that gains most, again and again. Leaves that may come up are expanded ahead of their turn, all in one pass, so a tree
 of 63 leaves takes about as many passes as it is deep, and is the tree that single splits would give.
 
 Gradients are rounded to multiples of 2**-24 of the largest row weight and added as whole numbers, so
@@ -23,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import as_double
-from millrace.functions.quantiles import exact_quantiles
+from millrace.functions.columns import as_double, chunks, in_parallel
 from millrace.sources.scratch import write_table
 
 #: Whole numbers per unit of gradient or hessian.
 SCALE = float(1 << 24)
 #: Bytes of bins that a task works on at a time, and cells (leaf, column, bin) that it counts in one pass.
 BLOCK_BYTES, CELLS = 4 << 20, 4 << 20
+#: Rows that bins are taken from, about; columns whose bins one job finds, and jobs at once.
+SAMPLED, COLUMNS_PER_JOB, JOBS_AT_ONCE = 200_000, 8, 4
 #: Rounds after which the rows' scores are written; in between they are the written ones plus the newest trees.
 WRITTEN_EVERY = 10
 #: The least sum of hessians in a leaf.
@@ -454,14 +455,22 @@ class LeafwiseModel:
         return cls([np.array(by[i]) for i in sorted(by)], base, rounds)
 
 
-def column_edges(df: DataFrame, columns: list[str], max_bins: int) -> list[np.ndarray]:
-    """Each column's quantiles, at most ``max_bins`` - 1 distinct ones; the largest value is no edge."""
-    found = exact_quantiles(df, columns, [i / max_bins for i in range(max_bins)] + [1.0])
-    out = []
-    for c in columns:
-        values = sorted({v for v in found[c] if v is not None})
-        out.append(np.array(values[:-1], float))
-    return out
+def column_edges(df: DataFrame, columns: list[str], max_bins: int, draw: Column, rows: int) -> list[np.ndarray]:
+    """Each column's quantiles, at most ``max_bins`` distinct ones without the largest, of all rows or about ``SAMPLED`` of many.
+
+    ``draw`` decides which rows are read, so the edges don't depend on how these are dealt to tasks.
+    """
+    if rows > SAMPLED:
+        df = df.filter(F.pmod(F.xxhash64(draw), F.lit(1 << 20)) < F.lit((1 << 20) * SAMPLED // rows))
+    shares = "array(" + ", ".join(f"{i / max_bins!r}D" for i in range(max_bins)) + ", 1D)"
+
+    def found(part: list[str]) -> list[np.ndarray]:
+        # the values of one column in an aggregation: bounded by the sample
+        row = df.agg(*[F.percentile(as_double(c), F.expr(shares)).alias(f"q{i}") for i, c in enumerate(part)]).first()
+        return [np.array(sorted(set(q or []))[:-1], float) for q in row]
+
+    jobs = [lambda part=part: found(list(part)) for part in chunks(columns, COLUMNS_PER_JOB)]
+    return [e for part in in_parallel(df.sparkSession, jobs, JOBS_AT_ONCE) for e in part]
 
 
 def fit_leafwise(
@@ -489,7 +498,7 @@ def fit_leafwise(
     each class, ``draw`` is a 64-bit number of a row that decides in which rounds it is learned from.
     Missing values are a bin of their own, which goes to the side of a cut where it gains more.
     """
-    edges = column_edges(df, columns, max_bins)
+    edges = column_edges(df, columns, max_bins, draw, sum(counts))
     missing = missing_bins(edges)
     largest = max(weights)
     shares = np.array(counts) * np.array(weights) / np.dot(counts, weights)

@@ -155,8 +155,10 @@ def test_same_model_on_other_partitions_and_after_saving(frame, tmp_path):
 
 def test_bins_and_routes(frame):
     df = frame([(i, float(i % 50), None, 1.0, "x") for i in range(200)], SCHEMA, 3)
-    edges = column_edges(df, ["a", "b", "c"], 8)
+    edges = column_edges(df, ["a", "b", "c"], 8, F.col("id"), 200)
     assert [len(e) for e in edges] == [8, 0, 0] and list(edges[0]) == sorted(set(edges[0]))
+    few = column_edges(df.union(df), ["a"], 8, F.col("id"), 400_000_000)  # a share of nearly none
+    assert len(few[0]) == 0
     bins = binned(np.array([[0.0, np.nan, 1.0], [49.0, 3.0, np.nan]]), edges)
     assert bins.tolist() == [[0, 1, 0], [8, 0, 1]] and missing_bins(edges).tolist() == [9, 1, 1]
     tree = Tree()
