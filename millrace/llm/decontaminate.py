@@ -17,7 +17,8 @@ WORD_BYTES = bytes(
 )
 #: Words of the benchmark in one set of tables; a larger benchmark takes several, searched in turn.
 BLOCK_WORDS = 500_000
-_TABLE = 1 << 16
+#: Slots of a shift table for each word of its patterns' items, and their number's logarithm at least and at most.
+SLOTS_PER_WORD, LEAST_BITS, MOST_BITS = 8, 16, 24
 #: Positions one cursor walks over; all cursors of a slice move together.
 _SEGMENT = 256
 
@@ -28,28 +29,34 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(WORD_BYTES).split()
 
 
-def _block_hash(before: np.ndarray | None, last: np.ndarray) -> np.ndarray:
+def _block_hash(before: np.ndarray | None, last: np.ndarray, bits: int) -> np.ndarray:
     """Hash of the block of two words that ends with ``last`` (of one word if there is none before)."""
     x = last.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     if before is not None:
         x += before.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (x >> np.uint64(40)).astype(np.int64) & (_TABLE - 1)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
 class Tables:
-    """Shift table and suffix buckets of all patterns of one length."""
+    """Shift table and suffix buckets of all patterns of one length.
+
+    Most slots must be empty for the search to skip, so there are several per block of words.
+    """
 
     def __init__(self, length: int, patterns: list[tuple[int, ...]], items: list[list[int]]):
         self.length, self.block = length, min(2, length)
         rows = np.array(patterns, np.int32).reshape(len(patterns), length)
-        self.shift = np.full(_TABLE, length - self.block + 1, np.int32)
+        # neighbouring windows share all blocks but one
+        self.bits = min(MOST_BITS, max(LEAST_BITS, (SLOTS_PER_WORD * len(patterns)).bit_length()))
+        self.shift = np.full(1 << self.bits, length - self.block + 1, np.uint16)
         for q in range(self.block - 1, length):
-            h = _block_hash(rows[:, q - 1] if self.block == 2 else None, rows[:, q])
-            np.minimum.at(self.shift, h, length - 1 - q)
-        suffix = _block_hash(rows[:, -2] if self.block == 2 else None, rows[:, -1])
+            h = _block_hash(rows[:, q - 1] if self.block == 2 else None, rows[:, q], self.bits)
+            np.minimum.at(self.shift, h, np.uint16(length - 1 - q))
+        suffix = _block_hash(rows[:, -2] if self.block == 2 else None, rows[:, -1], self.bits)
         order = np.argsort(suffix, kind="stable")
-        self.rows, self.items = rows[order], [items[i] for i in order]
-        self.bucket = np.searchsorted(suffix[order], np.arange(_TABLE + 1))
+        self.rows, self.items, self.suffix = rows[order], [items[i] for i in order], suffix[order]
 
     def matches(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The last positions of all occurrences and their patterns; -1 in ``ids`` fits no pattern."""
@@ -60,11 +67,11 @@ class Tables:
         while len(at):
             last = ids[at]
             before = ids[at - 1] if self.block == 2 else None
-            h = _block_hash(before, last)
+            h = _block_hash(before, last, self.bits)
             jump = np.where(last < 0, m, self.shift[h])
             hit = np.flatnonzero(jump == 0)
             if len(hit):
-                p, row, end = at[hit], self.bucket[h[hit]], self.bucket[h[hit] + 1]
+                p, row, end = at[hit], *(np.searchsorted(self.suffix, h[hit], side=s) for s in ("left", "right"))
                 while len(p):
                     same = np.ones(len(p), bool)
                     for q in range(m - 1, -1, -1):

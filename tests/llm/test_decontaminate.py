@@ -2,6 +2,9 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pytest
+
 from millrace.llm import decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -73,3 +76,23 @@ def test_long_text(spark):
     text = "lorem " * 400_000 + "needle in a haystack " + "ipsum " * 400_000
     got = answer(spark, [(1, text)], [(7, "needle in a haystack")])
     assert got[0][1:4] == (800_004, 4, 1)
+
+
+@pytest.mark.parametrize("n", [2_000, 200_000])
+def test_most_positions_are_skipped_at_any_size(n):
+    """Zipf-like words: the mean shift of a block that a text has is above half of the largest one."""
+    rnd = np.random.default_rng(3)
+    vocabulary = [f"w{i}".encode() for i in range(n // 4)]
+
+    def text(k):
+        return b" ".join(vocabulary[min(int(x) - 1, len(vocabulary) - 1)] for x in rnd.zipf(1.2, k))
+
+    tables = decontaminate.Benchmark([(str(i), text(500)) for i in range(n // 500)], 10)
+    (t,) = tables.tables
+    ids = np.array([tables.vocabulary.get(w, -1) for w in decontaminate.words_of(text(20_000))])
+    known = (ids[1:] >= 0) & (ids[:-1] >= 0)
+    shift = t.shift[decontaminate._block_hash(ids[:-1][known], ids[1:][known], t.bits)]
+    # frequent pairs of words stand in many windows: those that the patterns do not hold are skipped
+    held = {(a, b) for row in t.rows.tolist() for a, b in zip(row, row[1:])}
+    fresh = np.array([(a, b) not in held for a, b in zip(ids[:-1][known].tolist(), ids[1:][known].tolist())])
+    assert shift[fresh].mean() > 0.5 * (t.length - 1)
