@@ -136,30 +136,45 @@ def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     )
 
 
-def spearman(df: DataFrame, columns: list[str]) -> dict[Pair, float | None]:
-    """Pearson correlation of average ranks.
+def gap_patterns(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
+    """For each column with nulls the first column that is null in the same rows; None without nulls.
 
-    Ranks are taken over each pair's common rows. A partner without nulls does not change a
-    column's ranks, so one ranking serves all such pairs; only partners with nulls add a
-    ranking of the column restricted to their rows.
+    One pass: a column's pattern is the exclusive or of 128-bit numbers of the rows where it is null.
     """
-    gaps = df.agg(
-        *[F.count_if(as_double(c).isNull()).alias(f"g{i}") for i, c in enumerate(columns)],
-    ).first()
-    has_gaps = {c: gaps[f"g{i}"] > 0 for i, c in enumerate(columns)}
+    row = F.monotonically_increasing_id()
+    rows = df.select(*[as_double(c).isNull().alias(f"g{i}") for i, c in enumerate(columns)], *[F.xxhash64(row, F.lit(j)).alias(f"u{j}") for j in (0, 1)])
+    marks = [F.count_if(f"g{i}").alias(f"n{i}") for i in range(len(columns))]
+    marks += [F.bit_xor(F.when(F.col(f"g{i}"), F.col(f"u{j}"))).alias(f"x{i}_{j}") for i in range(len(columns)) for j in (0, 1)]
+    found = rows.agg(*marks).first()
+    first: dict[tuple, str] = {}
+    out: dict[str, str | None] = {}
+    for i, c in enumerate(columns):
+        out[c] = first.setdefault((found[f"n{i}"], found[f"x{i}_0"], found[f"x{i}_1"]), c) if found[f"n{i}"] else None
+    return out
+
+
+def rankings(columns: list[str], patterns: dict[str, str | None]) -> dict[Pair, str]:
+    """The ranking of a column that a pair (column, partner) reads: of all its rows, or of those of the partner's pattern."""
+    own = {(a, b): patterns[b] if patterns[b] != patterns[a] else None for a in columns for b in columns if a != b}
+    return {pair: json.dumps([pair[0]] if p is None else [pair[0], p]) for pair, p in own.items()}
 
-    def ranking(a: str, b: str) -> str:
-        return json.dumps([a, b] if has_gaps[b] else [a])
 
+def spearman(df: DataFrame, columns: list[str]) -> dict[Pair, float | None]:
+    """Pearson correlation of average ranks.
+
+    Ranks are taken over each pair's common rows. A partner without nulls, or with nulls in the same
+    rows, does not change a column's ranks, so one ranking serves all such pairs; each other pattern
+    of nulls among the partners adds one ranking of the column, restricted to its rows.
+    """
+    of = rankings(columns, gap_patterns(df, columns))
     pairs = all_pairs(columns)
     ranked: dict[str, Column] = {}
-    for a, b in pairs:
-        for x, y in ((a, b), (b, a)):
-            own = as_double(x)
-            ranked[ranking(x, y)] = F.when(as_double(y).isNotNull(), own) if has_gaps[y] else own
+    for r in of.values():
+        x, *partner = json.loads(r)
+        ranked[r] = F.when(as_double(partner[0]).isNotNull(), as_double(x)) if partner else as_double(x)
     names = {r: f"rank{i}" for i, r in enumerate(ranked)}
     with_ranks = average_ranks(df, {names[r]: x for r, x in ranked.items()})
-    wanted = {(names[ranking(a, b)], names[ranking(b, a)]): (a, b) for a, b in pairs}
+    wanted = {(names[of[a, b]], names[of[b, a]]): (a, b) for a, b in pairs}
     found = pearson(with_ranks, {n: col(n) for n in names.values()}, list(wanted))
     return {wanted[p]: r for p, r in found.items()}
 

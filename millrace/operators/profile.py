@@ -22,6 +22,8 @@ from millrace.sources.scratch import write_table
 
 AGGREGATES_PER_JOB = 32
 JOBS_AT_ONCE = 4
+#: Bytes of a text above which its values are counted by hash; a quarter as many characters are its head.
+HEAD = 64
 
 # What the type audit looks for and how it names its findings.
 BOOLEAN_WORDS = ["true", "false", "yes", "no", "0", "1", "t", "f"]
@@ -246,12 +248,18 @@ def _value_statistics(df: DataFrame, kinds: dict[str, T.DataType]) -> dict[str,
         else:
             groups["string"][c] = col(c).cast("string")
     parts = []
-    for columns in groups.values():
+    for kind, columns in groups.items():
         if not columns:
             continue
-        counts = long_form(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        present = F.col("value").isNotNull()
-        top = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), "value")))
+        if kind == "string":
+            counts = _text_counts(df, columns)
+            present, head = F.col("head").isNotNull(), F.substring("head", 1, HEAD // 4)
+            # a long text has no value here and comes before short ones with the same head
+            top = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), head.alias("head"), F.when(F.col("h0").isNull(), F.col("head")).alias("value"))))
+        else:
+            counts = long_form(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+            present = F.col("value").isNotNull()
+            top = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), F.lit(None).cast("string").alias("head"), "value")))
         parts.append(
             counts.groupBy("column")
             .agg(F.count_if(present).alias("n_unique"), top.alias("top"), F.sum("n").alias("total"))
@@ -261,17 +269,45 @@ def _value_statistics(df: DataFrame, kinds: dict[str, T.DataType]) -> dict[str,
                 F.col("top.value").cast("string").alias("top_value"),
                 (-F.col("top.n")).alias("top_freq"),
                 "total",
+                "top.head",
             )
         )
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    found = {
-        r["column"]: (r["n_unique"], r["top_value"], r["top_freq"] or 0, r["total"]) for r in every.collect()
-    }
+    rows = every.collect()
+    long = {r["column"]: (r["top_freq"], r["head"]) for r in rows if r["top_freq"] and r["top_value"] is None}
+    texts = _long_tops(df, {c: groups["string"][c] for c in long}, long) if long else {}
+    found = {r["column"]: (r["n_unique"], texts.get(r["column"], r["top_value"]), r["top_freq"] or 0, r["total"]) for r in rows}
     return {c: found.get(c, (0, None, 0, 0)) for c in kinds}
 
 
+def _hashed_texts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """column, value, and head, h0, h1: a short text is its head; a long one has the first characters and a 128-bit hash."""
+    long = F.octet_length("value") > HEAD
+    hashes = [F.when(long, F.xxhash64(F.lit(i), "value")).alias(f"h{i}") for i in (0, 1)]
+    head = F.when(long, F.substring("value", 1, HEAD // 4)).otherwise(F.col("value"))
+    return long_form(df, columns).select("column", "value", head.alias("head"), *hashes)
+
+
+def _text_counts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Rows per text; what is shuffled of a long one does not grow with it."""
+    return _hashed_texts(df, columns).groupBy("column", "head", "h0", "h1").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _long_tops(df: DataFrame, columns: dict[str, Column], tops: dict[str, tuple[int, str]]) -> dict[str, str]:
+    """The smallest text of each column among those with the column's largest count and, of these, the smallest head.
+
+    Only these are looked up, by hash, among the whole texts.
+    """
+    wanted = df.sparkSession.createDataFrame([(c, *t) for c, t in tops.items()], "of string, most long, least string")
+    same = (F.col("column") == F.col("of")) & (F.col("n") == F.col("most")) & (F.substring("head", 1, HEAD // 4) == F.col("least"))
+    winners, _ = write_table(_text_counts(df, columns).join(F.broadcast(wanted), same).select("column", "head", "h0", "h1"))
+    texts = _hashed_texts(df, columns).join(winners.where("h0 IS NOT NULL").select("column", "h0", "h1"), ["column", "h0", "h1"], "left_semi")
+    every = texts.select("column", "value").unionByName(winners.where("h0 IS NULL").select("column", F.col("head").alias("value")))
+    return {r["column"]: r["least"] for r in every.groupBy("column").agg(F.min("value").alias("least")).collect()}
+
+
 def label_distribution(df: DataFrame, label_col: str) -> DataFrame:
     """Rows and share per class; null is a class. Largest first."""
     counts = df.groupBy(col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("count"))

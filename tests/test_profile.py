@@ -1,10 +1,12 @@
 import math
+import random
+from collections import Counter
 
 import duckdb
 import pandas as pd
 import pytest
 
-from millrace.functions.correlation import average_ranks, correlations
+from millrace.functions.correlation import all_pairs, average_ranks, correlations, gap_patterns, rankings, spearman
 from millrace.functions import correlation as correlation_module
 from millrace.functions.columns import col
 from millrace.operators import profile as p
@@ -237,3 +239,32 @@ def test_duckdb_agrees_on_moments():
     data = pd.DataFrame({"x": [1.0, 5.0, 2.0, 8.0, 8.0]})
     got = duckdb.sql("select skewness(x), kurtosis(x) from data").fetchall()[0]
     assert got == pytest.approx((data["x"].skew(), data["x"].kurtosis()))
+
+
+def test_columns_with_gaps_in_the_same_rows_share_rankings(frame):
+    rng = random.Random(5)
+    rows = [(i, *[rng.random() if (i % (3 + j % 2)) else None for j in range(40)]) for i in range(60)]
+    names = [f"c{j}" for j in range(40)]
+    df = frame(rows, "id long, " + ", ".join(f"{n} double" for n in names), 3)
+    patterns = gap_patterns(df, names)
+    assert [patterns[n] for n in names] == ["c0", "c1"] * 20
+    assert len(set(rankings(names, patterns).values())) == 80
+    few = names[:4]
+    data = pd.DataFrame([r[1:5] for r in rows], columns=few).astype(float)
+    got = spearman(df.select("id", *few), few)
+    for a, b in all_pairs(few):
+        both = data[[a, b]].dropna().rank()
+        assert got[a, b] == pytest.approx(both[a].corr(both[b]), abs=1e-9)
+
+
+def test_long_texts_are_counted_by_hash(frame):
+    """Ties, heads that many texts share, texts that are the head of others, and what is shuffled does not grow with them."""
+    long = "same beginning " * 20
+    rows = [(i, t) for i, t in enumerate([long + "b", long + "a", long + "a", long + "b", long, "short", None, long + "c" * 5_000] + ["x" * 64, "x" * 65] * 1)]
+    df = frame(rows, "id long, t string", 3)
+    for make in (df, df.where("t IS NOT NULL AND length(t) < 70"), df.where("t IS NULL")):
+        (row,) = p.cardinality_report(make.select("t")).collect()
+        values = [r["t"] for r in make.collect()]
+        present = Counter(v for v in values if v is not None)
+        want = min(present.items(), key=lambda kv: (-kv[1], kv[0].encode())) if present else (None, 0)
+        assert (row["n_unique"], row["top_value"], row["top_freq"]) == (len(present), *want)
