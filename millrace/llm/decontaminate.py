@@ -190,7 +190,8 @@ def find_items(
     an occurrence, as first and end word) and items (ids of the occurring items, as sorted texts).
     Words are compared in lower case (A-Z only). An item of fewer words than ``window`` is one
     window; an item without words or without an id is none. Null and empty texts have no words,
-    empty tables give no hits, rows that repeat are answered each, ids repeat in ``items`` never.
+    empty tables give no hits, rows that repeat are answered each, ids repeat in ``items`` never. A
+    very long text is a slice of its own and searched whole; other columns are not read.
 
     The benchmark is the stated query set: it is read to the driver block by block and sent to the
     tasks in tables of at most ``block_words`` words each, which are searched in turn.

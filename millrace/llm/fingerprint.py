@@ -165,7 +165,9 @@ def edited_fingerprints(
     texts' hashes); the largest follows the smallest. The edited text has its last half replaced by
     as many code points from the start of the next document. Rows are dealt to runs of neighbouring
     ids of about ``run_rows``, so no task depends on another and the texts move once. Ids must be
-    whole numbers. Null texts are empty.
+    whole numbers. Null texts are empty and have empty fingerprints; rows that repeat follow one
+    another and have a row each; a single row is its own next one. A very long text is hashed in
+    stretches, whole. An empty table gives no rows; other columns are not read.
     """
     found = id_and_text(docs, id_col, text_col)
     runs, _ = _runs(found, run_rows)

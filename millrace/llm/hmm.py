@@ -252,6 +252,7 @@ def score_texts(
     and score (the hidden Markov model), both as log10 probabilities of the whole text, and the
     log10 likelihood of the training texts before each round. A null text is empty and has one token, the
     end. Rows that repeat are each counted and scored. Without training rows all words are unknown.
+    A text of any length is one sequence. An empty table gives no rows; other columns are not read.
 
     Words are counted over all training rows; counts of the ``held_words`` most frequent ones go to
     the tasks, the others are joined. Every round reads all training texts.

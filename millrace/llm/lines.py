@@ -82,7 +82,9 @@ def remove_spread_lines(
     as lines nor as removed. A line on ``min_sites`` distinct sites or more is removed everywhere
     but at its first occurrence (smallest doc_id, nulls first, then smallest line number; rows that
     share the id and the line number both keep it). Null and empty texts have no lines and stay as
-    they are; rows without a site add no site, but lose the lines that others spread.
+    they are; rows without a site add no site, but lose the lines that others spread. A very long text
+    is cut into all its lines. An empty table gives no rows; other columns stay in ``row``, whatever
+    their names.
     """
     key = ["h1", "h2"]
     rows = _rows(docs, id_col, text_col, site_col)

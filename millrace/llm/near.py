@@ -282,8 +282,9 @@ def near_groups(
     Words are lower-cased (A-Z only); a text's set holds its distinct runs of ``shingle`` words, or
     its whole sequence if it is shorter. Two documents link if the intersection of their sets is at
     least ``percent`` of the union. Null and empty texts have empty sets and link with nothing.
-    Documents with equal sets are one node. A null id is no smallest id: a group of null ids only has
-    a null component_id.
+    Documents with equal sets are one node, repeated rows too. A null id is no smallest id: a group of
+    null ids only has a null component_id. A very long text is a slice of its own and read whole. An
+    empty table gives no rows; other columns are not read.
 
     Candidates meet on rare-first prefixes and pass the length, positional and suffix filters (the
     last compares how many shingles fall into each range of the hash space). The first two rounds

@@ -59,7 +59,9 @@ def remove_passages(
 
     kept_text has the words left, joined by one space. Null and empty texts have no words; texts
     shorter than ``length`` lose nothing; a null id is smaller than all others; rows that share an
-    id are one document, so that none of them removes from another. Hashes have 64 bits.
+    id are one document, so that none of them removes from another, repeated rows neither. Hashes
+    have 64 bits. A very long text is a slice of its own and read whole. An empty table gives no rows;
+    other columns are not read.
     """
     rows = keyed(docs, id_col, text_col)
     copies = later_copies(rows).withColumn("whole", F.lit(True))

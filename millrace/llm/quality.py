@@ -196,13 +196,17 @@ def fit(
 
 
 def score(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score (0 to 1) of every row; null and empty texts have the statistics of an empty text."""
+    """doc_id and score (0 to 1) of every row; null and empty texts have the statistics of an empty text.
+
+    Equal texts have equal scores, rows that repeat a row each; a very long text is read whole. An empty
+    table gives no rows; other columns are not read.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return _features(id_and_text(docs, id_col, text_col), sent).withColumnRenamed("out", "score")
 
 
 def keep_good(docs: DataFrame, model: Trees, least: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores ``least`` or more."""
+    """The rows of ``docs``, all columns, whose text scores ``least`` or more; as in ``score``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.schema
 

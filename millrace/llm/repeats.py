@@ -415,7 +415,9 @@ def remove_repeats(
     A byte goes if a string of ``length`` bytes around it also starts earlier: in a document with a
     smaller id, or in its own at a smaller place. Texts are UTF-8 bytes, null is empty, matches stay
     inside a document; a null id is the smallest. Rows that share an id are ordered by their text's
-    hash; equal rows don't remove from each other.
+    hash; equal rows don't remove from each other. Texts shorter than ``length``, empty ones too, lose
+    nothing; a very long text is a slice of its own and read whole. An empty table gives no rows;
+    other columns are not read.
     """
     rows = keyed(docs, id_col, text_col)
     copies = later_copies(rows).withColumn("whole", F.lit(True))

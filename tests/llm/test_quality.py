@@ -76,3 +76,35 @@ def test_fit_reads_a_bounded_sample(spark):
     finally:
         quality.fit_trees = quality_fit
     assert seen == [40]
+
+
+def test_histogram_splits_equal_all_cuts_tried():
+    """Few distinct values, so that every cut has a bin: the same trees as by trying each value of each column in each node."""
+    rnd = np.random.default_rng(7)
+    x = rnd.integers(0, 9, (150, 3)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 2] > 6) | (rnd.random(150) < 0.1)).astype(float)
+    rate, penalty, least, depth = 0.3, 1.0, 8, 2
+    trees = quality.fit_trees(x, y, rounds=4, depth=depth, rate=rate, bins=64, least=least, penalty=penalty)
+    raw = np.full(150, trees.base)
+    for _ in range(4):
+        p = 1 / (1 + np.exp(-raw))
+        g, h = p - y, p * (1 - p)
+
+        def worth(rows, g=g, h=h):
+            return g[rows].sum() ** 2 / (h[rows].sum() + penalty)
+
+        parts = [np.arange(150)]
+        for _ in range(depth):
+            halves = []
+            for rows in parts:
+                best = (1e-9, None)
+                for j in range(3):
+                    for v in np.unique(x[:, j])[:-1]:
+                        left, right = rows[x[rows, j] <= v], rows[x[rows, j] > v]
+                        if min(len(left), len(right)) >= least and (gain := worth(left) + worth(right) - worth(rows)) > best[0] + 1e-12:
+                            best = (gain, (left, right))
+                halves += best[1] or (rows, rows[:0])
+            parts = halves
+        for rows in parts:
+            raw[rows] -= rate * g[rows].sum() / (h[rows].sum() + penalty)
+    assert np.allclose(trees.score(x), 1 / (1 + np.exp(-raw)))
