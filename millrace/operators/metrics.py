@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -26,33 +26,54 @@ def pair_counts(df: DataFrame, label_col: str, prediction_col: str = "prediction
     )
 
 
-def _collected(counts: DataFrame) -> dict[tuple[Any, Any], int]:
-    """The pairs, after a check of the number of classes: at most its square reach the driver."""
-    classes = counts.select("true_label").union(counts.select("predicted")).distinct().limit(MAX_CLASSES + 1).count()
-    if classes > MAX_CLASSES:
+@dataclass
+class _Sums:
+    """Rows of one class: with this label, with this prediction, with both; and the cost of its label's rows."""
+
+    support: int = 0
+    claimed: int = 0
+    hit: int = 0
+    cost: float = 0.0
+
+
+def _sums(counts: DataFrame, labels: list[Any], costs: list[list[float]] | None = None) -> dict[Any, _Sums]:
+    """Sums by class, in one pass over the pairs: a row per class reaches the driver, after a check of their number."""
+    true, n = F.col("true_label"), F.col("n")
+    predicted = F.col("predicted").cast(counts.schema["true_label"].dataType)
+    none = F.lit(0).cast("bigint")
+    cost = F.lit(0.0)
+    if costs is not None:
+        at = F.create_map(*[F.lit(x) for i, c in enumerate(labels) for x in (c, i)])
+        table = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in costs])
+        cost = F.coalesce(F.get(F.get(table, F.try_element_at(at, true)), F.try_element_at(at, predicted)), F.lit(0.0)) * n
+    sides = F.array(
+        F.struct(true.alias("label"), n.alias("support"), none.alias("claimed"), F.when(true.eqNullSafe(predicted), n).otherwise(none).alias("hit"), cost.alias("cost")),
+        F.struct(predicted.alias("label"), none.alias("support"), n.alias("claimed"), none.alias("hit"), F.lit(0.0).alias("cost")),
+    )
+    by_class = counts.select(F.explode(sides).alias("s")).select("s.*").groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "claimed", "hit", "cost")])
+    rows = by_class.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes; these are not class labels")
-    rows = counts.collect()
-    return {(r["true_label"], r["predicted"]): r["n"] for r in rows}
+    found = {r["label"]: _Sums(r["support"], r["claimed"], r["hit"], r["cost"]) for r in rows}
+    unknown = [] if costs is None else [c for c in found if c not in labels]
+    if unknown:
+        raise ValueError(f"labels without a cost: {sorted(map(str, unknown))[:20]}")
+    return found
 
 
 def _share(part: float, whole: float) -> float:
     return part / whole if whole else 0.0
 
 
-def _per_class(pairs: dict[tuple[Any, Any], int], labels: list[Any]) -> dict[Any, dict[str, float]]:
+def _per_class(sums: dict[Any, _Sums], labels: list[Any]) -> dict[Any, dict[str, float]]:
     out = {}
-    by_true, by_predicted = Counter(), Counter()
-    for (t, p), n in pairs.items():
-        by_true[t] += n
-        by_predicted[p] += n
     for c in labels:
-        hit, support, claimed = pairs.get((c, c), 0), by_true[c], by_predicted[c]
-        precision, recall = _share(hit, claimed), _share(hit, support)
+        own = sums.get(c, _Sums())
         out[c] = {
-            "precision": precision,
-            "recall": recall,
-            "f1": _share(2 * hit, support + claimed),
-            "support": support,
+            "precision": _share(own.hit, own.claimed),
+            "recall": _share(own.hit, own.support),
+            "f1": _share(2 * own.hit, own.support + own.claimed),
+            "support": own.support,
         }
     return out
 
@@ -60,28 +81,20 @@ def _per_class(pairs: dict[tuple[Any, Any], int], labels: list[Any]) -> dict[Any
 def scores(counts: DataFrame, labels: list[Any] | None = None, costs: list[list[float]] | None = None) -> dict[str, Any]:
     """accuracy, f1_macro, f1_weighted, per_class; and cost if ``costs`` is given."""
     labels = LABELS if labels is None else labels
-    pairs = _collected(counts)
-    per_class = _per_class(pairs, labels)
+    sums = _sums(counts, labels, costs)
+    per_class = _per_class(sums, labels)
     support = sum(s["support"] for s in per_class.values())
     out = {
-        "accuracy": _share(sum(n for (t, p), n in pairs.items() if t == p), sum(pairs.values())),
+        "accuracy": _share(sum(s.hit for s in sums.values()), sum(s.support for s in sums.values())),
         "f1_macro": _share(sum(s["f1"] for s in per_class.values()), len(labels)),
         "f1_weighted": _share(sum(s["f1"] * s["support"] for s in per_class.values()), support),
         "per_class": per_class,
     }
     if costs is not None:
-        out["cost"] = _total_cost(pairs, labels, costs)
+        out["cost"] = sum(s.cost for s in sums.values())
     return out
 
 
-def _total_cost(pairs: dict[tuple[Any, Any], int], labels: list[Any], costs: list[list[float]]) -> float:
-    unknown = {x for pair in pairs for x in pair if x not in labels}
-    if unknown:
-        raise ValueError(f"labels without a cost: {sorted(map(str, unknown))[:20]}")
-    at = {c: i for i, c in enumerate(labels)}
-    return float(sum(costs[at[t]][at[p]] * n for (t, p), n in pairs.items()))
-
-
 def cost_score(
     df: DataFrame,
     label_col: str,
@@ -91,14 +104,15 @@ def cost_score(
     costs: list[list[float]] | None = None,
 ) -> float:
     """Total cost of all predictions; a label outside the matrix is an error."""
-    pairs = _collected(pair_counts(df, label_col, prediction_col))
-    return _total_cost(pairs, LABELS if labels is None else labels, COSTS if costs is None else costs)
+    counts = pair_counts(df, label_col, prediction_col)
+    sums = _sums(counts, LABELS if labels is None else labels, COSTS if costs is None else costs)
+    return float(sum(s.cost for s in sums.values()))
 
 
 def class_metrics(counts: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """One row per configured label: precision, recall, f1, support."""
     labels = LABELS if labels is None else labels
-    found = _per_class(_collected(counts), labels)
+    found = _per_class(_sums(counts, labels), labels)
     rows = [(c, s["precision"], s["recall"], s["f1"], s["support"]) for c, s in found.items()]
     schema = "label string, precision double, recall double, f1 double, support long"
     return counts.sparkSession.createDataFrame(rows, schema)
@@ -107,7 +121,8 @@ def class_metrics(counts: DataFrame, labels: list[str] | None = None) -> DataFra
 def confusion_matrix(counts: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """Rows = true label, one column per predicted label, in configured order, zero-filled."""
     labels = LABELS if labels is None else labels
-    pairs = _collected(counts)
+    known = counts.filter(F.col("true_label").isin(labels) & F.col("predicted").isin(labels))
+    pairs = {(r["true_label"], r["predicted"]): r["n"] for r in known.collect()}  # the cells of the result
     rows = [(t, *[pairs.get((t, p), 0) for p in labels]) for t in labels]
     schema = ", ".join(["true_label string", *[f"`{p}` long" for p in labels]])
     return counts.sparkSession.createDataFrame(rows, schema)

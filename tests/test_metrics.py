@@ -1,6 +1,6 @@
 import pytest
 
-from millrace.operators import charts
+from millrace.operators import charts, metrics
 from millrace.operators.metrics import LABELS, class_metrics, confusion_matrix, cost_score, pair_counts, scores
 
 F, R, N = LABELS
@@ -80,3 +80,16 @@ def test_many_classes(frame):
     df = frame(rows, "y long, prediction long")
     got = scores(pair_counts(df, "y"), list(range(150)))
     assert got["accuracy"] == sum(a == b for a, b in rows) / len(rows)
+
+
+def test_only_rows_per_class_reach_the_driver(frame, monkeypatch):
+    """2,000 pairs of 100 classes, one of them a null label: 101 rows are collected; more classes than allowed are refused."""
+    rows = [(i % 100 if i % 50 else None, (i * 7 + i // 100) % 100) for i in range(2_000)]
+    df = frame(rows, "y long, prediction int", 3)
+    got = metrics._sums(pair_counts(df, "y"), list(range(100)))
+    assert len(got) == 101
+    assert sum(s.support for s in got.values()) == sum(s.claimed for s in got.values()) == 2_000
+    assert scores(pair_counts(df, "y"), list(range(100)))["accuracy"] == sum(a == b for a, b in rows) / 2_000
+    monkeypatch.setattr(metrics, "MAX_CLASSES", 50)
+    with pytest.raises(ValueError, match="more than 50 classes"):
+        scores(pair_counts(df, "y"), [1])
