@@ -109,6 +109,21 @@ def nearest_centre(x: Column, y: Column, centres: list[list[float]]) -> Column:
     return F.when(x.isNotNull() & y.isNotNull(), F.array_min(distances)["i"])
 
 
+def map_sample(
+    df: DataFrame,
+    *,
+    id_col: str,
+    lat_col: str = LATITUDE,
+    lon_col: str = LONGITUDE,
+    max_points: int = MAP_POINTS,
+    seed: int = 42,
+) -> DataFrame:
+    """Located rows, all columns: a seeded sample of ``max_points`` at most, the same on any partitions."""
+    order = F.md5(F.concat_ws(":", col(id_col).cast("string"), F.lit(str(seed))))
+    located = df.filter((as_double(lat_col) != 0) & (as_double(lon_col) != 0))
+    return located.orderBy(order).limit(max_points)
+
+
 def map_points(
     df: DataFrame,
     *,
@@ -124,17 +139,5 @@ def map_points(
     colour = F.lit(OTHER_COLOUR)
     for label, value in CLASS_COLOURS.items():
         colour = F.when(col(prediction_col) == label, F.lit(value)).otherwise(colour)
-    order = F.md5(F.concat_ws(":", col(id_col).cast("string"), F.lit(str(seed))))
-    return (
-        df.filter((lat != 0) & (lon != 0))
-        .select(
-            lat.alias("lat"),
-            lon.alias("lon"),
-            col(prediction_col).alias("prediction"),
-            colour.alias("colour"),
-            order.alias("__order"),
-        )
-        .orderBy("__order")
-        .limit(max_points)
-        .drop("__order")
-    )
+    points = map_sample(df, id_col=id_col, lat_col=lat_col, lon_col=lon_col, max_points=max_points, seed=seed)
+    return points.select(lat.alias("lat"), lon.alias("lon"), col(prediction_col).alias("prediction"), colour.alias("colour"))

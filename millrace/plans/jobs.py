@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators import charts
-from millrace.operators.derive import map_points
+from millrace.operators.derive import map_points, map_sample
 from millrace.operators.metrics import LABELS, pair_counts, scores
 from millrace.operators.profile import REDUNDANCY, profile
 from millrace.operators.profile_diff import diff_profiles
@@ -198,16 +198,19 @@ def chart_tables(
         "cost_matrix": charts.cost_table(spark, labels, costs),
     }
     results = {}
+    on_map = bool(lat_col and lon_col)
+    if on_map:
+        sample, _ = write_table(map_sample(df, id_col=id_col, lat_col=lat_col, lon_col=lon_col))
     for name, fitted in models.items():
-        scored = fitted.transform(df)
-        counts, _ = write_table(pair_counts(scored, label_col))
+        counts, _ = write_table(pair_counts(fitted.transform(df), label_col))
         results[name] = scores(counts, labels)
         out[f"confusion_{name}"] = charts.confusion_shares(counts, labels)
         out[f"per_class_{name}"] = charts.class_metrics_long(counts, labels)
         out[f"importances_{name}"] = charts.top_importances(spark, model_step(fitted).importances(), top_n)
-        if lat_col and lon_col:
-            # preparation may drop or refill the coordinates: take the raw ones
-            located = df.select(id_col, lat_col, lon_col).join(scored.select(id_col, "prediction"), id_col)
+        if on_map:
+            # only the sampled rows are scored for it; preparation may drop or refill the coordinates: take the raw ones
+            predicted = fitted.transform(sample).select(id_col, "prediction")
+            located = sample.select(id_col, lat_col, lon_col).join(predicted, id_col)
             out[f"map_{name}"] = map_points(located, id_col=id_col, lat_col=lat_col, lon_col=lon_col)
     out["model_comparison"] = charts.model_comparison(spark, results)
     return out
