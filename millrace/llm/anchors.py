@@ -46,7 +46,11 @@ def later_copies(rows: DataFrame) -> DataFrame:
 
 
 def sharing(
-    rows: DataFrame, anchors: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]], inside: bool, by: str
+    rows: DataFrame,
+    anchors: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]],
+    inside: bool,
+    by: str,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """For each text the anchors (place, h) that another text, or with ``inside`` the same one again, has too.
 
@@ -87,7 +91,7 @@ def sharing(
             held.append((h, owner + texts, place, part.column(by).to_numpy()))
             size += len(h)
             texts += part.num_rows
-            if size >= CHUNK:
+            if size >= chunk:
                 yield settle(*[np.concatenate(x) for x in zip(*held, strict=True)])
                 held, size, texts = [], 0, 0
         if held:

@@ -20,7 +20,9 @@ SHINGLE, PERCENT = 3, 90
 RANGES = 64
 #: Frequent words that tasks know in order to tell rare shingles from frequent ones (at most), and how
 #: often a word must occur in one chunk to be counted. They only order the prefixes: any order is right.
-FREQUENT, OFTEN, CHUNK_WORDS = 100_000, 3, 2_000_000
+FREQUENT, OFTEN, CHUNK_WORDS = 100_000, 3, 1_000_000
+#: Anchors that a task settles among themselves at a time.
+CHUNK_ANCHORS = 750_000
 #: Members of a shingle's bucket that one group compares; a larger bucket is several pairs of blocks.
 BLOCK = 4096
 
@@ -301,7 +303,7 @@ def near_groups(
     )
     nodes, _ = write_table(classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", F.monotonically_increasing_id().alias("node")))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows))
-    shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th")
+    shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th", chunk=CHUNK_ANCHORS)
     # in short rows: which shingles two nodes share, and which rows have a partner by length and place; of these few, by sketch
     short = nodes.join(shared, "th").select("node", "n", F.explode("anchors").alias("anchor"))
     met = short.select("anchor.h", "node", "n", "anchor.place").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")

@@ -6,6 +6,8 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_and_text, map_arrow, texts_of
+from millrace.llm.common import id_and_text, slices, texts_of
 from millrace.sources.scratch import write_table
 
 #: Rows (task and length) of the table of first numbers that every task may hold: 16 bytes each.
@@ -22,6 +24,9 @@ HELD_FIRSTS = 2_000_000
 #: Code points without a space, or spaces alone, from which on a text is left to the tokenizer.
 LONG_RUN = 1_000
 
+#: Columns that number the pieces of a length in their task.
+NUMBERED = ("__task", "__number")
+
 #: The characters that byte-level BPE writes for bytes: printing ones stand for themselves, the others follow from 256 on.
 _PRINTING = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTING]
@@ -37,12 +42,17 @@ class _Ids:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.path, spec = path, json.loads(Path(path).read_bytes())
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.ranks = self._by_rank(spec)
+
+    @cached_property
+    def tokenizer(self):
+        """Read when a text needs it: most tasks do without, and it holds much memory."""
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.ranks = self._by_rank(json.loads(self.tokenizer.to_str()))
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _by_rank(spec: dict):
@@ -51,7 +61,7 @@ class _Ids:
 
         model, before = spec["model"], spec["pre_tokenizer"] or {}
         plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
-        bytewise = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        bytewise = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
         if not (plain and bytewise) or spec["normalizer"] or set(_BYTES) - set(model["vocab"]):
             return None
         merged = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
@@ -67,6 +77,24 @@ class _Ids:
         return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
+class _Numbers:
+    """Numbers the pieces of each length that a task sees, one batch after another."""
+
+    def __init__(self, capacity: int):
+        self.task, self.seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+
+    def added(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The batch with __task and __number; a length that no sequence holds counts as 0."""
+        length = pc.fill_null(batch.column("length"), 0).to_numpy(zero_copy_only=False)
+        length = np.where((length >= 1) & (length < len(self.seen)), length, 0)
+        order = np.argsort(length, kind="stable")
+        own = np.empty(len(length), np.int64)
+        own[order] = np.arange(len(length)) - np.searchsorted(length[order], length[order])
+        columns = [*batch.columns, pa.array(np.full(len(length), self.task, np.int32)), pa.array(self.seen[length] + own)]
+        self.seen += np.bincount(length, minlength=len(self.seen))
+        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *NUMBERED])
+
+
 _loaded: dict[str, _Ids] = {}
 
 
@@ -78,11 +106,12 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = True,
+    numbered: bool = False,
 ) -> DataFrame:
     """The ids of every text, ``end_id`` last, cut from the end into pieces of ``capacity``.
 
     Returns doc_id, piece, start, length, ids_crc32 and, unless ``with_ids`` is off, ids (little-endian
-    32-bit numbers). Only the first piece may be shorter than ``capacity``. Null is an empty text: one
+    32-bit numbers); with ``numbered`` also what ``pack`` would otherwise add in a pass of its own. Only the first piece may be shorter than ``capacity``. Null is an empty text: one
     piece, the end id. Rows that repeat have the same pieces each; a very long text has as many as it
     needs; an empty table gives no rows. ``tokenizer_path`` must name a file of the ``tokenizers``
     library on every executor.
@@ -91,7 +120,7 @@ def token_pieces(
     kind = found.schema["doc_id"].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
-    def rows(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         if tokenizer_path not in _loaded:
             _loaded[tokenizer_path] = _Ids(tokenizer_path)
         encoded = [_loaded[tokenizer_path].encode(t.decode()) for t in texts_of(part)]
@@ -118,10 +147,15 @@ def token_pieces(
         }
         if with_ids:
             columns["ids"] = pa.array(ids, pa.binary())
-        yield pa.RecordBatch.from_pydict(columns)
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers(capacity)
+        for part in slices(batches):
+            yield numbers.added(rows(part)) if numbered else rows(part)
 
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
-    return map_arrow(found, rows, schema)
+    return found.mapInArrow(run, schema + ", __task int, __number bigint" * numbered)
 
 
 def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -211,22 +245,17 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     result.
     """
     spark = pieces.sparkSession
-    names, kinds = pieces.columns, {f.name: f.dataType.simpleString() for f in pieces.schema}
+    names, kinds = [c for c in pieces.columns if c not in NUMBERED], {f.name: f.dataType.simpleString() for f in pieces.schema}
     declared = ", ".join(f"`{n}` {kinds[n]}" for n in names)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        numbers = _Numbers(capacity)
         for b in batches:
-            length = pc.fill_null(b.column("length"), 0).to_numpy(zero_copy_only=False)
-            length = np.where((length >= 1) & (length <= capacity), length, 0)
-            order = np.argsort(length, kind="stable")
-            own = np.empty(len(length), np.int64)
-            own[order] = np.arange(len(length)) - np.searchsorted(length[order], length[order])
-            columns = [*b.columns, pa.array(np.full(len(length), task, np.int32)), pa.array(seen[length] + own)]
-            seen += np.bincount(length, minlength=capacity + 1)
-            yield pa.RecordBatch.from_arrays(columns, [*names, "__task", "__number"])
-
-    written, _ = write_table(pieces.mapInArrow(number, f"{declared}, __task int, __number bigint"))
+            yield numbers.added(b)
+
+    if not set(NUMBERED) <= set(pieces.columns):
+        pieces = pieces.mapInArrow(number, f"{declared}, __task int, __number bigint")
+    written, _ = write_table(pieces)
     sizes = written.groupBy("length", "__task").agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1))
     firsts, found = write_table(sizes.withColumn("__first", F.coalesce(before, F.lit(0))), n=F.count(F.lit(1)))

@@ -31,7 +31,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER).drop("ids_crc32"))
+    packed = packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), TOKENIZER, numbered=True).drop("ids_crc32"))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
