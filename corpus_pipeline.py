@@ -14,7 +14,10 @@ from millrace.sources.scratch import scratch_root
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores 0.7 or more. It is fitted to labelled documents outside the held-out quarter."""
+    """Documents that the quality classifier scores 0.7 or more. It is fitted to labelled documents outside the held-out quarter.
+
+    Null and empty texts are scored like any other; equal texts share their fate, however long; an empty table stays empty.
+    """
     labels = table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels, remainder(labels["doc_id"], 4) != 2)
     return quality.keep_good(docs, model)
@@ -39,13 +42,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item; null and empty texts have none and stay, repeated rows alike."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of the documents (ids, little-endian 32-bit numbers) in sequences of 1,024: one row per piece."""
-    return packing.pack(packing.token_pieces(docs, TOKENIZER))
+    """The tokens of the documents (ids, little-endian 32-bit numbers) in sequences of 1,024: one row per piece.
+
+    A null or empty text is one piece, the end id; repeated rows are packed each; a very long text is many pieces.
+    """
+    return packing.pack(packing.token_pieces(docs, TOKENIZER, numbered=True))
 
 
 STAGES = [
