@@ -110,6 +110,22 @@ def _kth_distance(own: np.ndarray, k: int) -> np.ndarray:
     return best
 
 
+def _reach(x: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the largest number whose difference from x, as it is rounded, is within the radius.
+
+    x - radius itself may be rounded onto a value that is farther away; a step or two mend that.
+    """
+    low, high = x - radius, x + radius
+    for _ in range(3):
+        low = np.where(x - low > radius, np.nextafter(low, np.inf), low)
+        high = np.where(high - x > radius, np.nextafter(high, -np.inf), high)
+    for _ in range(3):
+        below, above = np.nextafter(low, -np.inf), np.nextafter(high, np.inf)
+        low = np.where(x - below <= radius, below, low)
+        high = np.where(above - x <= radius, above, high)
+    return low, high
+
+
 class _Ranges:
     """Where each column's ranges begin and end, and how many values come before them."""
 
@@ -155,10 +171,10 @@ def _counted(ranges: _Ranges, sizes: np.ndarray, k: int):
                 places = np.searchsorted(values, x[own])
                 # equal values have equal distances
                 distance[own] = _kth_distance(values, min(k, int(sizes[c, label]) - 1))[places]
-            radius = np.nextafter(distance, 0)
+            low, high = _reach(x, np.nextafter(distance, 0))
             at = int(np.searchsorted(ranges.number[c], number))
             row = (np.int64(number) << np.int64(32)) + np.flatnonzero(inside)[order]
-            for side, bounds, how in ((-1, x - radius, "left"), (1, x + radius, "right")):
+            for side, bounds, how in ((-1, low, "left"), (1, high, "right")):
                 rank, target = ranges.rank(c, at, x, bounds, how)
                 out.append((np.full(len(x), c), row, np.where(rank < 0, target, -1), np.full(len(x), side), bounds, rank))
         columns = [np.concatenate(p) for p in zip(*out, strict=True)] if out else [np.empty(0)] * 6

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 
+from millrace.operators import leafwise
 from millrace.operators.leafwise import SCALE, Tree, binned, column_edges, drawn, missing_bins
 from millrace.operators.models import ClassifierModel, LeafLimitedTrees
 from pyspark.sql import functions as F
@@ -139,9 +140,10 @@ def test_gaps_carry_the_label_without_an_indicator(frame):
     assert all(r["prediction"] == r["y"] for r in model.transform(df).collect())
 
 
-def test_same_model_on_other_partitions_and_after_saving(frame, tmp_path):
+def test_same_model_on_other_partitions_and_after_saving(frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(leafwise, "WRITTEN_EVERY", 2)
     data = rows(200)
-    made = {"n_estimators": 12, "num_leaves": 5, "min_child_samples": 5, "colsample_bytree": 0.67}
+    made = {"n_estimators": 5, "num_leaves": 5, "min_child_samples": 5, "colsample_bytree": 0.67}
     one, two = (LeafLimitedTrees(idCol="id", labelCol="y", **made).fit(frame(data, SCHEMA, n)) for n in (1, 7))
     assert [[t.__dict__ for t in trees] for trees in one.inner.rounds] == [[t.__dict__ for t in trees] for trees in two.inner.rounds]
     path = str(tmp_path / "model")

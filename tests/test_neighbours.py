@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from millrace.functions.neighbours import _normal, _psi, neighbour_information, psi
+from millrace.functions.neighbours import _normal, _psi, _reach, neighbour_information, psi
 from millrace.operators.select import MutualInformation
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ def plain(x, y, k):
     for a, b in rows:
         near = sorted(abs(a - c) for c, d in rows if d == b)[min(k, sizes[b] - 1)]  # the first is the row itself
         r = math.nextafter(near, 0) if near > 0 else 0.0
-        m = sum(a - r <= c <= a + r for c, _ in rows)
+        m = sum(abs(a - c) <= r for c, _ in rows)
         total += _psi(min(k, sizes[b] - 1)) - _psi(sizes[b]) - _psi(m)
     return max(0.0, _psi(len(rows)) + total / len(rows))
 
@@ -56,6 +56,17 @@ def test_noise_hangs_on_rows_not_on_partitions(frame):
     assert got[0] == pytest.approx(math.log(2), abs=0.1)  # the value tells the class
 
 
+def test_reach_counts_what_is_near():
+    rng = np.random.default_rng(3)
+    for size, spread in ((1.0, 1e-10), (1e6, 1e-7), (1e-9, 1.0), (0.0, 1.0)):
+        values = size + spread * rng.normal(size=400)
+        x = values[rng.integers(0, 400, 300)]
+        radius = np.nextafter(np.abs(x - values[rng.integers(0, 400, 300)]), 0)
+        low, high = _reach(x, radius)
+        got = ((values[None, :] >= low[:, None]) & (values[None, :] <= high[:, None])).sum(axis=1)
+        assert (got == (np.abs(values[None, :] - x[:, None]) <= radius[:, None]).sum(axis=1)).all()
+
+
 def test_gaps_tell_what_they_tell(frame):
     rng = random.Random(3)
     data = [(i, None if i % 2 else rng.gauss(0, 1), "ab"[i % 2]) for i in range(200)]

@@ -233,8 +233,9 @@ def mi_scores(spark, sf):
 
 
 def mi_neighbours(spark, sf):
-    """From nearest neighbours among the values themselves, without noise: equal values stay equal."""
-    numbers, _ = write_table(orders_with_customer(spark, sf).select("o_orderkey", "o_orderstatus", *INFORMATIVE))
+    """From nearest neighbours among the values themselves, without noise: equal values stay equal. Money in cents: distances are exact."""
+    cents = [F.round(F.col(c) * 100).cast("bigint").alias(c) for c in ("o_totalprice", "c_acctbal")]
+    numbers, _ = write_table(orders_with_customer(spark, sf).select("o_orderkey", "o_orderstatus", *cents, "c_nationkey"))
     found = neighbour_information(numbers, INFORMATIVE, "o_orderstatus", noise=0.0, id_col="o_orderkey")
     return rounded(spark.createDataFrame(list(found.items()), "column string, score double"), 6, "score")
 
@@ -416,8 +417,8 @@ def _mi_sql(source: str, label: str, columns: dict[str, bool], bins: int = 20) -
 
 
 def _neighbours_sql(source: str, label: str, columns: list[str], k: int = 3) -> str:
-    """k-th distances from the k + 1 windows of neighbours that hold a row, counts by a frame of its own width per row."""
-    long = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS DOUBLE) AS x, {label} AS y FROM s" for c in columns)
+    """k-th distances from the k + 1 windows of neighbours that hold a row, counts by a frame of its own width per row (whole numbers)."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS BIGINT) AS x, {label} AS y FROM s" for c in columns)
 
     def side(j: int) -> str:
         before = "0" if j == 0 else f"x - lag(x, {j}) OVER w"
@@ -429,7 +430,7 @@ def _neighbours_sql(source: str, label: str, columns: list[str], k: int = 3) ->
         WITH s AS ({source}), v AS ({long}),
         d AS (SELECT c, x, y, least({sides}) AS d, count(*) OVER (PARTITION BY c, y) AS n_y, count(*) OVER (PARTITION BY c) AS n
               FROM v WINDOW w AS (PARTITION BY c, y ORDER BY x)),
-        r AS (SELECT *, nextafter(d, 0.0::DOUBLE) AS r FROM d),
+        r AS (SELECT *, greatest(d - 1, 0) AS r FROM d),
         m AS (SELECT c, n, n_y, count(*) OVER (PARTITION BY c ORDER BY x RANGE BETWEEN r PRECEDING AND r FOLLOWING) AS m FROM r),
         psi AS (SELECT i, coalesce(sum(1.0::DOUBLE / nullif(i - 1, 0)) OVER (ORDER BY i), 0) - 0.5772156649015329 AS p
                 FROM range(1, (SELECT max(n) + 1 FROM m)) AS t(i))
@@ -639,7 +640,9 @@ ORACLES = {
         f"SELECT '{c}' AS kept FROM lineitem HAVING var_pop({c}) > 0.01" for c in NUMBERS
     ),
     "mi_scores": _mi_sql(_ORDERS_CUSTOMER, "o_orderstatus", {c: False for c in INFORMATIVE}),
-    "mi_neighbours": _neighbours_sql(_ORDERS_CUSTOMER, "o_orderstatus", INFORMATIVE),
+    "mi_neighbours": _neighbours_sql(
+        "SELECT o_orderstatus, c_nationkey, round(o_totalprice * 100) AS o_totalprice, round(c_acctbal * 100) AS c_acctbal "
+        "FROM orders JOIN customer ON o_custkey = c_custkey", "o_orderstatus", INFORMATIVE),
     "mi_select": f"""
         SELECT unnest(['o_orderkey', 'finished']) AS kept
         UNION ALL
