@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm.anchors import keyed
 from millrace.llm.common import map_arrow, mix, texts_of
 from millrace.llm.components import components
-from millrace.llm.near import RANGES, shingle_sets
+from millrace.llm.near import shingle_sets
 from millrace.sources.scratch import write_table
 
 #: Words of a shingle, and the least similarity in per cent.
@@ -22,7 +22,9 @@ SHINGLE, PERCENT = 2, 80
 ROWS, COLLECTIONS = 3, 18
 #: Rounds in which a document is compared with a few partners, before all pairs still apart are; how
 #: many partners it then has, and how many members each bucket offers to its others.
-ROUNDS, PARTNERS, OFFERED = 4, 3, 3
+ROUNDS, PARTNERS, OFFERED = 3, 3, 3
+#: Ranges of the hash space whose sizes bound how similar two sets can be: fine enough that few differences cancel.
+RANGES = 256
 #: Members of a bucket that are compared with others at a time.
 BLOCK = 4096
 
@@ -69,7 +71,7 @@ def _members(rows: DataFrame, shingle: int, per: int, collections: int) -> DataF
         if len(full):
             hashes[full] = collection_hashes([sets[i] for i in full], per, collections)
         digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-        ranges = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes() for s in sets]
+        ranges = [np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes() for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
