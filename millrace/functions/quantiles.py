@@ -1,13 +1,16 @@
 """Exact, interpolated quantiles without gathering a column anywhere.
 
 ``percentile`` keeps every distinct value of a column in one aggregation buffer.
-Here a quantile sketch brackets each wanted rank, and only the values strictly
-between the bracket ends are gathered once the sketch's rank error proves that they
-are few; a value that fills a third of the rows can only be a bracket end, which is
-counted, not gathered. Longer columns narrow the bracket in further passes.
-
-Sketches are merged per group of tasks, so that no single task has to take in the sketches
-of a whole cluster; each group hands the driver a grid of quantiles of fixed length.
+Here each task keeps a summary of a column: its distinct values with their rows while these
+are few, else points at equal steps of rank, with the rank error that this can have made.
+Columns of few values are settled by the first pass. For the others the summary brackets each
+wanted rank, and the next pass counts the rows against the bracket's ends and summarises the
+values strictly between them, which are few enough to be kept as they are; of very long columns
+they may not be, and the bracket is narrowed again. A value that fills a third of the rows is a
+single point, or a bracket's end, which is counted.
+
+Summaries are merged per group of tasks, so that no single task has to take in those of a whole
+cluster; each group hands the driver summaries of bounded length.
 """
 
 from __future__ import annotations
@@ -23,30 +26,108 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_double, chunks, in_parallel
 
-ACCURACY = 2_000
-GATHER_ROWS = 100_000
-GRID = 1_000
-SKETCH_GROUPS = 128
+#: Points of a summary in the first pass, and of all summaries of a job together in a later one.
+ACCURACY = 16_384
+GATHER_ROWS = 200_000
+LEAST_POINTS = 50
+#: Values that a task sorts at a time, and summaries that it holds of one level before they become one of the next.
+CHUNK = 1 << 18
+FOLDED = 16
+SUMMARY_GROUPS = 16
 COLUMNS_PER_JOB = 4
 JOBS_AT_ONCE = 4
+SUMMARIES = "i int, below long, low long, high long, error double, points binary, weights binary"
 
 
 @dataclass
 class _Bracket:
-    """Rank ``position`` of one column lies between ``low`` and ``high``."""
+    """Ranks around ``position`` of one column lie between ``low`` and ``high``, or anywhere."""
 
     column: str
-    position: float
-    smallest: float
-    largest: float
-    low: float
-    high: float
-    inside: float
+    probability: float
+    low: float | None = None
+    high: float | None = None
     value: float | None = None
 
-    @property
-    def ranks(self) -> tuple[int, int]:
-        return math.floor(self.position), math.ceil(self.position)
+
+@dataclass
+class _Summary:
+    """Sorted points, the rows that each stands for, and how far any value's rank may be off."""
+
+    points: np.ndarray
+    weights: np.ndarray
+    error: float = 0.0
+
+    def at_least(self, rank: float) -> float | None:
+        """The largest point that the value of this rank cannot be below."""
+        before = np.cumsum(self.weights) - self.weights
+        place = int(np.searchsorted(before, rank - self._slack(), side="right")) - 1
+        return float(self.points[place]) if place >= 0 else None
+
+    def at_most(self, rank: float) -> float | None:
+        """The smallest point that the value of this rank cannot be above."""
+        place = int(np.searchsorted(np.cumsum(self.weights), rank + 1 + self._slack(), side="left"))
+        return float(self.points[place]) if place < len(self.points) else None
+
+    def nearest(self, rank: float) -> float:
+        place = int(np.searchsorted(np.cumsum(self.weights), rank, side="right"))
+        return float(self.points[min(place, len(self.points) - 1)])
+
+    def _slack(self) -> float:
+        return self.error + 1 if self.error else 0.0
+
+
+def _merged(parts: list[_Summary]) -> _Summary:
+    points = np.concatenate([p.points for p in parts]) if parts else np.empty(0)
+    weights = np.concatenate([p.weights for p in parts]) if parts else np.empty(0)
+    order = np.argsort(points, kind="stable")
+    points, weights = points[order], weights[order]
+    first = np.flatnonzero(np.concatenate(([True], points[1:] != points[:-1]))) if len(points) else np.empty(0, int)
+    return _Summary(points[first], np.add.reduceat(weights, first) if len(first) else weights, sum(p.error for p in parts))
+
+
+def _reduced(s: _Summary, points: int) -> _Summary:
+    """At most so many points, at equal steps of rank: no rank is off by more than half a step."""
+    if len(s.points) <= points:
+        return s
+    upto = np.cumsum(s.weights)
+    step = upto[-1] / points
+    places = np.searchsorted(upto, (np.arange(points) + 0.5) * step, side="right")
+    chosen, times = np.unique(np.minimum(places, len(s.points) - 1), return_counts=True)
+    return _Summary(s.points[chosen], times * step, s.error + step / 2)
+
+
+class _Growing:
+    """A task's summary of the values seen so far; every level is reduced once, so errors do not pile up."""
+
+    def __init__(self, points: int):
+        self.points, self.held, self.n, self.levels = points, [], 0, []
+
+    def add(self, x: np.ndarray) -> None:
+        if len(x):
+            self.held.append(x)
+            self.n += len(x)
+            if self.n >= CHUNK:
+                self._fold()
+
+    def _fold(self) -> None:
+        points, rows = np.unique(np.concatenate(self.held), return_counts=True)
+        self.held, self.n = [], 0
+        found, level = _reduced(_Summary(points + 0.0, rows.astype(float)), self.points), 0
+        while True:
+            if level == len(self.levels):
+                self.levels.append([])
+            self.levels[level].append(found)
+            if len(self.levels[level]) < FOLDED:
+                return
+            found = _reduced(_merged(self.levels[level]), self.points)
+            self.levels[level] = []
+            level += 1
+
+    def finished(self) -> _Summary:
+        if self.held:
+            self._fold()
+        return _reduced(_merged([s for level in self.levels for s in level]), self.points)
 
 
 def exact_quantiles(
@@ -58,11 +139,14 @@ def exact_quantiles(
     accuracy: int = ACCURACY,
     gather_rows: int = GATHER_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of every column; all-null columns give nulls."""
-    gather_rows = max(gather_rows, 100)
+    """Linear-interpolated quantiles of every column; all-null columns give nulls.
+
+    ``approx`` stops after the first pass. ``accuracy`` is the number of points that a summary has
+    there, ``gather_rows`` that of all summaries of a later pass.
+    """
 
     def run(part):
-        return _quantiles(df, list(part), probs, approx, accuracy, gather_rows)
+        return _quantiles(df, list(part), probs, approx, max(accuracy, LEAST_POINTS), gather_rows)
 
     # few columns per job: the scan is columnar, and short generated code stays compiled
     jobs = [lambda part=part: run(part) for part in chunks(columns, COLUMNS_PER_JOB)]
@@ -72,201 +156,112 @@ def exact_quantiles(
     return out
 
 
-@dataclass
-class _Sketch:
-    """Quantiles of one expression, put together from the grids of all task groups."""
-
-    rows: int
-    smallest: float | None
-    largest: float | None
-    values: np.ndarray
-    ranks: np.ndarray
-
-    def at(self, share: float) -> float:
-        """A value whose rank is off by at most ``_error`` of the rows."""
-        if share <= 0:
-            return self.smallest
-        if share >= 1:
-            return self.largest
-        return float(self.values[min(np.searchsorted(self.ranks, share), len(self.values) - 1)])
-
-
-def _error(accuracy: int) -> float:
-    return 1.0 / GRID + 1.0 / accuracy
-
-
-def _sketch(df: DataFrame, exprs: list[Column], accuracy: int) -> list[_Sketch]:
-    # one parsed literal: a thousand columns made one by one would take longer than the job
-    grid = F.expr("array(" + ", ".join(f"{(g + 0.5) / GRID!r}D" for g in range(GRID)) + ")")
-    groups = SKETCH_GROUPS  # no session setting: the answer of ``approx`` must not depend on one
-    parts = (
-        df.select(*[x.alias(f"x{i}") for i, x in enumerate(exprs)], F.spark_partition_id().alias("task"))
-        .groupBy(F.pmod("task", F.lit(groups)).alias("group"))
-        .agg(
-            *[
-                F.struct(
-                    F.count(f"x{i}").alias("n"),
-                    F.min(f"x{i}").alias("low"),
-                    F.max(f"x{i}").alias("high"),
-                    F.approx_percentile(f"x{i}", grid, accuracy).alias("grid"),
-                ).alias(f"s{i}")
-                for i in range(len(exprs))
-            ]
-        )
-        .collect()  # one row of fixed size per group
-    )
-    out = []
-    for i in range(len(exprs)):
-        found = [r[f"s{i}"] for r in parts if r[f"s{i}"]["n"]]
-        if not found:
-            out.append(_Sketch(0, None, None, np.array([]), np.array([])))
-            continue
-        values = np.concatenate([f["grid"] for f in found])
-        weights = np.concatenate([np.full(GRID, f["n"] / GRID) for f in found])
-        order = np.argsort(values, kind="stable")
-        rows = sum(f["n"] for f in found)
-        ranks = np.cumsum(weights[order]) / rows
-        out.append(_Sketch(rows, min(f["low"] for f in found), max(f["high"] for f in found), values[order], ranks))
-    return out
-
-
 def _quantiles(df, columns, probs, approx, accuracy, gather_rows):
-    margin = 2.0 * _error(accuracy)
-    sketches = _sketch(df, [as_double(c) for c in columns], accuracy)
-
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    rows: dict[str, int] = {}
     brackets: dict[tuple[str, int], _Bracket] = {}
-    out: dict[str, list[float | None]] = {}
-    for c, sketch in zip(columns, sketches):
-        out[c] = [None] * len(probs)
-        if not sketch.rows:
-            continue
-        if approx:
-            out[c] = [sketch.at(p) for p in probs]
-            continue
-        for j, p in enumerate(probs):
-            brackets[c, j] = _Bracket(
-                column=c,
-                position=p * (sketch.rows - 1),
-                smallest=sketch.smallest,
-                largest=sketch.largest,
-                low=sketch.at(p - margin),
-                high=sketch.at(p + margin),
-                inside=min(sketch.rows, 4.0 * margin * sketch.rows + 2),
-            )
-
-    open_brackets = list(brackets.values())
-    while open_brackets:
-        short = [b for b in open_brackets if b.low == b.high or b.inside <= gather_rows]
-        long = [b for b in open_brackets if not (b.low == b.high or b.inside <= gather_rows)]
-        _narrow(df, long, accuracy)
-        _resolve(df, short)
-        open_brackets = [b for b in open_brackets if b.value is None]
+    for c, (_, _, _, summary) in zip(columns, _summaries(df, [_Bracket(c, 0.0) for c in columns], accuracy), strict=True):
+        rows[c] = round(float(summary.weights.sum()))
+        for j, p in enumerate(probs if rows[c] else []):
+            brackets[c, j] = b = _Bracket(c, p)
+            if approx:
+                b.value = summary.nearest(p * (rows[c] - 1))
+            else:
+                _narrow(b, rows[c], 0, 0, 0, summary)
+    while open_ := [b for b in brackets.values() if b.value is None]:
+        points = max(LEAST_POINTS, gather_rows // len(open_))
+        for b, located in zip(open_, _summaries(df, open_, points), strict=True):
+            _narrow(b, rows[b.column], *located)
     for (c, j), b in brackets.items():
         out[c][j] = b.value
     return out
 
 
-def _locate(df: DataFrame, brackets: list[_Bracket], *, gather: bool) -> list[tuple]:
-    """(rows below, at the low end, inside, at the high end, values inside) per bracket.
+def _summaries(df: DataFrame, brackets: list[_Bracket], points: int) -> list[tuple[int, int, int, _Summary]]:
+    """Per bracket the rows below it, at its low and at its high end, and the summary of the values inside.
 
-    Each task compares its Arrow batches with all brackets at once; the values strictly
-    inside are kept only where their number is bounded (``gather``).
+    Each task compares its Arrow batches with all brackets at once.
     """
     columns = list(dict.fromkeys(b.column for b in brackets))
     ends = [(columns.index(b.column), b.low, b.high) for b in brackets]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(ends), 4), dtype=np.int64)
-        kept: list[list[np.ndarray]] = [[] for _ in ends]
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        i, below, low, high, summaries = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(i, pa.int32()),
+                *[pa.array(x, pa.int64()) for x in (below, low, high)],
+                pa.array([s.error for s in summaries], pa.float64()),
+                pa.array([s.points.tobytes() for s in summaries], pa.binary()),
+                pa.array([s.weights.tobytes() for s in summaries], pa.binary()),
+            ],
+            names=[c.split()[0] for c in SUMMARIES.split(", ")],
+        )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((len(ends), 3), np.int64)
+        inside = [_Growing(points) for _ in ends]
         for batch in batches:
             arrays = [c.drop_null().to_numpy(zero_copy_only=False) for c in batch.columns]
             for i, (c, low, high) in enumerate(ends):
                 x = arrays[c]
-                inside = (x > low) & (x < high)
-                totals[i] += (
-                    np.count_nonzero(x < low),
-                    np.count_nonzero(x == low),
-                    np.count_nonzero(inside),
-                    np.count_nonzero(x == high) if high != low else 0,
-                )
-                if gather:
-                    kept[i].append(x[inside])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(len(ends)), pa.int32()),
-                *[pa.array(totals[:, j]) for j in range(4)],
-                pa.array([np.concatenate(k) if k else [] for k in kept], pa.list_(pa.float64())),
-            ],
-            names=["i", "below", "low", "inside", "high", "found"],
-        )
+                if low is None:
+                    inside[i].add(x)
+                    continue
+                totals[i] += np.count_nonzero(x < low), np.count_nonzero(x == low), np.count_nonzero(x == high)
+                inside[i].add(x[(x > low) & (x < high)])
+        yield rows([(i, *totals[i].tolist(), inside[i].finished()) for i in range(len(ends))])
+
+    def group(table: pa.Table) -> pa.Table:
+        found = sorted(table.to_pylist(), key=lambda r: r["task"])  # sums in one order
+        merged = _reduced(_merged([_read(r) for r in found]), points)
+        return pa.Table.from_batches([rows([(found[0]["i"], *[sum(r[k] for r in found) for k in ("below", "low", "high")], merged)])])
 
     found = (
         df.select(*[as_double(c).alias(f"x{j}") for j, c in enumerate(columns)])
-        .mapInArrow(count, "i int, below long, low long, inside long, high long, found array<double>")
-        .groupBy("i")
-        .agg(
-            *[F.sum(c).alias(c) for c in ("below", "low", "inside", "high")],
-            F.flatten(F.collect_list("found")).alias("found"),
-        )
-        .collect()  # one bounded row per bracket
+        .mapInArrow(task, SUMMARIES)
+        .withColumn("task", F.spark_partition_id())
+        # no session setting: the answer of ``approx`` must not depend on one
+        .groupBy("i", F.pmod("task", F.lit(SUMMARY_GROUPS)).alias("of"))
+        .applyInArrow(group, SUMMARIES)
+        .collect()  # one row of bounded size per bracket and group
     )
-    by_index = {r["i"]: (r["below"], r["low"], r["inside"], r["high"], r["found"]) for r in found}
-    return [by_index[i] for i in range(len(brackets))]
+    out = []
+    for i in range(len(ends)):
+        own = [r for r in found if r["i"] == i]
+        own.sort(key=lambda r: (r["error"], bytes(r["points"]), bytes(r["weights"])))
+        out.append((*[sum(r[k] for r in own) for k in ("below", "low", "high")], _merged([_read(r) for r in own])))
+    return out
 
 
-def _widen_if_missed(b: _Bracket, below: int, upto: int) -> bool:
-    """A bracket that misses its ranks starts again from the column's ends."""
-    first, last = b.ranks
-    if below <= first and last < upto:
-        return False
-    b.low, b.high, b.inside = b.smallest, b.largest, math.inf
-    return True
+def _read(r) -> _Summary:
+    return _Summary(np.frombuffer(r["points"]), np.frombuffer(r["weights"]), r["error"])
 
 
-def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    """Sketch the open interval and keep the part around the wanted ranks."""
-    if not brackets:
+def _narrow(b: _Bracket, rows: int, below: int, at_low: int, at_high: int, inside: _Summary) -> None:
+    """The bracket's value, if its summary is exact; else closer ends around the wanted ranks."""
+    position = b.probability * (rows - 1)
+    first, last = math.floor(position), math.ceil(position)
+    before = below + at_low
+    upto = before + round(float(inside.weights.sum()))
+    if b.low is not None and not below <= first <= last < upto + at_high:
+        b.low = b.high = None  # rows that were not the same in both passes: from the start
         return
-    margin = 2.0 * _error(accuracy)
-    insides = []
-    for b in brackets:
-        x = as_double(b.column)
-        insides.append(F.when((x > b.low) & (x < b.high), x))
-    sketches = [s for part in chunks(insides, 4 * COLUMNS_PER_JOB) for s in _sketch(df, list(part), accuracy)]
-    for b, sketch, located in zip(brackets, sketches, _locate(df, brackets, gather=False)):
-        below, at_low, inside, at_high, _ = located
-        if _widen_if_missed(b, below, below + at_low + inside + at_high):
-            continue
-        b.inside = inside
-        if not inside:
-            continue
-        first, last = b.ranks
-        before = below + at_low
-        # a wanted bracket end is kept as it is; otherwise the interval shrinks on that side
-        if first >= before:
-            low_share = min((first - before) / inside, 1.0) - margin
-            b.low = sketch.at(low_share) if low_share > 0 else b.low
-        if last < before + inside:
-            high_share = max((last - before + 1) / inside, 0.0) + margin
-            b.high = sketch.at(high_share) if high_share < 1 else b.high
-        b.inside = min(inside, inside * 4.0 * margin + 2)
-
-
-def _resolve(df: DataFrame, brackets: list[_Bracket]) -> None:
-    if not brackets:
-        return
-    for b, (below, at_low, _, at_high, found) in zip(brackets, _locate(df, brackets, gather=True)):
-        inside = sorted(found)
-        if _widen_if_missed(b, below, below + at_low + len(inside) + at_high):
-            continue
+    if inside.error == 0:
 
         def at(rank: int) -> float:
-            if rank < below + at_low:
-                return b.low
-            if rank < below + at_low + len(inside):
-                return inside[rank - below - at_low]
-            return b.high
+            return b.low if rank < before else inside.nearest(rank - before) if rank < upto else b.high
 
-        first, last = b.ranks
         low, high = at(first), at(last)
-        b.value = low if low == high else low + (high - low) * (b.position - first)  # two infinities have no difference
+    else:
+        low, high = b.low, b.high
+        if first >= before:
+            found = inside.at_least(first - before)
+            low = found if found is not None else -math.inf if low is None else low
+        if last < upto:
+            found = inside.at_most(last - before)
+            high = found if found is not None else math.inf if high is None else high
+        b.low, b.high = low, high
+        if low != high:
+            return
+    b.value = low if low == high else low + (high - low) * (position - first)  # two infinities have no difference

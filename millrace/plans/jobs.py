@@ -57,8 +57,8 @@ def profile_diff(
         raise ValueError("this spec has a supervised step: labels are required")
     before = profile(df, label_col, id_col=id_col, redundancy_threshold=redundancy_threshold)
     pipeline = build_pipeline(without_model(spec), id_col=id_col, label_col=label_col)
-    prepared, _ = write_table(pipeline.fit(df).transform(df))
-    after = profile(prepared.drop(*[c for c in [label_col] if c]), id_col=id_col, redundancy_threshold=redundancy_threshold)
+    prepared, _ = write_table(pipeline.fit(df).transform(df).drop(*[c for c in [id_col, label_col] if c]))
+    after = profile(prepared, redundancy_threshold=redundancy_threshold)
     return {"before": before, "after": after, "diff": diff_profiles(before, after)}
 
 

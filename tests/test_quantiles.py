@@ -59,3 +59,43 @@ def test_nulls_and_nans_are_left_out(frame):
 def test_single_pass_estimate(frame):
     df = frame([(float(i),) for i in range(1001)], "a double")
     assert exact_quantiles(df, ["a"], [0.5], approx=True)["a"][0] == pytest.approx(500, abs=1)
+
+
+def _rows_read(spark, rows, schema, probs):
+    """Rows that the quantiles' passes read in all, and the quantiles."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, schema).repartition(4).mapInArrow(counting, schema)
+    return exact_quantiles(df, ["a"], probs)["a"], read.value
+
+
+def test_few_values_take_one_pass_and_many_take_two(spark):
+    n = 60_000
+    few, read = _rows_read(spark, [(float(i * 7919 % 50),) for i in range(n)], "a double", [0.25, 0.5, 0.75])
+    assert few == [12.0, 24.5, 37.0]
+    assert read == n
+    many, read = _rows_read(spark, [(float(i * 7919 % n),) for i in range(n)], "a double", [0.25, 0.5])
+    assert many == [14999.75, 29999.5]
+    assert read <= 2 * n
+
+
+def test_tasks_of_many_chunks_and_levels(frame, monkeypatch):
+    from millrace.functions import quantiles
+
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random(50_000) < 0.3, 2.0, rng.standard_cauchy(50_000))
+    growing = quantiles._Growing(60)
+    monkeypatch.setattr(quantiles, "CHUNK", 100)
+    for part in np.array_split(x, 500):
+        growing.add(part)
+    found = growing.finished()
+    assert len(growing.levels) == 3 and found.weights.sum() == pytest.approx(len(x))
+    for rank in range(0, len(x), 997):
+        low, high, value = found.at_least(rank), found.at_most(rank), np.sort(x)[rank]
+        assert (low is None or low <= value) and (high is None or high >= value)
+    assert found.error < 4 * len(x) / 120 + 1
