@@ -28,8 +28,10 @@ from millrace.sources.scratch import write_table
 
 #: Whole numbers per unit of gradient or hessian.
 SCALE = float(1 << 24)
-#: Bytes of bins that a task works on at a time, and cells (leaf, column, bin) that it counts in one pass.
-BLOCK_BYTES, CELLS = 4 << 20, 4 << 20
+#: Bytes of the arrays that a task works on at a time, and cells (leaf, column, bin) that it counts in one pass.
+BLOCK_BYTES, CELLS = 32 << 20, 4 << 20
+#: Bytes of a row besides its bins: for each score (itself, its probability and both derivatives, with what is between), and in all.
+SCORE_BYTES, ROW_BYTES = 80, 160
 #: Rows that bins are taken from, about; columns whose bins one job finds, and jobs at once.
 SAMPLED, COLUMNS_PER_JOB, JOBS_AT_ONCE = 200_000, 8, 4
 #: Rounds after which the rows' scores are written; in between they are the written ones plus the newest trees.
@@ -233,17 +235,24 @@ class _Growing:
         return out
 
 
+def _fixed(column: pa.Array, kind: type, width: int) -> np.ndarray:
+    """A column of byte strings of one length as rows of numbers, not copied."""
+    _, offsets, data = column.buffers()
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    start = int(np.frombuffer(offsets, wide, 1, column.offset * np.dtype(wide).itemsize)[0])
+    return np.frombuffer(data, kind, len(column) * width, start).reshape(len(column), width)
+
+
 class _Block:
     """Some of the written rows as arrays."""
 
     def __init__(self, batches: list[pa.RecordBatch], columns: int, wide: bool, trees: int):
         part = pa.concat_batches(batches) if len(batches) > 1 else batches[0]
-        n = part.num_rows
-        self.bins = np.frombuffer(b"".join(part.column("bins").to_pylist()), np.uint16 if wide else np.uint8).reshape(n, columns)
+        self.bins = _fixed(part.column("bins"), np.uint16 if wide else np.uint8, columns)
         self.target = part.column("target").to_numpy()
         self.weight = part.column("weight").to_numpy()
         self.draw = part.column("draw").to_numpy().view(np.uint64)
-        self.scores = np.frombuffer(b"".join(part.column("scores").to_pylist()), np.float64).reshape(n, trees)
+        self.scores = _fixed(part.column("scores"), np.float64, trees)
 
     def scored(self, newest: list[list[Tree]], missing: np.ndarray) -> np.ndarray:
         scores = self.scores.copy()
@@ -253,15 +262,17 @@ class _Block:
         return scores
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[pa.RecordBatch]]:
-    """Batches of about BLOCK_BYTES of bins."""
-    size, held = max(1_024, BLOCK_BYTES // max(1, columns)), []
+def _gathered(batches: Iterator[pa.RecordBatch], columns: int, wide: bool, trees: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches of rows that take about BLOCK_BYTES with all that is worked out for them, so a task's memory does not grow with its rows."""
+    size, held, rows = max(1_024, BLOCK_BYTES // ((2 if wide else 1) * columns + SCORE_BYTES * trees + ROW_BYTES)), [], 0
     for b in batches:
-        if b.num_rows:
-            held.append(b)
-        if sum(x.num_rows for x in held) >= size:
-            yield held
-            held = []
+        for start in range(0, b.num_rows, size):
+            part = b.slice(start, size)
+            if rows and rows + part.num_rows > size:
+                yield held
+                held, rows = [], 0
+            held.append(part)
+            rows += part.num_rows
     if held:
         yield held
 
@@ -295,7 +306,7 @@ def _histograms(growing: list[_Growing], newest: list[list[Tree]], missing: np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {k: np.zeros((3, len(g.columns), len(g.asked) * width), np.int64) for k, g in asked.items()}
-        for part in _gathered(batches, len(missing)):
+        for part in _gathered(batches, len(missing), width > 256, len(growing)):
             block = _Block(part, len(missing), width > 256, len(growing))
             rows = np.flatnonzero(drawn(block.draw, turn, seed, share))
             g_all, h_all = gradients(block.scored(newest, missing), block.target, block.weight)
@@ -354,15 +365,15 @@ def _cuts(missing: np.ndarray, limits: Limits):
                 best[key[:2]] = row
 
         for batch in batches:
-            for r in batch.to_pylist():
-                new = (r["tree"], r["node"], r["column"])
-                sums = np.frombuffer(r["sums"], np.int64).reshape(3, width)
+            sums = _fixed(batch.column("sums"), np.int64, 3 * width)
+            keys = zip(*[batch.column(n).to_pylist() for n in ("tree", "node", "column")], strict=True)
+            for new, own in zip(keys, sums, strict=True):
                 if new == key:
-                    total += sums
+                    total += own.reshape(3, width)
                     continue
                 if key is not None:
                     close()
-                key, total = new, sums.copy()
+                key, total = new, own.reshape(3, width).copy()
         if key is not None:
             close()
             yield pa.RecordBatch.from_pylist(list(best.values()), schema=schema)

@@ -168,3 +168,42 @@ def test_bins_and_routes(frame):
     assert tree.route(bins, missing_bins(edges)).tolist() == [right, left]
     many = drawn(np.arange(20_000, dtype=np.uint64), 3, 42, 0.8)
     assert abs(many.mean() - 0.8) < 0.02 and (many != drawn(np.arange(20_000, dtype=np.uint64), 4, 42, 0.8)).any()
+
+
+def test_memory_of_a_pass_does_not_grow_with_a_tasks_rows():
+    """Blocks are bounded by all that is worked out for their rows, not by their bins alone."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, classes = 10_000, 3
+    rng = np.random.default_rng(1)
+    batch = pa.RecordBatch.from_arrays(
+        [
+            leafwise._bytes(rng.integers(0, 5, (n, 1)).astype(np.uint8)),
+            pa.array(rng.integers(0, classes, n), pa.int32()),
+            pa.array(np.ones(n)),
+            pa.array(rng.integers(0, 1 << 60, n)),
+            leafwise._bytes(np.zeros((n, classes))),
+        ],
+        names=["bins", "target", "weight", "draw", "scores"],
+    )
+    task = leafwise._histograms([leafwise._Growing(np.array([0]), 4, -1) for _ in range(classes)], [], np.array([6]), 0, 1, 1.0)
+    peaks, counted = [], []
+    for batches in (20, 80):
+        tracemalloc.start()
+        found = list(task(batch for _ in range(batches)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        counted.append(np.frombuffer(found[0].column("sums")[0].as_py(), np.int64).reshape(3, -1)[2].sum())
+    assert counted == [20 * n, 80 * n]
+    assert peaks[1] < 1.5 * peaks[0] and peaks[1] < 2 * leafwise.BLOCK_BYTES
+
+
+def test_fixed_reads_slices():
+    import pyarrow as pa
+
+    rows = np.arange(12, dtype=np.float64).reshape(6, 2)
+    for kind in (pa.binary(), pa.large_binary()):
+        column = pa.array([r.tobytes() for r in rows], kind)
+        assert (leafwise._fixed(column.slice(2, 3), np.float64, 2) == rows[2:5]).all()
