@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import as_double, chunks, class_counts, class_index, col
 from millrace.sources.scratch import write_table
 
-ROWS_PER_RANGE = 500_000
+ROWS_PER_RANGE = 250_000
 COLUMNS_PER_JOB = 100
 NEIGHBOURS, NOISE = 3, 1e-10
 EULER = 0.5772156649015329
-HALVES = "c int, row bigint, range int, side tinyint, value double, rank bigint"
+BOUNDS = "c int, row bigint, n bigint, low double, low_range int, low_rank bigint, high double, high_range int, high_rank bigint"
 
 
 def psi(m: Column) -> Column:
@@ -152,7 +152,9 @@ class _Ranges:
 
 
 def _counted(ranges: _Ranges, sizes: np.ndarray, k: int):
-    """Per range: for every row the ranks of both bounds, or the bounds that other ranges must place."""
+    """Per range: for every value and class its rows and the ranks of both bounds, or the bounds that other ranges must place."""
+
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
 
     def run(table: pa.Table) -> pa.Table:
         c_all, y_all, x_all, halo = (table[n].to_numpy() for n in ("c", "y", "x", "halo"))
@@ -162,24 +164,25 @@ def _counted(ranges: _Ranges, sizes: np.ndarray, k: int):
             inside = (c_all == c) & ~halo
             x, y = x_all[inside], y_all[inside]
             order = np.lexsort((y, x))
-            x, y = x[order], y[order]
+            xs, ys = x[order], y[order]
+            # equal values of a class have equal distances, bounds and ranks: one row stands for them
+            first = np.flatnonzero(np.concatenate(([True], (xs[1:] != xs[:-1]) | (ys[1:] != ys[:-1]))))
+            x, y, rows = xs[first], ys[first], np.diff(np.append(first, len(xs)))
             distance = np.empty(len(x))
             for label in np.unique(y).tolist():
                 around = x_all[(c_all == c) & halo & (y_all == label)]
                 own = np.flatnonzero(y == label)
-                values = np.sort(np.concatenate((around, x[own])))
+                values = np.sort(np.concatenate((around, xs[ys == label])))
                 places = np.searchsorted(values, x[own])
-                # equal values have equal distances
                 distance[own] = _kth_distance(values, min(k, int(sizes[c, label]) - 1))[places]
             low, high = _reach(x, np.nextafter(distance, 0))
             at = int(np.searchsorted(ranges.number[c], number))
-            row = (np.int64(number) << np.int64(32)) + np.flatnonzero(inside)[order]
-            for side, bounds, how in ((-1, low, "left"), (1, high, "right")):
-                rank, target = ranges.rank(c, at, x, bounds, how)
-                out.append((np.full(len(x), c), row, np.where(rank < 0, target, -1), np.full(len(x), side), bounds, rank))
-        columns = [np.concatenate(p) for p in zip(*out, strict=True)] if out else [np.empty(0)] * 6
-        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int8(), pa.float64(), pa.int64()]
-        return pa.Table.from_arrays([pa.array(v).cast(t) for v, t in zip(columns, kinds, strict=True)], names=["c", "row", "range", "side", "value", "rank"])
+            row = (np.int64(number) << np.int64(32)) + np.flatnonzero(inside)[order[first]]
+            (low_rank, low_range), (high_rank, high_range) = ranges.rank(c, at, xs, low, "left"), ranges.rank(c, at, xs, high, "right")
+            out.append((np.full(len(x), c, np.int32), row, rows, low, low_range.astype(np.int32), low_rank, high, high_range.astype(np.int32), high_rank))
+        schema = pa.schema([(n, kinds[t]) for n, t in (f.split() for f in BOUNDS.split(", "))])
+        parts = [pa.RecordBatch.from_arrays([pa.array(v) for v in part], schema=schema) for part in out]
+        return pa.Table.from_batches(parts, schema=schema)
 
     return run
 
@@ -205,8 +208,8 @@ def _placed(ranges: _Ranges):
             asked = np.flatnonzero(~value)
             before = [ranges.upto[i][np.searchsorted(ranges.number[i], j)] for i, j in zip(c[asked].tolist(), r[asked].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("c").take(pa.array(asked)), b.column("row").take(pa.array(asked)), b.column("side").take(pa.array(asked)), pa.array(inside[asked] + np.array(before, np.int64))],
-                names=["c", "row", "side", "rank"],
+                [*[b.column(n).take(pa.array(asked)) for n in ("c", "row", "n", "side")], pa.array(inside[asked] + np.array(before, np.int64))],
+                names=["c", "row", "n", "side", "rank"],
             )
 
     return run
@@ -257,16 +260,21 @@ def neighbour_information(
     found = ranged.groupBy("c", "range").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("n"))
     ranges = _Ranges(found.collect(), len(columns))  # columns + ranges rows at most
     inside = ranged.withColumn("halo", F.lit(False)).unionByName(_halos(ranged, k).withColumn("halo", F.lit(True)))
-    halves, _ = write_table(inside.groupBy("range").applyInArrow(_counted(ranges, sizes, k), HALVES))
-    strays = halves.where("rank < 0").select("c", "range", "value", "side", "row")
+    bounds, _ = write_table(inside.groupBy("range").applyInArrow(_counted(ranges, sizes, k), BOUNDS))
+    told = (F.col("low_rank") >= 0) & (F.col("high_rank") >= 0)
+    near = bounds.where(told).select("c", (F.col("high_rank") - F.col("low_rank")).alias("m"), "n")
+    sides = [F.struct(F.lit(side).cast("tinyint").alias("side"), *[F.col(f"{end}{of}").alias(name) for of, name in (("", "value"), ("_range", "range"), ("_rank", "rank"))]) for side, end in ((-1, "low"), (1, "high"))]
+    halves = bounds.where(~told).select("c", "row", "n", F.explode(F.array(*sides)).alias("half")).select("c", "row", "n", "half.*")
+    strays = halves.where("rank < 0").select("c", "range", "value", "side", "row", "n")
     met = strays.unionByName(
         ranged.join(strays.select("c", "range").distinct(), ["c", "range"], "left_semi").select(
-            "c", "range", F.col("x").alias("value"), F.lit(0).cast("tinyint").alias("side"), F.lit(-1).cast("bigint").alias("row")
+            "c", "range", F.col("x").alias("value"), F.lit(0).cast("tinyint").alias("side"), *[F.lit(-1).cast("bigint").alias(n) for n in ("row", "n")]
         )
     )
-    placed = met.repartition("c", "range").sortWithinPartitions("c", "range", "value", "side").mapInArrow(_placed(ranges), "c int, row bigint, side tinyint, rank bigint")
-    ranks = halves.where("rank >= 0").select("c", "row", "side", "rank").unionByName(placed)
-    within = ranks.groupBy("c", "row").agg(F.sum(F.col("side") * F.col("rank")).alias("m")).groupBy("c", "m").agg(F.count(F.lit(1)).alias("n"))
+    placed = met.repartition("c", "range").sortWithinPartitions("c", "range", "value", "side").mapInArrow(_placed(ranges), "c int, row bigint, n bigint, side tinyint, rank bigint")
+    ranks = halves.where("rank >= 0").select("c", "row", "n", "side", "rank").unionByName(placed)
+    far = ranks.groupBy("c", "row").agg(F.sum(F.col("side") * F.col("rank")).alias("m"), F.max("n").alias("n")).select("c", "m", "n")
+    within = near.unionByName(far).groupBy("c", "m").agg(F.sum("n").alias("n"))
     sums = {r["c"]: r["total"] for r in within.groupBy("c").agg(F.sum(F.col("n") * psi(F.col("m"))).alias("total")).collect()}
     return {c: _information(used[i], sizes[i], all_rows, sums.get(i), k) for i, c in enumerate(columns)}
 

@@ -88,3 +88,17 @@ def test_digamma_and_noise(spark):
 def test_stage_keeps_the_best(frame):
     model = MutualInformation(idCol="id", labelCol="y", k=1, estimator="neighbours").fit(frame(rows(), SCHEMA, 2))
     assert model.learned["keep"] == ["near"] and set(model.learned["scores"]) == {"near", "far", "tied"}
+
+
+def test_equal_values_of_a_range_are_one_row():
+    """A range hands on a row per value and class with its count, however many rows are equal."""
+    import pyarrow as pa
+
+    from millrace.functions.neighbours import _counted, _Ranges
+
+    n = 10_000
+    x, y = np.arange(n) % 5, np.arange(n) % 2
+    table = pa.table({"c": pa.array(np.zeros(n), pa.int32()), "range": pa.array(np.zeros(n), pa.int32()), "y": pa.array(y, pa.int32()), "x": pa.array(x.astype(float)), "halo": pa.array([False] * n)})
+    out = _counted(_Ranges([{"c": 0, "range": 0, "low": 0.0, "high": 4.0, "n": n}], 1), np.array([[n // 2, n // 2]]), 3)(table)
+    assert out.num_rows == 10 and sum(out["n"].to_pylist()) == n
+    assert {h - low for low, h in zip(out["low_rank"].to_pylist(), out["high_rank"].to_pylist(), strict=True)} == {n // 5}
