@@ -236,7 +236,7 @@ def cardinality_report(df: DataFrame, max_cats: int = MAX_CATEGORIES, *, approx:
 
 
 def _value_statistics(df: DataFrame, kinds: dict[str, T.DataType]) -> dict[str, tuple]:
-    groups: dict[str, dict[str, Column]] = {"bigint": {}, "double": {}, "string": {}}
+    groups: dict[str, dict[str, Column]] = {"bigint": {}, "double": {}, "date": {}, "timestamp": {}, "timestamp_ntz": {}, "string": {}}
     for c, kind in kinds.items():
         if isinstance(kind, T.IntegralType):
             groups["bigint"][c] = col(c).cast("bigint")
@@ -245,6 +245,8 @@ def _value_statistics(df: DataFrame, kinds: dict[str, T.DataType]) -> dict[str,
             groups["double"][c] = as_double(c) + F.lit(0.0)
         elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             groups["string"][c] = F.to_json(col(c))
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            groups[kind.typeName()][c] = col(c)
         else:
             groups["string"][c] = col(c).cast("string")
     parts = []
@@ -258,6 +260,9 @@ def _value_statistics(df: DataFrame, kinds: dict[str, T.DataType]) -> dict[str,
             top = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), head.alias("head"), F.when(F.col("h0").isNull(), F.col("head")).alias("value"))))
         else:
             counts = long_form(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+            if kind not in ("bigint", "double"):
+                # spelled once per value, not per row; two instants of a changed clock have one spelling
+                counts = counts.groupBy("column", F.col("value").cast("string").alias("value")).agg(F.sum("n").alias("n"))
             present = F.col("value").isNotNull()
             top = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), F.lit(None).cast("string").alias("head"), "value")))
         parts.append(

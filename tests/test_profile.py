@@ -268,3 +268,18 @@ def test_long_texts_are_counted_by_hash(frame):
         present = Counter(v for v in values if v is not None)
         want = min(present.items(), key=lambda kv: (-kv[1], kv[0].encode())) if present else (None, 0)
         assert (row["n_unique"], row["top_value"], row["top_freq"]) == (len(present), *want)
+
+
+def test_dates_and_times_count_by_their_spelling(spark, frame):
+    """Values are counted as they are and spelled once each; of two instants with one spelling the rows meet."""
+    rows = [(None,)] * 2 + [(x,) for x in (1_572_139_800, 1_572_136_200, 1_572_100_000, 1_572_100_000)]  # Berlin's clock went back in between
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        df = frame(rows, "s long", 3).selectExpr(
+            "timestamp_seconds(s) AS t", "cast(timestamp_seconds(s) AS timestamp_ntz) AS u", "cast(timestamp_seconds(s) AS date) AS d"
+        )
+        found = {r["column"]: (r["n_unique"], r["top_value"], r["top_freq"]) for r in p.cardinality_report(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == {"t": (2, "2019-10-26 16:26:40", 2), "u": (2, "2019-10-26 16:26:40", 2), "d": (2, "2019-10-26", 2)}
