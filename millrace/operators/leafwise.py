@@ -365,6 +365,8 @@ def _cuts(missing: np.ndarray, limits: Limits):
                 best[key[:2]] = row
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             sums = _fixed(batch.column("sums"), np.int64, 3 * width)
             keys = zip(*[batch.column(n).to_pylist() for n in ("tree", "node", "column")], strict=True)
             for new, own in zip(keys, sums, strict=True):

@@ -207,3 +207,15 @@ def test_fixed_reads_slices():
     for kind in (pa.binary(), pa.large_binary()):
         column = pa.array([r.tobytes() for r in rows], kind)
         assert (leafwise._fixed(column.slice(2, 3), np.float64, 2) == rows[2:5]).all()
+
+
+def test_cuts_take_empty_batches():
+    import pyarrow as pa
+
+    schema = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("column", pa.int32()), ("sums", pa.binary())])
+    empty = pa.RecordBatch.from_arrays([pa.array([], f.type) for f in schema], schema=schema)
+    sums = np.array([[-1 << 24, 1 << 24, 0], [1 << 24, 1 << 24, 0], [5, 5, 0]])
+    full = pa.RecordBatch.from_arrays([pa.array([0], pa.int32())] * 3 + [pa.array([sums.tobytes()], pa.binary())], schema=schema)
+    run = leafwise._cuts(np.array([2]), leafwise.Limits(1, 1e-3, 0.0))
+    found = [r for b in run(iter([empty, full, empty])) for r in b.to_pylist()]
+    assert [(r["cut"], r["n_left"], r["n"]) for r in found] == [(0, 5, 10)]
