@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, lines, near, packing, quality
 from millrace.llm.common import remainder, table
 from millrace.llm.queries import TOKENIZER
-from millrace.sources.scratch import scratch_root
+from millrace.sources.scratch import drop_tables, write_table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,12 +65,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to documents; what each one keeps is written to the shared folder and read again."""
+    """All stages applied to documents; what each one keeps is written to the shared folder, read again, and deleted once the next one's is there."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            path = f"{scratch_root(spark)}/stage-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.schema(docs.schema).parquet(path)
+            docs, _ = write_table(docs)
+            drop_tables(before)
     return docs

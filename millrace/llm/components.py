@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.scratch import write_table
+from millrace.sources.scratch import drop_tables, write_table
 
 
 def components(links: DataFrame) -> DataFrame:
     """node and label (the smallest node that it reaches) of every node in ``links`` (a, b).
 
     Each round every label takes its smallest neighbour's label, then that one's; links inside a
-    label vanish, so the links shrink from round to round. Tables of a round are written, not kept.
+    label vanish, so the links shrink from round to round. Tables of a round are written, and deleted after it.
     """
     both = links.select("a", "b").where("a <> b")
     edges, n = write_table(both.distinct(), n=F.count(F.lit(1)))
@@ -25,6 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         hook, _ = write_table(least)
         top = hook.select(F.col("a").alias("up"), F.col("up").alias("top"))
         jump, _ = write_table(hook.join(top, "up").select("a", "top"))
+        old = [edges, labels, hook, jump]
         labels, _ = write_table(
             labels.join(jump.withColumnRenamed("a", "label"), "label", "left").select(
                 "node", F.coalesce("top", "label").alias("label")
@@ -37,4 +38,6 @@ def components(links: DataFrame) -> DataFrame:
             moved.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).where("a <> b").distinct(),
             n=F.count(F.lit(1)),
         )
+        drop_tables(*old)
+    drop_tables(edges)
     return labels

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.llm.anchors import keyed, sharing
 from millrace.llm.common import hashed_grams, hashed_words, map_arrow, most_frequent, slices, texts_of
 from millrace.llm.components import components
-from millrace.sources.scratch import write_table
+from millrace.sources.scratch import drop_tables, shuffles_removed, write_table
 
 #: Words of a shingle, and the least similarity in per cent.
 SHINGLE, PERCENT = 3, 90
@@ -25,6 +27,8 @@ FREQUENT, OFTEN, CHUNK_WORDS = 100_000, 3, 1_000_000
 CHUNK_ANCHORS = 750_000
 #: Members of a shingle's bucket that one group compares; a larger bucket is several pairs of blocks.
 BLOCK = 4096
+#: Pairs are verified in parts that carry half of all sets at most, so many shingles always.
+HELD = 32_000_000
 
 
 def _shingles(words: np.ndarray, starts: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -46,27 +50,49 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return [s for s, _ in _shingles(words, starts, k)]
 
 
+def _parity(s: np.ndarray) -> bytes:
+    """Whether the set has an odd number of hashes in each range of the low bits; as many ranges as hashes at least, below twice as many."""
+    bits = max(64, 1 << (len(s) - 1).bit_length()) if len(s) else 64
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """By the parities of two sets, how many hashes only one of them has, at least: each turns one parity."""
+
+    def folded(parity: bytes) -> int:
+        n, bits = int.from_bytes(parity, "little"), 8 * len(parity)
+        while bits > 8 * min(len(x), len(y)):
+            bits //= 2
+            n = (n ^ (n >> bits)) & ((1 << bits) - 1)
+        return n
+
+    return (folded(x) ^ folded(y)).bit_count()
+
+
 def _members(rows: DataFrame, k: int) -> DataFrame:
-    """Per text: its set's size, a 128-bit hash of the set, and the sizes of the set's parts in each hash range."""
+    """Per text: its set's size, a 128-bit hash of the set, the sizes of the set's parts in each hash range, and their parities in finer ones."""
 
     def run(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        n, s1, s2, sketch = [], [], [], []
+        n, s1, s2, sketch, parity = [], [], [], [], []
         for s in shingle_sets(texts_of(part), k):
             d = xxhash.xxh3_128_digest(s.tobytes())
             n.append(len(s))
             s1.append(int.from_bytes(d[:8], "big", signed=True))
             s2.append(int.from_bytes(d[8:], "big", signed=True))
             sketch.append(np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes())
+            parity.append(_parity(s))
+        numbers = [pa.array(x, pa.int64()) for x in (n, s1, s2)]
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), part.column("key"), part.column("th"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(sketch, pa.binary())],
-            names=["doc_id", "key", "th", "n", "s1", "s2", "sketch"],
+            [part.column("doc_id"), part.column("key"), part.column("th"), *numbers, pa.array(sketch, pa.binary()), pa.array(parity, pa.binary())],
+            names=["doc_id", "key", "th", "n", "s1", "s2", "sketch", "parity"],
         )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return map_arrow(
-        rows.select("doc_id", "key", "th", "text"), run, f"doc_id {kind}, key bigint, th bigint, n bigint, s1 bigint, s2 bigint, sketch binary"
+        rows.select("doc_id", "key", "th", "text"), run, f"doc_id {kind}, key bigint, th bigint, n bigint, s1 bigint, s2 bigint, sketch binary, parity binary"
     )
 
 
@@ -91,7 +117,9 @@ def _frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield out()
 
     counted = rows.select("text").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
-    got = most_frequent(write_table(counted)[0], FREQUENT)
+    counts, _ = write_table(counted)
+    got = most_frequent(counts, FREQUENT)
+    drop_tables(counts)
     h, n = got["h"].to_numpy().view(np.uint64), got["n"].to_numpy()
     order = np.argsort(h)
     return h[order], np.log2(n[order] + 1).astype(np.int64)
@@ -238,21 +266,22 @@ ROW = "h bigint, node bigint, n bigint, place int, sketch binary"
 
 
 def _alive(buckets: DataFrame, percent: int, schema: str) -> DataFrame:
-    """The rows of buckets (h, node, n, place, blocks, and sketch if it is known) that have a partner by the filters."""
+    """The rows of buckets (h, node, n, place, parts, and sketch and label if they are known) that have a partner by the filters."""
     columns = [c.split()[0] for c in schema.split(", ")]
 
     def answer(t: pa.Table) -> pa.RecordBatch:
-        alive = _Buckets(t.append_column("label", t["node"]), percent).alive()
+        t = t if "label" in t.column_names else t.append_column("label", t["node"])
+        alive = _Buckets(t, percent).alive()
         rows = t.select(columns).take(pa.array(np.flatnonzero(alive)))
         return pa.RecordBatch.from_arrays([c.combine_chunks() for c in rows.columns], names=columns)
 
-    return _by_bucket(buckets.withColumn("parts", F.col("blocks")), answer, schema).distinct()
+    return _by_bucket(buckets, answer, schema).distinct()
 
 
-def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool) -> DataFrame:
-    """a, b, apart of the candidate pairs (ROW, before) with different labels, each from the first bucket that both share."""
+def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows, with label and parts, of the buckets that hold different labels."""
     bucket = Window.partitionBy("h")
-    rows = (
+    return (
         buckets.join(labels, "node")
         .withColumn("low", F.min("label").over(bucket))
         .withColumn("high", F.max("label").over(bucket))
@@ -261,6 +290,23 @@ def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool)
         .drop("low", "high")
     )
 
+
+def _with_earlier(few: DataFrame) -> DataFrame:
+    """The rows (ROW) with the hashes of their set's rows at earlier places, as before.
+
+    A pair that passes in one bucket passes in the first one that both share, so its rows there are among these.
+    """
+    order = few.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("place", "h"))).alias("all"))
+    earlier = F.transform(F.filter("all", lambda x: x["place"] < F.col("place")), lambda x: x["h"])
+    return few.join(order, "node").select("h", "node", "n", "place", "sketch", earlier.alias("before"))
+
+
+def _candidates(rows: DataFrame, percent: int, one: bool) -> DataFrame:
+    """a, b, apart of the candidate pairs with different labels; with ``one``, only a row's nearest partner in its bucket.
+
+    Where the rows have before, each pair comes from the first bucket that both share.
+    """
+
     def answer(t: pa.Table) -> pa.RecordBatch:
         a, b, apart = _Buckets(t, percent).pairs(one)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32())], names=["a", "b", "apart"])
@@ -268,14 +314,58 @@ def _candidates(buckets: DataFrame, labels: DataFrame, percent: int, one: bool)
     return _by_bucket(rows, answer, "a bigint, b bigint, apart int")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) those that may be similar by the parities, with the size of a's set.
+
+    Sets without anything in common differ in a quarter of their hashes or more by these, however large they are;
+    by the sizes in 64 ranges, large sets look alike.
+    """
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("x"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            sizes = t.column("na").to_numpy() + t.column("nb").to_numpy()
+            most = sizes - 2 * -(-percent * sizes // (100 + percent))
+            differ = [_differ(x.as_py(), y.as_py()) for x, y in zip(t.column("x"), t.column("y"), strict=True)]
+            yield t.select(["a", "b", "na"]).filter(pa.array(np.array(differ, np.int64) <= most))
+
+    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(run, "a bigint, b bigint, na bigint")
+
+
+def _verified(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) those whose sets are as similar as asked."""
-    a = sets.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    b = sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
+    a = of_a.select(F.col("node").alias("a"), F.col("grams").alias("x"))
+    b = of_b.select(F.col("node").alias("b"), F.col("grams").alias("y"))
     met = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).cast("bigint").alias("both"))
     return met.where(100 * F.col("both") >= percent * (F.col("nx") + F.col("ny") - F.col("both"))).select("a", "b")
 
 
+def _links(pairs: DataFrame, carried: int, rows: DataFrame, nodes: DataFrame, total: int, shingle: int, percent: int) -> list[DataFrame]:
+    """Of the pairs (a, b) those whose sets are as similar as asked, as written tables.
+
+    The sets of a part of the pairs at a time are shuffled: ``carried`` shingles come with all pairs, ``total`` are in all nodes.
+    """
+    either = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked, _ = write_table(nodes.select("node", "key", "th").join(either, "node"))
+    texts = rows.join(asked, ["key", "th"]).groupBy("key", "th").agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    sets, held = write_table(_sets(texts.select("node", "text"), shingle), n=F.sum(F.size("grams")))
+    most = max(HELD, total // 2)
+    parts = max(1, math.ceil(2 * (held["n"] or 0) / most), math.ceil(math.sqrt(carried / most)))
+
+    def of(table: DataFrame, node: str, part: int) -> DataFrame:
+        return table if parts == 1 else table.where(F.pmod(F.xxhash64(node), F.lit(parts)) == part)
+
+    written = []
+    for i in range(parts):
+        for j in range(parts):
+            some = of(of(pairs, "a", i), "b", j).select("a", "b")
+            x, y = (of(sets, "node", p).select("node", "grams") for p in (i, j))
+            written.append(write_table(_verified(some, x, y, percent))[0])
+    drop_tables(asked, sets)
+    return written
+
+
 def near_groups(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -291,63 +381,84 @@ def near_groups(
     Candidates meet on rare-first prefixes and pass the length, positional and suffix filters (the
     last compares how many shingles fall into each range of the hash space). The first two rounds
     verify one partner per document, the nearest one by the suffix filter, the last round all pairs
-    still in different groups; pairs inside a group need no verification. Each pair meets in the
-    first bucket that its prefixes share.
+    still in different groups; pairs inside a group need no verification. There each pair meets in the
+    first bucket that its prefixes share. Sets are read of pairs that also pass by the parities of
+    finer ranges, and tables and shuffle files go as soon as they are read.
     """
     rows = keyed(docs, id_col, text_col)
+    with shuffles_removed(docs.sparkSession):
+        members, nodes, labels = _grouped(rows, shingle, percent)
+    labelled = nodes.join(labels, "node", "left").select("s1", "s2", "n", "first", F.coalesce("label", "node").alias("label"))
+    smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    of_class = labelled.join(smallest, "label").select("s1", "s2", "n", "component_id")
+    return members.join(of_class, ["s1", "s2", "n"], "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("th").alias("text_hash"),
+    )
+
+
+def _grouped(rows: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows (``keyed``) the written members, nodes (a row per different set) and labels (node, label; nodes without a partner have none)."""
     members, _ = write_table(_members(rows, shingle))
     classes = (
         members.where("n > 0")
         .groupBy("s1", "s2", "n")
-        .agg(F.min("doc_id").alias("first"), F.min(F.struct("key", "th")).alias("rep"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("first"), F.min(F.struct("key", "th")).alias("rep"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity"))
+    )
+    nodes, size = write_table(
+        classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", "parity", F.monotonically_increasing_id().alias("node")), n=F.sum("n")
     )
-    nodes, _ = write_table(classes.select("s1", "s2", "n", "first", "rep.key", "rep.th", "sketch", F.monotonically_increasing_id().alias("node")))
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(rows))
+    frequent = rows.sparkSession.sparkContext.broadcast(_frequent(rows))
     shared = sharing(rows, _prefixes(shingle, percent, frequent), inside=False, by="th", chunk=CHUNK_ANCHORS)
     # in short rows: which shingles two nodes share, and which rows have a partner by length and place; of these few, by sketch
-    short = nodes.join(shared, "th").select("node", "n", F.explode("anchors").alias("anchor"))
-    met = short.select("anchor.h", "node", "n", "anchor.place").withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")
-    able = _alive(met.select("h", "node", "n", "place", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), percent, SHORT)
-    wide = write_table(able)[0].join(nodes.select("node", "sketch"), "node")
-    alive, _ = write_table(_alive(wide.select("h", "node", "n", "place", "sketch", "blocks"), percent, ROW))
-    # a pair that passes in one bucket passes in the first one that both share, so its rows there are alive too
-    order = alive.groupBy("node").agg(F.array_sort(F.collect_set(F.struct("place", "h"))).alias("all"))
-    earlier = F.transform(F.filter("all", lambda x: x["place"] < F.col("place")), lambda x: x["h"])
-    buckets, _ = write_table(alive.join(order, "node").select("h", "node", "n", "place", "sketch", earlier.alias("before")))
+    short, _ = write_table(
+        nodes.select("th", "node", "n").join(shared, "th").select("node", "n", F.explode("anchors").alias("anchor")).select("anchor.h", "node", "n", "anchor.place")
+    )
+    met = short.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("m > 1")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    able, _ = write_table(_alive(met.select("h", "node", "n", "place", blocks.alias("blocks"), blocks.alias("parts")), percent, SHORT))
+    drop_tables(short)
+    wide = able.join(nodes.select("node", "sketch"), "node")
+    buckets, _ = write_table(_alive(wide.select("h", "node", "n", "place", "sketch", F.col("blocks").alias("parts")), percent, ROW))
+    drop_tables(able)
 
     labels, _ = write_table(buckets.select("node").distinct().withColumn("label", F.col("node")))
-    sets = None
     for one in (True, True, False):
-        found, n = write_table(_candidates(buckets, labels, percent, one), n=F.count(F.lit(1)))
+        few, rows_apart = [], _apart(buckets, labels)
+        if not one:
+            few = [write_table(_alive(rows_apart, percent, ROW))[0]]
+            rows_apart = _apart(_with_earlier(few[0]), labels)
+        found, n = write_table(_candidates(rows_apart, percent, one), n=F.count(F.lit(1)))
+        drop_tables(*few)
         if not n["n"]:
+            drop_tables(found)
             break
-        if sets is None:  # of all texts that have a partner
-            asked = nodes.join(buckets.select("node").distinct(), "node").select("node", "key", "th")
-            sets, _ = write_table(_sets(rows.join(asked, ["key", "th"]).select("node", "text"), shingle).dropDuplicates(["node"]))
         pairs = found
         if one:
             pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-        links, _ = write_table(_verified(pairs.select("a", "b"), sets, percent))
+        close, n = write_table(_close(pairs, nodes, percent), n=F.sum("na"))
+        drop_tables(found)
+        if not n["n"]:
+            drop_tables(close)
+            continue
+        linked = _links(close, n["n"], rows, nodes, size["n"], shingle, percent)
+        links = reduce(DataFrame.union, linked)
         of = labels.select(F.col("node"), "label")
         between = links.join(of.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(
             of.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b"
         )
         merged = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        old = labels
         labels, _ = write_table(
             labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select(
                 "node", F.coalesce("to", "label").alias("label")
             )
         )
-
-    labelled = nodes.join(labels, "node", "left").select("s1", "s2", "n", "first", F.coalesce("label", "node").alias("label"))
-    smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_class = labelled.join(smallest, "label").select("s1", "s2", "n", "component_id")
-    return members.join(of_class, ["s1", "s2", "n"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.col("th").alias("text_hash"),
-    )
+        drop_tables(old, merged, close, *linked)
+    drop_tables(buckets)
+    return members, nodes, labels
 
 
 def keep_first(docs: DataFrame, shingle: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

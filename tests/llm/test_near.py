@@ -1,5 +1,7 @@
+import os
 import random
 
+import numpy as np
 import pytest
 
 from millrace.llm import near
@@ -100,3 +102,64 @@ def test_components_equal_union_find(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: top(x) for e in links for x in e if e[0] != e[1]}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def files(folder, begin):
+    return {f"{d}/{x}" for d, names, found in os.walk(folder) for x in [*names, *found] if x.startswith(begin)}
+
+
+def long_texts(n=14, words=2500, passage=700):
+    """Texts of common words that share a passage of rare ones, about the eighth part of any two, and a near copy of the first."""
+    rnd = random.Random(5)
+    shared = [f"p{i}" for i in range(passage)]
+    rows = []
+    for i in range(n):
+        own = [f"{rnd.choice('abcdefgh')}{rnd.randint(0, 40)}" for _ in range(words)]
+        rows.append((i + 1, " ".join(own[: 100 * i] + shared + own[100 * i :])))
+    return [*rows, (n + 1, rows[0][1] + " and more")]
+
+
+def test_sets_that_differ_by_parities_are_not_read(spark, monkeypatch):
+    read, verified = [], near._verified
+
+    def noted(pairs, *a):
+        read.append(pairs.count())
+        return verified(pairs, *a)
+
+    monkeypatch.setattr(near, "_verified", noted)
+    rows = long_texts()
+    assert answer(spark, rows, 5, 80) == brute(rows, 5, 80)
+    assert sum(read) == 1  # by length, place and the sizes of 64 ranges, all pairs pass
+
+
+def test_parities_never_tell_more_apart_than_the_sets_do():
+    rnd = np.random.default_rng(2)
+    for n in (1, 5, 63, 64, 65, 500, 5000):
+        x = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        for kept in (0.0, 0.6, 0.9, 1.0):
+            y = np.unique(np.concatenate((x[: int(kept * n)], rnd.integers(0, 1 << 63, int(n * 0.3) + 1, dtype=np.uint64))))
+            differ = near._differ(near._parity(x), near._parity(y))
+            assert differ == near._differ(near._parity(y), near._parity(x)) <= len(np.setxor1d(x, y))
+    assert near._differ(near._parity(x), near._parity(rnd.integers(0, 1 << 63, 5000, dtype=np.uint64))) > 2 * 5000 * 0.2
+
+
+def test_pairs_verified_in_parts(spark, monkeypatch):
+    parts, verified = [], near._verified
+    monkeypatch.setattr(near, "_verified", lambda *a: parts.append(a) or verified(*a))
+    monkeypatch.setattr(near, "HELD", 1)
+    rows = corpus(11)
+    assert answer(spark, rows, 3, 80) == brute(rows, 3, 80)
+    assert len(parts) > 3
+
+
+def test_no_shuffle_files_and_few_tables_are_left(spark):
+    docs = spark.createDataFrame(corpus(4), "doc_id long, text string").repartition(3)
+    local = spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
+    shared = shared.removeprefix("file:")
+    before, tables = files(os.path.dirname(local), "shuffle_"), files(shared, "table-")
+    got = near.near_groups(docs, 3, 90)
+    assert files(os.path.dirname(local), "shuffle_") <= before
+    assert len(files(shared, "table-") - tables) == 3  # members, nodes and labels, which the result reads
+    assert got.count() == docs.count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"

@@ -1,5 +1,6 @@
 """The stages, each held against a plain version on its own input."""
 
+import os
 import re
 
 import pyarrow.dataset as ds
@@ -113,3 +114,16 @@ def test_nulls_and_empty_tables(spark):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SMALL).count() <= max(len(data), 1) + 2
     assert re.match("quality", corpus_pipeline.STAGES[0][0])
+
+
+def test_run_deletes_what_the_next_stage_has_read(spark, monkeypatch):
+    there = []
+
+    def noted(spark, docs, sf_dir):
+        there.append(docs.inputFiles()[0].removeprefix("file://"))
+        return docs.where("doc_id IS NOT NULL")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(k), noted) for k in range(4)])
+    got = corpus_pipeline.run(spark, SMALL)
+    assert [os.path.exists(x) for x in there] == [True, False, False, True]
+    assert got.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
